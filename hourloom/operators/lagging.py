@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from hourloom.operators.clean import known_features, select_ordered
-from hourloom.operators.timeindex import BUCKET, ORDINAL, bucket_width, with_ordinal, with_position
+from hourloom.operators.timeindex import BUCKET, ORDINAL, TOTAL, bucket_of, with_ordinal, with_position
 
 OWN = "_own"
 COMPLETE = "_complete"
@@ -78,17 +78,15 @@ def lay_out(
         return Layout(df, tuple(keys), tuple(order_by), bucketed=False)
     placed = with_ordinal(df, order_by, keys)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    width = F.lit(bucket_rows or bucket_width(placed.count(), cores, back + ahead)).cast("long")
     at = F.col(ORDINAL)
 
-    def bucket_of(position: Column) -> Column:
-        return F.floor(position / width)
+    def bucket(position: Column) -> Column:
+        return bucket_of(position, cores, back + ahead, bucket_rows)
 
-    seen_in = F.sequence(bucket_of(F.greatest(at - ahead, F.lit(0))), bucket_of(at + back))
+    seen_in = F.sequence(bucket(F.greatest(at - ahead, F.lit(0))), bucket(at + back))
     copies = placed.withColumn(BUCKET, F.explode(seen_in))
-    return Layout(
-        copies.withColumn(OWN, bucket_of(at) == F.col(BUCKET)), tuple(keys), (ORDINAL,), bucketed=True
-    )
+    owned = copies.withColumn(OWN, bucket(at) == F.col(BUCKET)).drop(TOTAL)
+    return Layout(owned, tuple(keys), (ORDINAL,), bucketed=True)
 
 
 def lag_columns(window: WindowSpec, column: str, count: int) -> dict[str, Column]:

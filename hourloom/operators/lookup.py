@@ -17,17 +17,19 @@ def lookup(
     params: DataFrame,
     keys: Sequence[str],
     how: str = "left",
+    written: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
     spread: int = SPREAD,
 ) -> DataFrame:
     """Attach ``params`` (unique on ``keys``) to ``facts``.
 
-    The parameters are written first, so their row count is known: up to
-    ``broadcast_rows`` they are broadcast and the facts are not shuffled. Beyond
-    that every key is repeated ``spread`` times and the facts are dealt over the
+    The parameters are written first, unless the caller did (``written``), so
+    their row count is known: up to ``broadcast_rows`` they are broadcast and the
+    facts are not shuffled. Beyond that every key is repeated ``spread`` times and the facts are dealt over the
     repetitions, so that one hot key is shared by that many tasks.
     """
-    params = materialise(params)
+    if not written:
+        params = materialise(params)
     if params.count() <= broadcast_rows:
         return facts.join(F.broadcast(params), list(keys), how)
     return _dealt(facts, spread).join(_repeated(params, spread), [*keys, "_deal"], how).drop("_deal")

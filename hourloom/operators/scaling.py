@@ -8,73 +8,67 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hourloom.functions.scalar import standardise, unstandardise
 from hourloom.operators.lookup import lookup
+from hourloom.session import materialise
 
 FEATURE = "feature"
 TARGET = "target"
 
 
+def _values(columns: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{c}`").cast("double") for c in columns]
+
+
+def _attach(df: DataFrame, params: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    """Add a column of a small written table: per series, or its only row."""
+    if by:
+        return lookup(df, params.select(*by, column), by, written=True)
+    return df.withColumn(column, params.select(column).scalar())
+
+
 def column_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Mean, population deviation, bounds and value-count test of each column.
 
     ``non_binary`` is true when a column has more than two distinct values, null
     counting as one. Two passes decide it exactly and without a distinct
-    shuffle: the first finds the bounds, the second looks for a value between them.
+    shuffle: the first finds the bounds, the second looks for a value between
+    them. The columns are turned into rows, so a wide table needs five
+    aggregates in all rather than five per column; they combine before the shuffle.
     """
-    stats = df.groupBy(*by).agg(
-        *[
-            F.struct(
-                F.avg(x).alias("mean"),
-                F.stddev_pop(x).alias("std"),
-                F.min(x).alias("lo"),
-                F.max(x).alias("hi"),
-                F.count_if(x.isNull()).alias("nulls"),
-            ).alias(c)
-            for c, x in _doubles(columns)
-        ]
+    stats = materialise(
+        df.select(*by, F.posexplode(F.array(*_values(columns))).alias("position", "x"))
+        .groupBy(*by, "position")
+        .agg(
+            F.avg("x").alias("mean"),
+            F.stddev_pop("x").alias("std"),
+            F.min("x").alias("lo"),
+            F.max("x").alias("hi"),
+            F.count_if(F.col("x").isNull()).alias("nulls"),
+        )
     )
-    bounds = stats.select(
-        *by,
-        F.struct(*[F.struct(F.col(f"`{c}`.lo"), F.col(f"`{c}`.hi")).alias(c) for c in columns]).alias("_b"),
+    # One array per series, as long as the list of columns.
+    bounds = stats.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct("position", "lo", "hi"))).alias("_bounds")
     )
-    if by:
-        bounded = lookup(df, bounds, by)
-    else:
-        bounded = df.withColumn("_b", bounds.select("_b").scalar())
-    inner = bounded.groupBy(*by).agg(
-        F.struct(
-            *[
-                F.max((x > F.col(f"_b.`{c}`.lo")) & (x < F.col(f"_b.`{c}`.hi"))).alias(c)
-                for c, x in _doubles(columns)
-            ]
-        ).alias("_inner")
+    inside = []
+    for i, x in enumerate(_values(columns)):
+        bound = F.get("_bounds", F.lit(i))
+        inside.append((x > bound["lo"]) & (x < bound["hi"]))
+    between = (
+        _attach(df, bounds, by, "_bounds")
+        .select(*by, F.posexplode(F.array(*inside)).alias("position", "inside"))
+        .groupBy(*by, "position")
+        .agg(F.bool_or("inside").alias("inside"))
     )
-    if by:
-        both = stats.join(inner, list(by))
-    else:
-        both = stats.withColumn("_inner", inner.select("_inner").scalar())
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"`{c}`.mean").alias("mean"),
-                F.col(f"`{c}`.std").alias("std"),
-                F.col(f"`{c}`.lo").alias("lo"),
-                F.col(f"`{c}`.hi").alias("hi"),
-                _more_than_two(c).alias("non_binary"),
-            )
-            for c in columns
-        ]
+    two_and_null = (F.col("lo") < F.col("hi")) & (F.col("nulls") > 0)
+    return stats.join(between, [*by, "position"]).select(
+        *by,
+        F.get(F.array(*[F.lit(c) for c in columns]), F.col("position")).alias("column"),
+        "mean",
+        "std",
+        "lo",
+        "hi",
+        F.coalesce(F.col("inside") | two_and_null, F.lit(False)).alias("non_binary"),
     )
-    return both.select(*by, F.inline(rows))
-
-
-def _doubles(columns: Sequence[str]) -> list[tuple[str, Column]]:
-    return [(c, F.col(f"`{c}`").cast("double")) for c in columns]
-
-
-def _more_than_two(c: str) -> Column:
-    two_and_null = (F.col(f"`{c}`.lo") < F.col(f"`{c}`.hi")) & (F.col(f"`{c}`.nulls") > 0)
-    return F.coalesce(F.col(f"_inner.`{c}`") | two_and_null, F.lit(False))
 
 
 def fit_scaler(
@@ -82,7 +76,8 @@ def fit_scaler(
 ) -> DataFrame:
     """Parameters of the non-binary features and of the label, one row each.
 
-    ``train`` is read twice: pass a written table, not a long lazy plan.
+    ``train`` is read twice: pass a written table, not a long lazy plan. Write the
+    result too before scaling with it.
     """
     profile = column_profile(train, [*features, label], by)
     is_label = F.col("column") == label
@@ -95,28 +90,16 @@ def fit_scaler(
     )
 
 
-def _side_by_side(params: DataFrame, columns: Sequence[str], by: Sequence[str], role: str) -> DataFrame:
-    chosen = params.where(F.col("role") == role)
-    return chosen.groupBy(*by).agg(
-        F.struct(
-            *[
-                F.struct(
-                    F.max(F.when(F.col("column") == c, F.col("mean"))).alias("mean"),
-                    F.max(F.when(F.col("column") == c, F.col("std"))).alias("std"),
-                ).alias(c)
-                for c in columns
-            ]
-        ).alias("_p")
-    )
-
-
 def _with_params(
     df: DataFrame, params: DataFrame, columns: Sequence[str], by: Sequence[str], role: str
 ) -> DataFrame:
-    wide = _side_by_side(params, columns, by, role)
-    if by:
-        return lookup(df, wide, by)
-    return df.withColumn("_p", wide.select("_p").scalar())
+    """Add ``_p``, the (mean, std) of each column in the order of ``columns``, null where unscaled."""
+    entry = F.struct("column", F.struct("mean", "std"))
+    chosen = params.where(F.col("role") == role).groupBy(*by)
+    named = chosen.agg(F.map_from_entries(F.collect_list(entry)).alias("_named"))
+    names = F.array(*[F.lit(c) for c in columns])
+    ordered = F.transform(names, lambda c: F.try_element_at("_named", c))
+    return _attach(df, named.select(*by, ordered.alias("_p")), by, "_p")
 
 
 def scale(
@@ -130,10 +113,9 @@ def scale(
     """Add ``<column><suffix>``; columns without parameters pass through as double."""
     joined = _with_params(df, params, columns, by, role)
     scaled = {}
-    for c in columns:
-        mean, std = F.col(f"_p.`{c}`.mean"), F.col(f"_p.`{c}`.std")
-        x = F.col(f"`{c}`").cast("double")
-        scaled[c + suffix] = F.when(mean.isNotNull(), standardise(x, mean, std)).otherwise(x)
+    for i, (c, x) in enumerate(zip(columns, _values(columns), strict=True)):
+        p = F.get("_p", F.lit(i))
+        scaled[c + suffix] = F.when(p.isNotNull(), standardise(x, p["mean"], p["std"])).otherwise(x)
     return joined.withColumns(scaled).drop("_p")
 
 
@@ -147,11 +129,11 @@ def unscale(
 ) -> DataFrame:
     """Undo the scaling of ``column`` for every ``source -> result`` pair; without parameters values stay."""
     joined = _with_params(df, params, [column], by, role)
-    mean, std = F.col(f"_p.`{column}`.mean"), F.col(f"_p.`{column}`.std")
+    p = F.get("_p", F.lit(0))
     restored = {}
     for source, result in into.items():
         z = F.col(f"`{source}`").cast("double")
-        restored[result] = F.when(mean.isNotNull(), unstandardise(z, mean, std)).otherwise(z)
+        restored[result] = F.when(p.isNotNull(), unstandardise(z, p["mean"], p["std"])).otherwise(z)
     return joined.withColumns(restored).drop("_p")
 
 

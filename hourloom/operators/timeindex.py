@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hourloom.session import materialise
 
 ORDINAL = "_ordinal"
+TOTAL = "_total"
 BUCKET = "_bucket"
 
 # monotonically_increasing_id() keeps the partition above bit 33 and the row below.
@@ -33,6 +34,7 @@ def with_ordinal(
 ) -> DataFrame:
     """Add ``_ordinal``, the dense 0-based position in the whole table sorted by keys and time.
 
+    ``_total`` holds the number of rows, for the width of the buckets.
     ``order_by`` must make the order total: end it with a tie-breaker where times repeat.
     """
     placed = materialise(
@@ -44,7 +46,11 @@ def with_ordinal(
     starts = (
         placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+        .select(
+            "_part",
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
+            F.sum("_rows").over(Window.partitionBy()).alias(TOTAL),
+        )
     )
     row = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return (
@@ -54,11 +60,15 @@ def with_ordinal(
     )
 
 
-def bucket_width(rows: int, parallelism: int, reach: int = 0) -> int:
-    """Rows per bucket: a few buckets per core, far wider than the reach, at most a million of them."""
-    even = -(-rows // max(1, 4 * parallelism))
-    fewest = -(-rows // MAX_BUCKETS)
-    return max(even, fewest, MIN_BUCKET_ROWS, 32 * reach)
+def bucket_of(position: Column, cores: int, reach: int = 0, width: int | None = None) -> Column:
+    """Bucket of a position: a few buckets per core, far wider than the reach, at most a million."""
+    total = F.col(TOTAL)
+    rows = F.greatest(
+        F.ceil(total / (4 * cores)),
+        F.ceil(total / MAX_BUCKETS),
+        F.lit(max(MIN_BUCKET_ROWS, 32 * reach)).cast("long"),
+    )
+    return F.floor(position / (rows if width is None else F.lit(width)))
 
 
 def with_position(
@@ -97,7 +107,7 @@ def row_index(
     """Add the 0-based position ``idx`` of every row in time order, per series if ``keys`` are given."""
     placed = with_ordinal(df, order_by, keys)
     if not keys:
-        return placed.withColumnRenamed(ORDINAL, "idx")
-    width = bucket_rows or bucket_width(placed.count(), df.sparkSession.sparkContext.defaultParallelism)
-    bucketed = placed.withColumn(BUCKET, F.floor(F.col(ORDINAL) / F.lit(width)))
-    return with_position(bucketed, keys, ORDINAL).drop(BUCKET, ORDINAL, "series_rows")
+        return placed.drop(TOTAL).withColumnRenamed(ORDINAL, "idx")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    bucketed = placed.withColumn(BUCKET, bucket_of(F.col(ORDINAL), cores, width=bucket_rows))
+    return with_position(bucketed, keys, ORDINAL).drop(TOTAL, BUCKET, ORDINAL, "series_rows")

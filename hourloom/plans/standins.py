@@ -28,6 +28,18 @@ CONFIG = JobConfig(
     lag_features={"total_patient_count": 24, "UED_Hospital_Census": 24},
 )
 
+# The driver's tables as they are read here; without a schema each read would open a file first.
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+}
+
 RANGE = ("2024-01-01 00:00:00", "2024-01-30 23:00:00")
 
 HOME_GAME_HOURS = ["2024-01-06 18:00:00", "2024-01-13 20:00:00", "2024-01-20 12:00:00"]
@@ -44,7 +56,7 @@ EVENT_HORIZON = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def exact_sum(x: Column) -> Column:
