@@ -78,7 +78,7 @@ def unstandardise(z: Column, mean: Column, std: Column) -> Column:
 
 
 def fixed4(x: Column) -> Column:
-    """Four decimals as text, rounding the exact binary value half to even."""
+    """Four decimals as text, rounding the exact binary value (only 0.00005 itself goes down, not up)."""
     return F.call_function("format_number", x.cast("double"), F.lit("0.0000"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from hourloom.functions.aggregates import extreme_threshold
 from hourloom.functions.scalar import WEATHER_TYPES, calendar_parts, one_hot, weather_category
 from hourloom.operators.clean import fill_flag
-from hourloom.operators.lookup import lookup
+from hourloom.operators.lookup import join_same, lookup
 
 
 def merge_hourly(
@@ -107,4 +107,4 @@ def regular_grid(df: DataFrame, hour: str, keys: Sequence[str] = ()) -> DataFram
         F.greatest("_lo", midnight), F.least("_hi", midnight + F.expr("INTERVAL 23 HOURS")), step
     )
     grid = days.repartition(*keys, "_day").select(*keys, F.explode(hours).alias(hour))
-    return grid.join(df, [*keys, hour], "left")
+    return join_same(grid, df, [*keys, hour], "left")

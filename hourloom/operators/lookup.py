@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,6 +14,13 @@ BROADCAST_ROWS = 100_000
 SPREAD = 32
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which a missing key equals a missing key, as it does in grouping."""
+    other = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys]
+    return left.join(other, reduce(and_, same), how).drop(*[f"_same_{k}" for k in keys])
+
+
 def lookup(
     facts: DataFrame,
     params: DataFrame,
@@ -31,8 +40,9 @@ def lookup(
     if not written:
         params = materialise(params)
     if params.count() <= broadcast_rows:
-        return facts.join(F.broadcast(params), list(keys), how)
-    return _dealt(facts, spread).join(_repeated(params, spread), [*keys, "_deal"], how).drop("_deal")
+        return join_same(facts, F.broadcast(params), keys, how)
+    dealt, repeated = _dealt(facts, spread), _repeated(params, spread)
+    return join_same(dealt, repeated, [*keys, "_deal"], how).drop("_deal")
 
 
 def _dealt(facts: DataFrame, spread: int) -> DataFrame:

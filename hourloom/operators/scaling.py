@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hourloom.functions.scalar import standardise, unstandardise
-from hourloom.operators.lookup import lookup
+from hourloom.operators.lookup import join_same, lookup
 from hourloom.session import materialise
 
 FEATURE = "feature"
@@ -60,7 +60,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
         .agg(F.bool_or("inside").alias("inside"))
     )
     two_and_null = (F.col("lo") < F.col("hi")) & (F.col("nulls") > 0)
-    return stats.join(between, [*by, "position"]).select(
+    return join_same(stats, between, [*by, "position"], "inner").select(
         *by,
         F.get(F.array(*[F.lit(c) for c in columns]), F.col("position")).alias("column"),
         "mean",

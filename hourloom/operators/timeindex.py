@@ -36,7 +36,11 @@ def with_ordinal(
 
     ``_total`` holds the number of rows, for the width of the buckets.
     ``order_by`` must make the order total: end it with a tie-breaker where times repeat.
+    A row without a series key has no series to be placed in and is refused.
     """
+    df = df.withColumns(
+        {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"a row has no series key {k}"))) for k in keys}
+    )
     placed = materialise(
         df.orderBy(*keys, *order_by).withColumn("_at", F.monotonically_increasing_id())
     )
