@@ -186,9 +186,8 @@ def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) ->
         *[F.count_if(counts == s).alias(f"{s}_rows") for s in ("train", "val", "test")],
     )
     names = dataset.params.where(F.col("role") == FEATURE).agg(F.collect_set("column").alias("c"))
-    scaled = names.select("c").scalar()
-    in_order = F.filter(
-        F.array(*[F.lit(c) for c in dataset.features]), lambda c: F.array_contains(scaled, c)
+    in_order = F.array_intersect(
+        F.array(*[F.lit(c) for c in dataset.features]), names.select("c").scalar()
     )
     lag_map = F.create_map(*[F.lit(x) for pair in config.lag_features.items() for x in pair])
     lag_count = sum(n for c, n in config.lag_features.items() if c in config.features)
