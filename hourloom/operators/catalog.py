@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from hourloom.functions import scalar as S
-from hourloom.sources.schemas import DATASET_INFO, TRIALS
+from hourloom.sources.schemas import DATASET_INFO, JOB_CONFIG, TRIALS
 from hourloom.sources.writers import DATASET_KEY, append_rows
 
 COMPLETED = "completed"
@@ -25,14 +25,14 @@ def list_datasets(spark: SparkSession, path: str) -> DataFrame:
     return known.withColumn("dataset_key", key)
 
 
-def trial_status(mse: Column, finite: Column) -> tuple[Column, Column]:
+def trial_status(
+    mse: Column, finite: Column, max_mse: float | None = MAX_MSE
+) -> tuple[Column, Column]:
     """Status and reason of a scored trial: not finite or a too large error means pruned."""
-    status = F.when(~finite | (mse > MAX_MSE), PRUNED).otherwise(COMPLETED)
-    reason = (
-        F.when(~finite, "not finite")
-        .when(mse > MAX_MSE, F.concat(F.lit("MSE value too high: "), mse.cast("string")))
-    )
-    return status, reason
+    too_high = F.lit(False) if max_mse is None else mse > max_mse
+    status = F.when(~finite | too_high, PRUNED).otherwise(COMPLETED)
+    message = F.concat(F.lit("MSE value too high: "), mse.cast("string"))
+    return status, F.when(~finite, "not finite").when(too_high, message)
 
 
 def log_trials(trials: DataFrame, path: str) -> None:
@@ -106,13 +106,17 @@ def record_dataset(info: DataFrame, path: str) -> None:
 
 
 def dataset_info(spark: SparkSession, path: str, target: str, horizon: int, dataset: str) -> Row:
-    """The latest description of one dataset: its feature order is the contract for scoring."""
+    """The latest description of one dataset: its feature order is the contract for scoring.
+
+    ``config`` holds the job configuration, parsed with its schema.
+    """
     rows = (
         spark.read.schema(DATASET_INFO)
         .parquet(path)
         .where(
             (F.col("target") == target) & (F.col("horizon") == horizon) & (F.col("dataset") == dataset)
         )
+        .withColumn("config", F.from_json("config_json", JOB_CONFIG, {"mode": "FAILFAST"}))
         .orderBy(F.desc("generated_at"))
         .take(1)
     )

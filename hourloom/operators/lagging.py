@@ -77,11 +77,10 @@ def lay_out(
     if keys and series_bound is not None and series_bound <= WHOLE_SERIES_ROWS:
         return Layout(df, tuple(keys), tuple(order_by), bucketed=False)
     placed = with_ordinal(df, order_by, keys)
-    cores = df.sparkSession.sparkContext.defaultParallelism
     at = F.col(ORDINAL)
 
     def bucket(position: Column) -> Column:
-        return bucket_of(position, cores, back + ahead, bucket_rows)
+        return bucket_of(df.sparkSession, position, back + ahead, bucket_rows)
 
     seen_in = F.sequence(bucket(F.greatest(at - ahead, F.lit(0))), bucket(at + back))
     copies = placed.withColumn(BUCKET, F.explode(seen_in))

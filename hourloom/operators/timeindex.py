@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hourloom.session import materialise
 
@@ -25,8 +25,12 @@ BUCKET = "_bucket"
 # monotonically_increasing_id() keeps the partition above bit 33 and the row below.
 ROW_BITS = 33
 
+# Buckets are even work for the reduce tasks, neither so narrow that the copies at their
+# borders matter nor so many that their counts do.
+BUCKETS_PER_TASK = 64
 MIN_BUCKET_ROWS = 4_096
-MAX_BUCKETS = 1_000_000
+MAX_BUCKET_ROWS = 65_536
+MAX_BUCKETS = 4_000_000
 
 
 def with_ordinal(
@@ -64,15 +68,17 @@ def with_ordinal(
     )
 
 
-def bucket_of(position: Column, cores: int, reach: int = 0, width: int | None = None) -> Column:
-    """Bucket of a position: a few buckets per core, far wider than the reach, at most a million."""
-    total = F.col(TOTAL)
-    rows = F.greatest(
-        F.ceil(total / (4 * cores)),
-        F.ceil(total / MAX_BUCKETS),
-        F.lit(max(MIN_BUCKET_ROWS, 32 * reach)).cast("long"),
-    )
-    return F.floor(position / (rows if width is None else F.lit(width)))
+def bucket_of(
+    spark: SparkSession, position: Column, reach: int = 0, width: int | None = None
+) -> Column:
+    """Bucket of a position. The width follows from ``_total`` unless it is given."""
+    if width is not None:
+        return F.floor(position / F.lit(width))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = F.least(F.ceil(F.col(TOTAL) / (BUCKETS_PER_TASK * tasks)), F.lit(MAX_BUCKET_ROWS))
+    fewest = F.ceil(F.col(TOTAL) / MAX_BUCKETS)
+    widest = F.greatest(even, fewest, F.lit(max(MIN_BUCKET_ROWS, 32 * reach)))
+    return F.floor(position / widest)
 
 
 def with_position(
@@ -112,6 +118,5 @@ def row_index(
     placed = with_ordinal(df, order_by, keys)
     if not keys:
         return placed.drop(TOTAL).withColumnRenamed(ORDINAL, "idx")
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    bucketed = placed.withColumn(BUCKET, bucket_of(F.col(ORDINAL), cores, width=bucket_rows))
+    bucketed = placed.withColumn(BUCKET, bucket_of(df.sparkSession, F.col(ORDINAL), width=bucket_rows))
     return with_position(bucketed, keys, ORDINAL).drop(TOTAL, BUCKET, ORDINAL, "series_rows")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hourloom.functions.scalar import WEATHER_TYPES
 from hourloom.operators import clean, enrich
@@ -65,16 +66,20 @@ def merged_table(
     config: JobConfig,
     keys: Sequence[str] = (),
     fit_scope: str = "all",
+    unique_hours: bool = False,
 ) -> DataFrame:
     """The merged table with the extreme flag, written once because the flag reads it twice.
 
     The threshold uses all rows; ``fit_scope="train"`` uses the first rows of
     each series by time instead, as many as the train fraction of them.
+    ``unique_hours`` refuses a table in which an hour of a series occurs twice.
     """
     merged = merge_inputs(cleaned, keys)
     if config.exclude:
         merged = clean.exclude_window(merged, N.HOUR, config.exclude_from, config.exclude_to)
     merged = materialise(merged)
+    if unique_hours:
+        clean.assert_unique(merged, [*keys, N.HOUR])
     fit_on = None
     if fit_scope == "train":
         placed = row_index(merged.select(*keys, N.HOUR, config.target_feature), [N.HOUR], keys)
@@ -152,6 +157,20 @@ def scaled_dataset(
     )
 
 
+def hours_between(start: str, end: str) -> int:
+    """Hours of a closed range: the most rows an hourly series without repeated hours can have."""
+    return int((datetime.fromisoformat(end) - datetime.fromisoformat(start)).total_seconds() // 3600) + 1
+
+
+def keyed_schemas(keys: Sequence[str]) -> dict[str, T.StructType]:
+    """The input schemas, with text keys in front of the hourly tables."""
+    added = [T.StructField(k, T.StringType()) for k in keys]
+    return {
+        name: T.StructType([*added, *schema.fields]) if name in HOURLY else schema
+        for name, schema in N.INPUTS.items()
+    }
+
+
 def prepare(
     spark: SparkSession,
     config: JobConfig,
@@ -161,19 +180,28 @@ def prepare(
     end: str = RANGE_END,
     fit_scope: str = "all",
     regular: bool = False,
+    keys: Sequence[str] = (),
+    unique_hours: bool = False,
 ) -> Dataset:
-    """Run the whole preparation and write every table under ``out``."""
-    cleaned = clean_inputs(read_inputs(spark, paths, N.INPUTS), start, end)
-    merged = merged_table(cleaned, config, fit_scope=fit_scope)
-    frame = learning_table(merged, config, regular=regular)
-    features = feature_order(frame, config)
-    dataset = scaled_dataset(frame, features, config.target_column)
+    """Run the whole preparation and write every table under ``out``.
+
+    With ``keys`` the hourly inputs hold many series; thresholds, shifts, splits
+    and parameters are then taken per series, in the same jobs. With
+    ``unique_hours`` no series can be longer than the range, so each is windowed
+    whole and the rows are not sorted across the cluster.
+    """
+    cleaned = clean_inputs(read_inputs(spark, paths, keyed_schemas(keys)), start, end)
+    merged = merged_table(cleaned, config, keys, fit_scope, unique_hours)
+    bound = hours_between(start, end) if unique_hours else None
+    frame = learning_table(merged, config, keys, bound, regular)
+    features = feature_order(frame, config, keys)
+    dataset = scaled_dataset(frame, features, config.target_column, keys)
 
     key = (config.target_feature, config.future_hours, config.dataset_number)
-    write_table(tag(merged, *key), f"{out}/merged", DATASET_KEY, "append")
+    write_table(tag(merged, *key), f"{out}/merged", DATASET_KEY, "replace")
     write_dataset(tag(dataset.rows, *key), f"{out}/datasets")
-    write_table(tag(dataset.arrays(), *key), f"{out}/tensors", (*DATASET_KEY, "split"), "append")
-    write_table(tag(dataset.params, *key), f"{out}/scalers", DATASET_KEY, "append")
+    write_table(tag(dataset.arrays(), *key), f"{out}/tensors", (*DATASET_KEY, "split"), "replace")
+    write_table(tag(dataset.params, *key), f"{out}/scalers", DATASET_KEY, "replace")
     record_dataset(describe(dataset, config, paths), f"{out}/dataset_info")
     return dataset
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.functions.scalar import grid_run_id
 from hourloom.operators import evaluate
-from hourloom.operators.catalog import COMPLETED, ERROR, log_trials
+from hourloom.operators.catalog import ERROR, log_trials, trial_status
 from hourloom.operators.forecast import model_pipeline, predict
 from hourloom.operators.validate import validation_gate
 from hourloom.plans.prepare import Dataset
@@ -38,13 +38,15 @@ def search(
     grid: Sequence[Mapping],
     out: str,
     select_on: str = "test",
+    max_mse: float | None = None,
 ) -> DataFrame:
     """Fit every parameter map on train and validation rows; write predictions, model and trial row.
 
     The loop runs on the driver over a short grid; each fit and each scoring is
     a distributed job, and only one row of metrics comes back. ``select_on="val"``
     fits on the train rows alone and scores the validation rows. A failing fit is
-    logged with status ``error`` and the search goes on.
+    logged with status ``error`` and the search goes on; predictions that are not
+    finite, or an error above ``max_mse``, make a trial ``pruned``.
     """
     spark = dataset.rows.sparkSession
     fitted_on = ("train",) if select_on == "val" else ("train", "val")
@@ -52,13 +54,13 @@ def search(
     train = train.select(*[c for c in train.columns if c.endswith("_scaled")]).persist()
     try:
         for number, params in enumerate(grid):
-            _run_trial(spark, dataset, key, family, number, params, train, out, select_on)
+            _run_trial(spark, dataset, key, family, number, params, train, out, select_on, max_mse)
     finally:
         train.unpersist()
     return spark.read.schema(TRIALS).parquet(f"{out}/trials")
 
 
-def _run_trial(spark, dataset, key, family, number, params, train, out, select_on) -> None:
+def _run_trial(spark, dataset, key, family, number, params, train, out, select_on, max_mse) -> None:
     started = time.time()
     row = dict(zip(KEY, key, strict=True)) | {
         "model": family,
@@ -69,7 +71,10 @@ def _run_trial(spark, dataset, key, family, number, params, train, out, select_o
         model = model_pipeline(family, params, dataset.features, dataset.label).fit(train)
         predictions = split_predictions(dataset, model, select_on).persist()
         try:
-            metrics = evaluate.regression_metrics(predictions).first().asDict()
+            checked = predictions.agg(*evaluate.check_columns(F.col("y_true"), F.col("y_pred")))
+            verdict = trial_status(F.col("mse"), F.col("unusable_count") == 0, max_mse)
+            status, reason = (c.alias(n) for c, n in zip(verdict, ("status", "reason"), strict=True))
+            metrics = checked.select("*", status, reason).first().asDict()
             run_id = _run_id(spark, family, params, metrics["mae"], key[2], started)
             write_predictions(
                 predictions.withColumn("run_id", F.lit(run_id)),
@@ -79,8 +84,8 @@ def _run_trial(spark, dataset, key, family, number, params, train, out, select_o
         finally:
             predictions.unpersist()
         model.write().overwrite().save(f"{out}/models/{run_id}")
-        row |= {m: metrics[m] for m in ("mae", "mse", "rmse", "r2")}
-        row |= {"run_id": run_id, "status": COMPLETED}
+        row |= {m: metrics[m] for m in ("mae", "mse", "rmse", "r2", "status", "reason")}
+        row["run_id"] = run_id
     except Exception as failure:
         row |= {"status": ERROR, "reason": str(failure)[:1000]}
     row["runtime_minutes"] = (time.time() - started) / 60

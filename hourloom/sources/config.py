@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.sql import Row, SparkSession
 
@@ -35,7 +35,21 @@ class JobConfig:
         return f"future_{self.future_hours}_{self.target_feature}"
 
     def as_json(self) -> str:
-        return json.dumps(asdict(self), sort_keys=True)
+        """The document this configuration can be read back from, defaults filled in."""
+        document = {
+            "dataset_number": self.dataset_number,
+            "features": list(self.features),
+            "target_feature": self.target_feature,
+            "covid_deletion": self.exclude,
+            "covid_filter_start": self.exclude_from,
+            "covid_filter_end": self.exclude_to,
+            "lag_features_config": self.lag_features,
+            "future_hours": self.future_hours,
+            "window_size": self.window_size,
+            "train_fraction": self.train_fraction,
+            "validation_fraction": self.validation_fraction,
+        }
+        return json.dumps(document)
 
 
 def config_from_row(row: Row) -> JobConfig:

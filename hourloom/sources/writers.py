@@ -19,9 +19,12 @@ def tag(df: DataFrame, target: str, horizon: int, dataset: str) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
 ) -> None:
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    """Write Parquet; ``mode="replace"`` rewrites only the partitions that ``df`` has rows for."""
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    if mode == "replace":
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode(mode)
     writer.parquet(path)
 
 
@@ -30,8 +33,11 @@ def write_delimited(df: DataFrame, path: str) -> None:
 
 
 def write_dataset(df: DataFrame, path: str) -> None:
-    """A tagged split table; a reader of one split of one dataset opens only its folders."""
-    write_table(df, path, partition_by=(*DATASET_KEY, "split"), mode="append")
+    """A tagged split table; a reader of one split of one dataset opens only its folders.
+
+    Preparing a dataset again replaces its rows.
+    """
+    write_table(df, path, partition_by=(*DATASET_KEY, "split"), mode="replace")
 
 
 def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:

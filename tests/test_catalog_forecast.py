@@ -144,6 +144,12 @@ def test_search_logs_every_trial(spark, dataset, tmp_path):
     assert (report.predictions_count, report.test_set_size, report.model) == (60, 60, "RF")
 
 
+def test_search_prunes_large_errors(dataset, tmp_path):
+    trials = search(dataset, ("label", 6, "d"), "RF", [SMALL], str(tmp_path), max_mse=1e-9)
+    row = trials.first()
+    assert row.status == "pruned" and row.reason.startswith("MSE value too high") and row.mae > 0
+
+
 def test_search_can_select_on_validation_rows(dataset, tmp_path):
     trials = search(dataset, ("label", 6, "d"), "GBT", [{"n_estimators": 2, "max_depth": 2}], str(tmp_path), "val")
     row = trials.first()

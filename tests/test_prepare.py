@@ -11,7 +11,7 @@ from hourloom.operators.catalog import dataset_info, list_datasets
 from hourloom.plans import standins as V
 from hourloom.plans.prepare import clean_inputs, learning_table, merged_table, prepare
 from hourloom.sources import schemas as N
-from hourloom.sources.config import JobConfig
+from hourloom.sources.config import JobConfig, config_from_row
 from hourloom.sources.readers import read_inputs
 
 CONFIG = JobConfig(
@@ -119,6 +119,7 @@ def test_prepared_dataset_equals_pandas(spark, written, tmp_path):
     assert list(info.feature_order) == names and list(info.scaled_features) == scaled
     assert (info.total_samples, info.train_rows, info.val_rows, info.test_rows) == (n, a, b, n - a - b)
     assert (info.original_features, info.lag_features, info.excluded_from) == (29, 6, "2019-01-05")
+    assert config_from_row(info.config) == CONFIG
     assert list(info.tensor_shape) == [len(names), 1] and info.lag_features_config == CONFIG.lag_features
     assert list_datasets(spark, f"{out}/datasets").first().dataset_key == "3hours_total_patient_count_dataset2"
     tensors = spark.read.parquet(f"{out}/tensors").where("split = 'test'").orderBy("idx").toPandas()
@@ -149,3 +150,45 @@ def test_threshold_and_grid_options(spark, written):
     )
     assert behind.count() == regular.count()
     assert behind.where("before <> lag_1_total_patient_count").count() == 0
+
+
+def test_two_sites_in_one_job_equal_two_jobs(spark, written, tmp_path):
+    frames, _ = written
+    paths = {}
+    for name, df in frames.items():
+        paths[name] = str(tmp_path / f"{name}.csv")
+        if name in ("patients", "census", "boarding", "treatment"):
+            north, south = df.assign(site="north"), df.iloc[:200].assign(site="south")
+            df = pd.concat([north, south])
+        df.to_csv(paths[name], index=False)
+    out = str(tmp_path / "out")
+    whole = prepare(spark, CONFIG, paths, out, keys=["site"], unique_hours=True)
+    expected = expected_table(frames)
+    north = whole.rows.where("site = 'north'").orderBy("idx").toPandas()
+    assert list(north[N.HOUR]) == list(expected[N.HOUR])
+    for c in whole.features:
+        assert np.allclose(north[c].astype(float), expected[c].astype(float)), c
+    south = expected_table(
+        {k: (v.iloc[:200] if k in ("patients", "census", "boarding", "treatment") else v) for k, v in frames.items()}
+    )
+    got = whole.rows.where("site = 'south'").orderBy("idx").toPandas()
+    assert list(got["extreme_indicator"]) == list(south["extreme_indicator"])
+    train = south.iloc[: int(len(south) * 0.7)]["temp"]
+    assert np.allclose(got["temp_scaled"], (south["temp"] - train.mean()) / train.std(ddof=0))
+
+    bucketed = prepare(spark, CONFIG, paths, out, keys=["site"])
+    order = ["site", "idx"]
+    names = [*order, "split", *[c + "_scaled" for c in whole.features]]
+    left = whole.rows.select(names).orderBy(*order).toPandas()
+    right = bucketed.rows.select(names).orderBy(*order).toPandas()
+    pd.testing.assert_frame_equal(left, right)
+    # the second run replaced the first
+    assert spark.read.parquet(f"{out}/datasets").count() == len(left)
+
+
+def test_repeated_hours_are_refused_when_uniqueness_is_claimed(spark, written):
+    _, paths = written
+    cleaned = clean_inputs(read_inputs(spark, paths, N.INPUTS))
+    cleaned["census"] = cleaned["census"].unionByName(cleaned["census"])
+    with pytest.raises(ValueError, match="duplicate key"):
+        merged_table(cleaned, CONFIG, unique_hours=True)
