@@ -128,11 +128,10 @@ def scale_for_model(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Scaled copies of the features and, if given, of the label; without parameters plain copies."""
+    columns = [*features, *([label] if label else [])]
     if params is None:
-        columns = [*features, *([label] if label else [])]
         return df.withColumns({c + SCALED: F.col(f"`{c}`").cast("double") for c in columns})
-    scaled = scale(df, params, features, by, suffix=SCALED)
-    return scale(scaled, params, [label], by, role="target", suffix=SCALED) if label else scaled
+    return scale(df, params, columns, by, suffix=SCALED)
 
 
 def predict(

@@ -91,12 +91,12 @@ def fit_scaler(
 
 
 def _with_params(
-    df: DataFrame, params: DataFrame, columns: Sequence[str], by: Sequence[str], role: str
+    df: DataFrame, params: DataFrame, columns: Sequence[str], by: Sequence[str]
 ) -> DataFrame:
     """Add ``_p``, the (mean, std) of each column in the order of ``columns``, null where unscaled."""
     entry = F.struct("column", F.struct("mean", "std"))
-    chosen = params.where(F.col("role") == role).groupBy(*by)
-    named = chosen.agg(F.map_from_entries(F.collect_list(entry)).alias("_named"))
+    wanted = params.where(F.col("column").isin(*columns)).groupBy(*by)
+    named = wanted.agg(F.map_from_entries(F.collect_list(entry)).alias("_named"))
     names = F.array(*[F.lit(c) for c in columns])
     ordered = F.transform(names, lambda c: F.try_element_at("_named", c))
     return _attach(df, named.select(*by, ordered.alias("_p")), by, "_p")
@@ -107,11 +107,13 @@ def scale(
     params: DataFrame,
     columns: Sequence[str],
     by: Sequence[str] = (),
-    role: str = FEATURE,
     suffix: str = "_scaled",
 ) -> DataFrame:
-    """Add ``<column><suffix>``; columns without parameters pass through as double."""
-    joined = _with_params(df, params, columns, by, role)
+    """Add ``<column><suffix>``; columns without parameters pass through as double.
+
+    Scale features and label in one call: each call attaches the parameters once.
+    """
+    joined = _with_params(df, params, columns, by)
     scaled = {}
     for i, (c, x) in enumerate(zip(columns, _values(columns), strict=True)):
         p = F.get("_p", F.lit(i))
@@ -125,10 +127,9 @@ def unscale(
     column: str,
     into: dict[str, str],
     by: Sequence[str] = (),
-    role: str = TARGET,
 ) -> DataFrame:
     """Undo the scaling of ``column`` for every ``source -> result`` pair; without parameters values stay."""
-    joined = _with_params(df, params, [column], by, role)
+    joined = _with_params(df, params, [column], by)
     p = F.get("_p", F.lit(0))
     restored = {}
     for source, result in into.items():

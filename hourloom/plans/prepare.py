@@ -13,7 +13,7 @@ from hourloom.operators import clean, enrich
 from hourloom.operators.catalog import record_dataset
 from hourloom.operators.lagging import supervised_frame
 from hourloom.operators.lookup import lookup
-from hourloom.operators.scaling import FEATURE, TARGET, feature_arrays, fit_scaler, scale
+from hourloom.operators.scaling import FEATURE, feature_arrays, fit_scaler, scale
 from hourloom.operators.split import chronological_split
 from hourloom.operators.timeindex import row_index
 from hourloom.session import materialise
@@ -151,10 +151,8 @@ def scaled_dataset(
     """Write the split table, fit the parameters on its train rows, and scale all rows with them."""
     frame = materialise(frame)
     params = materialise(fit_scaler(frame.where(F.col("split") == "train"), features, label, keys))
-    rows = scale(frame, params, features, keys, FEATURE)
-    return Dataset(
-        scale(rows, params, [label], keys, TARGET), params, list(features), label, tuple(keys)
-    )
+    rows = scale(frame, params, [*features, label], keys)
+    return Dataset(rows, params, list(features), label, tuple(keys))
 
 
 def hours_between(start: str, end: str) -> int:

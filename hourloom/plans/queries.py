@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hourloom.functions import scalar as S
 from hourloom.operators import catalog, clean, enrich, evaluate, forecast, lagging, scaling
@@ -15,7 +15,6 @@ from hourloom.plans import standins as V
 from hourloom.plans.prepare import (
     Dataset,
     clean_inputs,
-    feature_order,
     learning_table,
     merge_inputs,
     merged_table,
@@ -373,18 +372,17 @@ def range_check(spark, sf_dir):
     return evaluate.range_check(narrowed, ["nation"])
 
 
-def _damaged(predictions: DataFrame) -> DataFrame:
+def _damaged(y_pred: Column) -> Column:
     row = F.col("row_id")
-    return predictions.withColumn(
-        "y_pred",
-        F.when(row % 97 == 13, float("nan")).when(row % 101 == 17, float("inf"))
-        .otherwise(F.col("y_pred") - 2),
+    return (
+        F.when(row % 97 == 13, float("nan")).when(row % 101 == 17, float("inf")).otherwise(y_pred - 2)
     )
 
 
 @query
 def prediction_issue_counts(spark, sf_dir):
-    return evaluate.issue_counts(_damaged(V.predictions(spark, sf_dir)), ["nation"])
+    damaged = V.predictions(spark, sf_dir).withColumn("y_pred", _damaged(F.col("y_pred")))
+    return evaluate.issue_counts(damaged, ["nation"])
 
 
 @query
@@ -435,12 +433,11 @@ def _model_ids(metrics: DataFrame) -> DataFrame:
 
 @query
 def validation(spark, sf_dir):
-    """Verdict per nation: even nations forecast as is, every fourth has damaged rows."""
+    """Verdict per nation; every fourth has damaged rows, some ids claim a wrong metric or none."""
     plain = materialise(V.predictions(spark, sf_dir))
-    damaged = _damaged(plain).select("nation", "row_id", F.col("y_pred").alias("_damaged"))
-    mixed = plain.join(damaged, ["nation", "row_id"]).select(
-        "nation", "row_id", "y_true",
-        F.when(F.col("nation") % 4 == 3, F.col("_damaged")).otherwise(F.col("y_pred")).alias("y_pred"),
+    every_fourth = F.col("nation") % 4 == 3
+    mixed = plain.withColumn(
+        "y_pred", F.when(every_fourth, _damaged(F.col("y_pred"))).otherwise(F.col("y_pred"))
     )
     ids = _model_ids(evaluate.regression_metrics(plain, ["nation"]))
     gate = validation_gate(mixed, ids, ["nation"])

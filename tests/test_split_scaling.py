@@ -81,8 +81,7 @@ def test_scaler_uses_population_deviation_and_scale_one_for_constants(spark, tab
 
 def test_scale_and_back(spark, table):
     params = materialise(scaling.fit_scaler(table, ["two", "three"], "y", ["k"]))
-    scaled = scaling.scale(table, params, ["two", "three"], ["k"])
-    scaled = scaling.scale(scaled, params, ["y"], ["k"], scaling.TARGET)
+    scaled = scaling.scale(table, params, ["two", "three", "y"], ["k"])
     back = scaling.unscale(scaled, params, "y", {"y_scaled": "restored"}, ["k"])
     pdf = back.toPandas()
     assert len(pdf) == 60
