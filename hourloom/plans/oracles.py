@@ -415,16 +415,19 @@ ORACLES = {
         count(*) FILTER (WHERE status = 'completed') AS completed,
         count(*) FILTER (WHERE status = 'pruned') AS pruned FROM trials GROUP BY 1, 2, 3""",
     "model_dataset_location": f"""WITH {TRIALS} SELECT target, horizon, dataset, count(*) AS models,
-        CASE WHEN dataset <> 'dataset1' THEN count(*) END AS trials FROM trials GROUP BY 1, 2, 3""",
+        nullif(count(*) FILTER (WHERE status = 'completed'), 0) AS trials FROM trials GROUP BY 1, 2, 3""",
     "scaler_lookup": f"""WITH {DAILY_SPLIT}, {_params(DAILY_INPUTS, DAILY_LABEL, ['nation'])},
         {PREDICTIONS.replace(DAILY_BY_NATION + ',', '')},
-        scalers AS (SELECT nation, 'dataset' || nation AS dataset, mean, std, CASE WHEN role = 'target'
-            THEN 'target_scaler_dataset' || nation WHEN nation % 3 = 0
-            THEN 'scaler_dataset' || nation || '_' || "column" ELSE 'scaler_' || "column" END AS scaler
-          FROM params WHERE role <> 'target' OR nation % 2 = 0),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY CASE
+        named AS (SELECT nation, 'dataset' || nation AS dataset, mean, std, role, "column",
+            CASE WHEN role = 'target' THEN 'target_scaler_dataset' || nation
+            WHEN "column" LIKE 'lag@_%' ESCAPE '@' THEN 'scaler_' || "column"
+            ELSE 'scaler_dataset' || nation || '_' || "column" END AS scaler FROM params),
+        scalers AS (SELECT 'full' AS catalogue, * FROM named
+            UNION ALL SELECT 'features', * FROM named WHERE role = 'feature'
+            UNION ALL SELECT 'lags', * FROM named WHERE "column" LIKE 'lag@_%' ESCAPE '@'),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY catalogue, nation ORDER BY CASE
             WHEN lower(scaler) LIKE '%target%' THEN 0 WHEN contains(scaler, dataset) THEN 1 ELSE 2 END, scaler)
             AS place FROM scalers)
-        SELECT p.nation, dataset, scaler, row_id, round(y_pred * std + mean, 3) AS y_pred
+        SELECT catalogue, p.nation, dataset, scaler, row_id, round(y_pred * std + mean, 3) AS y_pred
         FROM predictions p JOIN ranked r ON r.nation = p.nation AND place = 1""",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hourloom.functions.scalar import WEATHER_TYPES
 from hourloom.operators import clean, enrich
-from hourloom.operators.catalog import record_dataset
+from hourloom.operators.catalog import dataset_info, record_dataset
 from hourloom.operators.lagging import supervised_frame
 from hourloom.operators.lookup import lookup
 from hourloom.operators.scaling import FEATURE, feature_arrays, fit_scaler, scale
@@ -204,6 +204,30 @@ def prepare(
     return dataset
 
 
+def _of_dataset(df: DataFrame, key: tuple[str, int, str]) -> DataFrame:
+    for column, wanted in zip(DATASET_KEY, key, strict=True):
+        df = df.where(F.col(column) == wanted)
+    return df.drop(*DATASET_KEY)
+
+
+def read_scalers(
+    spark: SparkSession, out: str, key: tuple[str, int, str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """The parameters written for one dataset."""
+    stored = _of_dataset(spark.read.parquet(f"{out}/scalers"), key)
+    return stored.select(*keys, *[f.name for f in N.SCALER_PARAMS.fields])
+
+
+def load_dataset(
+    spark: SparkSession, out: str, key: tuple[str, int, str], keys: Sequence[str] = ()
+) -> Dataset:
+    """A dataset written earlier; reading one split of it opens only that split's folders."""
+    info = dataset_info(spark, f"{out}/dataset_info", *key)
+    rows = _of_dataset(spark.read.parquet(f"{out}/datasets"), key)
+    params = read_scalers(spark, out, key, keys)
+    return Dataset(rows, params, list(info["feature_order"]), info["target_column"], tuple(keys))
+
+
 def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) -> DataFrame:
     """The one-row description of a dataset."""
     counts = F.col("split")

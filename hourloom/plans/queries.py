@@ -504,7 +504,7 @@ def model_dataset_location(spark, sf_dir):
     """Every run resolved to its dataset by exact key, with the dataset's trial counts."""
     trials = V.trials(spark, sf_dir)
     models = trials.select(F.col("run_id").alias("model_id"), "trial_num")
-    datasets = catalog.dataset_catalog(trials.where(F.col("dataset") != "dataset1"))
+    datasets = catalog.dataset_catalog(trials.where(F.col("status") == catalog.COMPLETED))
     located = catalog.locate_datasets(models, datasets)
     return located.groupBy("target", "horizon", "dataset").agg(
         F.count(F.lit(1)).alias("models"), F.max("trials").alias("trials")
@@ -513,22 +513,33 @@ def model_dataset_location(spark, sf_dir):
 
 @query
 def scaler_lookup(spark, sf_dir):
-    """One scaler per nation by preference, then the predictions un-scaled with it."""
+    """One scaler per nation from three catalogues, then the predictions un-scaled with each.
+
+    The full catalogue has target scalers, the second scalers that name their
+    dataset, the third neither: every step of the preference decides once.
+    """
     params = _daily_dataset(spark, sf_dir, ["nation"]).params
     dataset = F.concat(F.lit("dataset"), F.col("nation").cast("string"))
-    is_target = F.col("role") == "target"
-    name = F.when(is_target, F.concat(F.lit("target_scaler_"), dataset)).otherwise(
-        F.when(F.col("nation") % 3 == 0, F.concat(F.lit("scaler_"), dataset, F.lit("_"), F.col("column")))
-        .otherwise(F.concat(F.lit("scaler_"), F.col("column")))
+    is_target = F.col("role") == scaling.TARGET
+    is_lag = F.col("column").startswith("lag_")
+    name = (
+        F.when(is_target, F.concat(F.lit("target_scaler_"), dataset))
+        .when(is_lag, F.concat(F.lit("scaler_"), F.col("column")))
+        .otherwise(F.concat(F.lit("scaler_"), dataset, F.lit("_"), F.col("column")))
+    )
+    catalogues = F.when(is_target, F.array(F.lit("full"))).otherwise(
+        F.when(is_lag, F.array(F.lit("full"), F.lit("features"), F.lit("lags")))
+        .otherwise(F.array(F.lit("full"), F.lit("features")))
     )
-    scalers = params.where(~is_target | (F.col("nation") % 2 == 0)).select(
-        "nation", dataset.alias("dataset"), name.alias("scaler"), "mean", "std"
+    scalers = params.select(
+        F.explode(catalogues).alias("catalogue"), "nation", dataset.alias("dataset"),
+        name.alias("scaler"), "mean", "std",
     )
-    chosen = catalog.choose_scaler(scalers, ["nation", "dataset"])
+    chosen = catalog.choose_scaler(scalers, ["catalogue", "nation", "dataset"])
     restored = V.predictions(spark, sf_dir).join(chosen, "nation")
     unscaled = S.unstandardise(F.col("y_pred"), F.col("mean"), F.col("std"))
     return restored.select(
-        "nation", "dataset", "scaler", "row_id", F.round(unscaled, 3).alias("y_pred")
+        "catalogue", "nation", "dataset", "scaler", "row_id", F.round(unscaled, 3).alias("y_pred")
     )
 
 

@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.functions.scalar import grid_run_id
 from hourloom.operators import evaluate
-from hourloom.operators.catalog import ERROR, log_trials, trial_status
-from hourloom.operators.forecast import model_pipeline, predict
+from hourloom.operators.catalog import ERROR, dataset_info, log_trials, trial_status
+from hourloom.operators.forecast import model_pipeline, predict, score
 from hourloom.operators.validate import validation_gate
-from hourloom.plans.prepare import Dataset
-from hourloom.sources.writers import write_predictions, write_table
+from hourloom.plans.prepare import Dataset, read_scalers
+from hourloom.session import materialise
 from hourloom.sources.schemas import TRIALS
-
-KEY = ("target", "horizon", "dataset")
+from hourloom.sources.writers import DATASET_KEY, write_predictions, write_table
 
 
 def split_predictions(dataset: Dataset, model, split: str = "test") -> DataFrame:
@@ -62,7 +61,7 @@ def search(
 
 def _run_trial(spark, dataset, key, family, number, params, train, out, select_on, max_mse) -> None:
     started = time.time()
-    row = dict(zip(KEY, key, strict=True)) | {
+    row = dict(zip(DATASET_KEY, key, strict=True)) | {
         "model": family,
         "trial_num": number,
         "params": {k: str(v) for k, v in params.items()},
@@ -120,8 +119,36 @@ def evaluation_report(
 def validate_model(
     dataset: Dataset, model, model_id: str, split: str = "test", repeats: int = 5
 ) -> DataFrame:
-    """Score a split ``repeats`` times and judge the first run; ``run`` spreads are reported aside."""
+    """Score a split ``repeats`` times and judge the first run; ``run`` spreads are reported aside.
+
+    The runs are written once: both the verdict and the spread read them.
+    """
     spark = dataset.rows.sparkSession
-    runs = evaluate.stack_runs([split_predictions(dataset, model, split) for _ in range(repeats)])
+    scored = [split_predictions(dataset, model, split) for _ in range(repeats)]
+    runs = materialise(evaluate.stack_runs(scored))
     claimed = spark.range(1).select(F.lit(model_id).alias("model_id"))
     return validation_gate(runs.where("run = 0"), claimed, runs=runs)
+
+
+def evaluate_run(dataset: Dataset, model, run_id: str, out: str, split: str = "test") -> DataFrame:
+    """Score a split, write its predictions and append one row to the evaluations."""
+    predictions = materialise(split_predictions(dataset, model, split))
+    write_predictions(
+        predictions.withColumn("run_id", F.lit(run_id)), f"{out}/predictions", [*dataset.keys, "row_id"]
+    )
+    rows = dataset.split(split).count()
+    return evaluation_report(predictions, rows, {"run_id": run_id, "split": split}, f"{out}/evaluations")
+
+
+def score_table(
+    df: DataFrame,
+    out: str,
+    key: tuple[str, int, str],
+    model,
+    carry: Sequence[str] = (),
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Score raw feature rows with what the preparation recorded: feature order and parameters."""
+    info = dataset_info(df.sparkSession, f"{out}/dataset_info", *key)
+    params = read_scalers(df.sparkSession, out, key, keys)
+    return score(df, model, info["feature_order"], info["target_column"], params, carry, keys)

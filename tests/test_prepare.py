@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from hourloom.operators.catalog import dataset_info, list_datasets
 from hourloom.plans import standins as V
-from hourloom.plans.prepare import clean_inputs, learning_table, merged_table, prepare
+from hourloom.operators.forecast import load_model
+from hourloom.plans.prepare import clean_inputs, learning_table, load_dataset, merged_table, prepare
+from hourloom.plans.search import evaluate_run, score_table, search
 from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig, config_from_row
 from hourloom.sources.readers import read_inputs
@@ -124,6 +126,21 @@ def test_prepared_dataset_equals_pandas(spark, written, tmp_path):
     assert list_datasets(spark, f"{out}/datasets").first().dataset_key == "3hours_total_patient_count_dataset2"
     tensors = spark.read.parquet(f"{out}/tensors").where("split = 'test'").orderBy("idx").toPandas()
     assert np.allclose(np.stack(tensors["x"]), got[got["split"] == "test"][[c + "_scaled" for c in names]], atol=1e-5)
+    key = ("total_patient_count", 3, "dataset2")
+    loaded = load_dataset(spark, out, key)
+    assert loaded.features == names and loaded.split("val").count() == b
+    grid = [{"n_estimators": 3, "max_depth": 3}]
+    run = search(loaded, key, "RF", grid, out).first().run_id
+    model = load_model(f"{out}/models/{run}")
+    report = evaluate_run(loaded, model, "again", out).first()
+    assert (report.test_set_size, report.predictions_count) == (n - a - b, n - a - b)
+    saved = spark.read.parquet(f"{out}/predictions")
+    assert saved.where("run_id = 'again'").count() == n - a - b
+    scored = score_table(loaded.split("test").select("idx", *names), out, key, model, ["idx"])
+    both = scored.join(saved.where("run_id = 'again'"), scored.idx == saved.row_id)
+    assert both.where(F.abs(scored.y_pred - saved.y_pred) > 1e-9).count() == 0
+    assert both.count() == n - a - b
+
     merged = spark.read.parquet(f"{out}/merged")
     assert N.HOUR in merged.columns and "weather_type" not in merged.columns
     with pytest.raises(ValueError, match="no dataset"):
