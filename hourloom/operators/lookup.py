@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from hourloom.session import materialise
 
 BROADCAST_ROWS = 100_000
+BROADCAST_VALUES = 2_000_000
 SPREAD = 32
 
 
@@ -27,19 +28,21 @@ def lookup(
     keys: Sequence[str],
     how: str = "left",
     written: bool = False,
+    width: int = 1,
     broadcast_rows: int = BROADCAST_ROWS,
     spread: int = SPREAD,
 ) -> DataFrame:
     """Attach ``params`` (unique on ``keys``) to ``facts``.
 
     The parameters are written first, unless the caller did (``written``), so
-    their row count is known: up to ``broadcast_rows`` they are broadcast and the
-    facts are not shuffled. Beyond that every key is repeated ``spread`` times and the facts are dealt over the
-    repetitions, so that one hot key is shared by that many tasks.
+    their row count is known: up to ``broadcast_rows``, and two million values
+    at ``width`` values a row, they are broadcast and the facts are not shuffled.
+    Beyond that every key is repeated ``spread`` times and the facts are dealt
+    over the repetitions, so that one hot key is shared by that many tasks.
     """
     if not written:
         params = materialise(params)
-    if params.count() <= broadcast_rows:
+    if params.count() <= min(broadcast_rows, BROADCAST_VALUES // width):
         return join_same(facts, F.broadcast(params), keys, how)
     dealt, repeated = _dealt(facts, spread), _repeated(params, spread)
     return join_same(dealt, repeated, [*keys, "_deal"], how).drop("_deal")
