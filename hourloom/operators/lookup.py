@@ -49,9 +49,11 @@ def lookup(
 
 
 def _dealt(facts: DataFrame, spread: int) -> DataFrame:
-    # A hash of the row, not a random number: a repeated task deals the same way.
+    # A hash of the row and its partition, not a random number: a repeated task deals the same
+    # way, and equal rows from many partitions are still dealt apart.
     values = [F.col(f"`{f.name}`") for f in facts.schema.fields if f.dataType.typeName() != "map"]
-    return facts.withColumn("_deal", F.pmod(F.xxhash64(*values), F.lit(spread)).cast("int"))
+    mixed = F.xxhash64(*values, F.spark_partition_id())
+    return facts.withColumn("_deal", F.pmod(mixed, F.lit(spread)).cast("int"))
 
 
 def _repeated(params: DataFrame, spread: int) -> DataFrame:

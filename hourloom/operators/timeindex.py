@@ -40,14 +40,15 @@ def with_ordinal(
 
     ``_total`` holds the number of rows, for the width of the buckets.
     ``order_by`` must make the order total: end it with a tie-breaker where times repeat.
-    A row without a series key has no series to be placed in and is refused.
+    Equal rows are ordered by the partition they come from, so that many copies
+    of one row do not meet in one partition of the sort. A row without a series
+    key has no series to be placed in and is refused.
     """
     df = df.withColumns(
         {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"a row has no series key {k}"))) for k in keys}
     )
-    placed = materialise(
-        df.orderBy(*keys, *order_by).withColumn("_at", F.monotonically_increasing_id())
-    )
+    ordered = df.withColumn("_from", F.spark_partition_id()).orderBy(*keys, *order_by, "_from")
+    placed = materialise(ordered.drop("_from").withColumn("_at", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_at", ROW_BITS))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition of the sort, so this table is small whatever the data is.

@@ -127,6 +127,24 @@ def test_ordinals_are_dense_over_many_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
 
 
+def test_copies_of_one_row_are_split(spark):
+    # a third of all rows are equal, in every partition of the input
+    df = spark.range(9000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id")).alias("t"), F.lit("a").alias("k")
+    )
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = with_ordinal(df, ["t"], ["k"])
+        sizes = [spark.read.parquet(path).count() for path in placed.inputFiles()]
+        assert sum(sizes) == 9000 and max(sizes) < 2500
+        ordinals = rows(placed.select("t", "_ordinal"), "_ordinal")
+        assert [r[1] for r in ordinals] == list(range(9000))
+        assert [r[0] for r in ordinals] == sorted(r[0] for r in ordinals)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+
+
 def test_a_row_without_a_series_is_refused(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "k string, t int")
     with pytest.raises(Exception, match="no series key k"):
