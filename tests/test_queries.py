@@ -9,12 +9,12 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from hourloom.plans.oracles import ORACLES
+from hourloom.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the test tables are not here")
 
