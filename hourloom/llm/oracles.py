@@ -66,7 +66,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failing LEFT JOIN rates ON failing.source IS NOT DISTINCT FROM rates.source
 """
 
+DECONTAMINATION = r"""
+WITH items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS k
+  FROM (SELECT item, w, least(len(w), 10) AS l, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM items WHERE len(w) > 0)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), doc_windows AS (
+  SELECT r, l, i, array_to_string(w[i:i + l - 1], ' ') AS k
+  FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS i
+        FROM docs, (SELECT DISTINCT l FROM item_windows) WHERE len(w) >= l)
+), hits AS (
+  SELECT r, l, i, item FROM doc_windows JOIN item_windows USING (l, k)
+), covered AS (
+  SELECT r, count(DISTINCT place) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + l)) AS place FROM (SELECT DISTINCT r, i, l FROM hits)) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS item_ids FROM hits GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(item_ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
+
 ORACLES = {
+    "op6_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op7_quality_rules": QUALITY_RULES,
 }

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.llm.common import read
+from hourloom.llm.decontaminate import decontaminate
 from hourloom.llm.quality_rules import BASE, quality_rules
 from hourloom.llm.token_counts import token_counts
 from hourloom.llm.url_filter import judge_urls, rule_table
@@ -36,6 +37,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules(read(spark, sf_dir, "documents"))
     return found.select("doc_id", *BASE, "base_failed", "kept")
