@@ -98,7 +98,35 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
 """
 
+# Pairs by way of shared shingles, components by the smallest label that reaches a document.
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 3], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * common >= 80 * (a.n + b.n - common)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), parts AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN parts ON parts.x = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
 ORACLES = {
+    "op10_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op7_quality_rules": QUALITY_RULES,

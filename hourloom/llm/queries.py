@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.llm.common import read
 from hourloom.llm.decontaminate import decontaminate
+from hourloom.llm.near_dups import near_duplicates
 from hourloom.llm.quality_rules import BASE, quality_rules
 from hourloom.llm.token_counts import token_counts
 from hourloom.llm.url_filter import judge_urls, rule_table
@@ -38,7 +39,8 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.drop("n_near_items")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +48,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *BASE, "base_failed", "kept")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles of four words, as the contract has it."""
+    return near_duplicates(read(spark, sf_dir, "documents"), size=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
