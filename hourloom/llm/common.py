@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
-import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A missing document id sorts behind every other one.
@@ -63,21 +61,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def batches(
-    rows: Iterable[tuple], schema: pa.Schema, size: int = 4096, weigh=None, limit: int = 16 << 20
-) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most ``size`` rows; ``weigh`` bounds their bytes as well."""
-    kept: list[tuple] = []
-    weight = 0
-    for row in rows:
-        kept.append(row)
-        weight += weigh(row) if weigh else 0
-        if len(kept) >= size or weight >= limit:
-            yield _batch(kept, schema)
-            kept, weight = [], 0
-    if kept:
-        yield _batch(kept, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+def pack(values: np.ndarray) -> bytes:
+    """Zstandard over the bytes of the values, first bytes first: small numbers cost little."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def unpack(blob: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpack(blob, np.uint64), dtype=np.uint64)

@@ -10,8 +10,8 @@ Sketches are cut into bands; documents that agree in a band are in one bucket.
 Buckets are not expanded into pairs: every member is verified against one
 leader of its bucket, links are merged into components, and further turns with
 other leaders concern only members that are not yet in their leader's
-component. What the leaders leave apart is compared in full across components:
-one representative pair list per bucket, of sets whose sizes allow a link.
+component. Members of buckets that the leaders leave in several components meet
+by their rarest shingles, in an order and up to a rank that no link can escape.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hourloom.llm.common import lower_words, mix
 from hourloom.session import materialise
@@ -29,16 +29,22 @@ from hourloom.session import materialise
 SIZE = 4
 BANDS = 42
 ROWS = 5
-#: Rounds of leaders before what is left in a bucket is compared in full.
+#: Turns of leaders before the members of buckets of several components meet by their rarest shingles.
 LEADERS = 4
 
 #: A missing id is replaced by a number from here on, chosen by the text; ids must be smaller.
 NO_ID = 1 << 62
 
 SKETCHES = pa.schema(
-    [("id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))]
+    [
+        ("id", pa.int64()),
+        ("row", pa.int64()),
+        ("digest", pa.binary()),
+        ("n_shingles", pa.int64()),
+        ("bands", pa.list_(pa.int64())),
+    ]
 )
-SKETCHES_DDL = "id long, digest binary, n_shingles long, bands array<long>"
+SKETCHES_DDL = "id long, row long, digest binary, n_shingles long, bands array<long>"
 SETS = pa.schema([("doc", pa.int64()), ("elements", pa.binary())])
 OVERLAPS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sizes", pa.int64()), ("shared", pa.int64())])
 OVERLAPS_DDL = "a long, b long, sizes long, shared long"
@@ -94,8 +100,8 @@ def _sketcher(size: int, bands: int, rows: int):
                 counts.append(len(elements))
                 digests.append(set_digest(elements) if len(elements) else None)
                 keys.append(band_keys(sketch(elements, bands * rows), bands, rows) if len(elements) else None)
-            columns = zip((digests, counts, keys), list(SKETCHES)[1:])
-            yield pa.record_batch([part.column("id"), *[pa.array(c, f.type) for c, f in columns]], schema=SKETCHES)
+            columns = zip((digests, counts, keys), list(SKETCHES)[2:])
+            yield pa.record_batch([part.column("id"), part.column("row"), *[pa.array(c, f.type) for c, f in columns]], schema=SKETCHES)
 
     return run
 
@@ -199,22 +205,57 @@ def _leaders(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return pairs.join(of, "leader").where("component <> of").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
 
 
-def _apart(members: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket and different components whose sizes allow a link."""
-    placed = members.join(labels, "doc").join(sizes, "doc")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.where("low <> high").select("key"), "key")
-    other = placed.select("key", F.col("doc").alias("b"), F.col("component").alias("of"), F.col("n").alias("m"))
-    pairs = placed.withColumnRenamed("doc", "a").join(other, "key").where(
-        (F.col("a") < F.col("b"))
-        & (F.col("component") != F.col("of"))
-        & (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+def _elements(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        columns = zip(*(part.column(c).to_pylist() for c in ("doc", "component", "elements")))
+        for doc, component, elements in columns:
+            own, name = np.frombuffer(elements, np.int64), xxhash.xxh64_intdigest(elements) >> 1
+            for at in range(0, len(own), 1 << 16):
+                some = own[at : at + (1 << 16)]
+                n = len(some)
+                rows = ([doc] * n, [component] * n, [name] * n, [len(own)] * n, some)
+                yield pa.record_batch(
+                    [pa.array(c, pa.int64()) for c in rows], names=["doc", "component", "own", "n", "element"]
+                )
+
+
+def _apart(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs that may be linked among the members of buckets that still hold several components.
+
+    In any fixed order of the elements, two similar sets share an element early
+    in both; in the order from rare to frequent few others do. Each set gives
+    its first elements, and a pair is made only where enough elements follow in
+    both sets for a link: members of one bucket below the threshold mostly
+    differ in more of their rare elements than that.
+    """
+    placed = members.join(labels, "doc")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    left = placed.join(mixed.select("key"), "key").select("doc", "component").distinct()
+    rows = sets.join(left, "doc").mapInArrow(_elements, "doc long, component long, own long, n long, element long")
+    rows = materialise(rows)
+    counts = rows.groupBy("element").agg(
+        F.count(F.lit(1)).alias("held"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    counts = materialise(counts.where("held > 1").select("element", "held", (F.col("low") != F.col("high")).alias("mixed")))
+    ranked = rows.join(counts, "element", "left").withColumn(
+        "follow",
+        F.col("n")
+        + 1
+        - F.row_number().over(Window.partitionBy("doc", "own").orderBy(F.coalesce("held", F.lit(1)), "element")),
     )
-    return pairs.select("a", "b")
+    early = ranked.where("mixed").where(100 * F.col("follow") >= percent * F.col("n")).select("element", "doc", "component", "n", "follow")
+    early = materialise(early)
+    shorter = early.where((100 + percent) * F.col("follow") >= 2 * percent * F.col("n"))
+    longer = early.select("element", *[F.col(c).alias(f"{c}_") for c in ("doc", "component", "n", "follow")])
+    enough = (100 + percent) * F.least("follow", "follow_") >= percent * (F.col("n") + F.col("n_"))
+    ordered = (F.col("n") < F.col("n_")) | ((F.col("n") == F.col("n_")) & (F.col("doc") < F.col("doc_")))
+    pairs = shorter.join(longer, "element").where(enough & ordered & (F.col("component") != F.col("component_")))
+    return pairs.select(F.col("doc").alias("a"), F.col("doc_").alias("b"))
 
 
-def near_duplicates(
+def near_duplicate_rows(
     docs: DataFrame,
+    row: Column,
     id_column: str = "doc_id",
     text: str = "text",
     size: int = SIZE,
@@ -223,49 +264,58 @@ def near_duplicates(
     rows: int = ROWS,
     leaders: int = LEADERS,
 ) -> DataFrame:
-    """Return doc_id, n_shingles, component_id and kept, one row per input row.
+    """(id, row, n_shingles, component) of every input row; ids from NO_ID on stand for missing ones.
 
-    Two documents are linked if 100 * |intersection| >= ``percent`` * |union| of
-    their full shingle sets. 42 bands of 5 rows miss a pair at 0.8 with
-    probability (1 - 0.8^5)^42 < 6e-8. Documents with equal sets are one node,
-    and so are sets with one smallest id, which only repeated ids can have.
-    Missing, empty and blank texts have no shingles and are linked with nothing.
-    A missing id counts as larger than any other and is never the component of a
-    document with an id. Repeated rows are copies of each other and all kept or
-    all dropped. Empty tables give an empty result.
+    ``row`` is carried along. Two documents are linked if 100 * |intersection|
+    >= ``percent`` * |union| of their full shingle sets.
     """
     no_id = F.lit(NO_ID) + F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(NO_ID - 1))
-    source = docs.select(F.coalesce(F.col(id_column).cast("long"), no_id).alias("id"), F.col(text).alias("text"))
+    source = docs.select(F.coalesce(F.col(id_column).cast("long"), no_id).alias("id"), row.cast("long").alias("row"), F.col(text).alias("text"))
     sketches = materialise(source.mapInArrow(_sketcher(size, bands, rows), SKETCHES_DDL))
     nodes = materialise(sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id")))
     # Copies leave here: only the smallest id of each set goes into buckets.
     first = sketches.join(nodes.hint("shuffle_hash"), ["digest", "id"])
     keys = first.select(F.col("id").alias("doc"), F.explode("bands").alias("key"))
     crowded = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    members = materialise(keys.join(crowded.select("key"), "key"))
+    members = materialise(keys.join(crowded.select("key"), "key").distinct())
 
     involved = materialise(members.select("doc").distinct())
-    texts = source.withColumnRenamed("id", "doc").join(involved.hint("shuffle_hash"), "doc")
-    sets = materialise(texts.select("doc", "text").mapInArrow(_sets(size), "doc long, elements binary"))
+    texts = source.select(F.col("id").alias("doc"), "text").join(involved.hint("shuffle_hash"), "doc")
+    sets = materialise(texts.mapInArrow(_sets(size), "doc long, elements binary"))
     labels = involved.select("doc", F.col("doc").alias("component"))
     similar = F.col("shared") * (100 + percent) >= F.col("sizes") * percent
     tested = None
     for turn in range(leaders + 1):
-        if turn < leaders:
-            pairs = _leaders(members, labels, turn)
-        else:
-            sizes = sets.groupBy("doc").agg((F.max(F.length("elements")) / 8).alias("n"))
-            pairs = _apart(members, labels, sizes, percent)
+        last = turn == leaders
+        pairs = _apart(members, labels, sets, percent) if last else _leaders(members, labels, turn)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         found = materialise(compare(pairs, sets))
-        labels = materialise(components(found.where(similar), labels))
+        links = found.where(similar).select("a", "b")
+        labels = materialise(components(links, labels))
         tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
 
     # A component's label is its smallest document: labels only move down.
     verdicts = nodes.join(labels.withColumnRenamed("doc", "id"), "id", "left")
     verdicts = materialise(verdicts.select("digest", F.coalesce("component", "id").alias("component")))
-    done = sketches.join(verdicts, "digest", "left").withColumn("component", F.coalesce("component", "id"))
+    done = sketches.join(verdicts, "digest", "left")
+    return done.select("id", "row", "n_shingles", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = 80, leaders: int = LEADERS
+) -> DataFrame:
+    """Return doc_id, n_shingles, component_id and kept, one row per input row.
+
+    42 bands of 5 rows miss a pair at 0.8 with probability (1 - 0.8^5)^42 < 6e-8.
+    Documents with equal sets are one node, and so are sets with one smallest
+    id, which only repeated ids can have. Missing, empty and blank texts have no
+    shingles and are linked with nothing. A missing id counts as larger than any
+    other and is never the component of a document with an id. Repeated rows are
+    copies of each other and all kept or all dropped. Empty tables give an empty
+    result.
+    """
+    done = near_duplicate_rows(docs, F.lit(0), id_column, text, size, percent, leaders=leaders)
     with_id = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
     return done.select(
         with_id("id").alias("doc_id"),

@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.llm.common import read
 from hourloom.llm.decontaminate import decontaminate
+from hourloom.llm.language_id import identify_languages
+from hourloom.llm.lm_scoring import score_texts
+from hourloom.llm.mixing import mix_sources
 from hourloom.llm.near_dups import near_duplicates
+from hourloom.llm.quality_knn import score_quality
 from hourloom.llm.quality_rules import BASE, quality_rules
+from hourloom.llm.suffix_dedup import suffix_dedup
 from hourloom.llm.token_counts import token_counts
 from hourloom.llm.url_filter import judge_urls, rule_table
 from hourloom.session import scratch_root
@@ -34,6 +39,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), cache)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents")).drop("row", "kept")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
@@ -48,6 +65,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *BASE, "base_failed", "kept")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read(spark, sf_dir, "documents")).drop("row")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of four words, as the contract has it."""
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)
