@@ -114,7 +114,7 @@ def test_repeated_strings_of_random_texts(spark):
 
 def test_removed_bytes_leave_the_rest(odd):
     rows, df = odd
-    for r in suffix_dedup.suffix_dedup(df, with_texts=True).collect():
+    for r in suffix_dedup.suffix_dedup(df, texts=suffix_dedup.BYTES).collect():
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed
 
 
