@@ -31,10 +31,6 @@ def spread(x: Column) -> Column:
     return F.max(x) - F.min(x)
 
 
-def population_std(x: Column) -> Column:
-    return F.stddev_pop(x)
-
-
 def extreme_threshold(x: Column) -> Column:
     """Mean plus one sample standard deviation."""
     return F.avg(x) + F.stddev_samp(x)

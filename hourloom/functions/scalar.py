@@ -86,10 +86,6 @@ def fixed4_or_na(x: Column) -> Column:
     return F.coalesce(fixed4(x), F.lit("N/A"))
 
 
-def text_or_na(x: Column) -> Column:
-    return F.coalesce(x.cast("string"), F.lit("N/A"))
-
-
 def metric_in_name(name: Column) -> Column:
     """The metric a run id carries (``mae4.2947``, ``MAE_4.3311``), or null."""
     text = F.regexp_extract(F.lower(name), MAE_IN_NAME, 1)
@@ -156,9 +152,11 @@ def grid_run_id(
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Length of a run in minutes."""
-    span = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return span / F.lit(60_000_000.0)
+    """Length of a run in minutes; zone-less times are subtracted as they are, without any clock change."""
+    span = end - start
+    parts = (("DAY", 1_440.0), ("HOUR", 60.0), ("MINUTE", 1.0))
+    whole = sum((F.extract(F.lit(unit), span) * F.lit(minutes) for unit, minutes in parts), F.lit(0.0))
+    return whole + F.extract(F.lit("SECOND"), span).cast("double") / 60
 
 
 def map_total(m: Column) -> Column:

@@ -4,6 +4,10 @@ A step whose result must stay fixed, or is read more than once, is written as
 Parquet to the shared folder named by ``spark.checkpoint.dir`` and read back.
 That cuts the lineage, survives the loss of an executor, keeps column pruning,
 and gives the optimizer the true size of the table.
+
+``scratch`` owns the tables written inside it and deletes them at its end; a job
+that returns finished tables runs inside one. Outside, they stay for whoever
+consumes the returned plan, in the folder that the session names.
 """
 
 from __future__ import annotations
@@ -11,6 +15,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +27,7 @@ def local_session(cpus: int | str = "*", app: str = "hourloom") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", os.environ.get("HOURLOOM_SHUFFLE", "8"))
+        .config("spark.checkpoint.dir", os.environ.get("HOURLOOM_SCRATCH") or tempfile.mkdtemp(prefix="hourloom-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("HOURLOOM_MEMORY", "8g"))
@@ -46,9 +53,26 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_OWNERS: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every table that ``materialise`` writes meanwhile."""
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNERS.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/tables/{uuid.uuid4().hex}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ class JobConfig:
     def __post_init__(self) -> None:
         if self.target_feature not in self.features:
             raise ValueError(
-                f"target_feature '{self.target_feature}' must be included in the 'features' list"
+                f"the target '{self.target_feature}' is not among the features"
             )
 
     @property

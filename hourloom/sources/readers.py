@@ -44,24 +44,27 @@ def read_columnar(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return _conform(spark.read.parquet(path), schema)
 
 
+READERS = {"csv": read_delimited, "parquet": read_columnar}
+
+
 def read_inputs(
-    spark: SparkSession, paths: Mapping[str, str], schemas: Mapping[str, T.StructType]
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    schemas: Mapping[str, T.StructType],
+    formats: str | Mapping[str, str] = "csv",
 ) -> dict[str, DataFrame]:
-    """All inputs or none: every path is resolved before any is used."""
+    """All inputs or none: every path is resolved before any is used.
+
+    ``formats`` is ``csv`` or ``parquet``, for all inputs or by name; a path may be a file or a folder.
+    """
     absent = sorted(set(schemas) - set(paths))
     if absent:
         raise ValueError(f"no path for inputs: {absent}")
-    read = {".csv": read_delimited}
-    return {
-        name: read.get(paths[name][-4:], read_columnar)(spark, paths[name], schema)
-        for name, schema in schemas.items()
-    }
-
-
-def read_split(spark: SparkSession, path: str, *splits: str) -> DataFrame:
-    """Rows of the named splits; the ``split`` folders of the others are not listed for reading."""
-    df = spark.read.parquet(path)
-    return df.where(F.col("split").isin(*splits)) if splits else df
+    chosen = {name: formats if isinstance(formats, str) else formats[name] for name in schemas}
+    unknown = sorted(set(chosen.values()) - set(READERS))
+    if unknown:
+        raise ValueError(f"unknown formats: {unknown}")
+    return {name: READERS[chosen[name]](spark, paths[name], schema) for name, schema in schemas.items()}
 
 
 def train_and_validation(df: DataFrame) -> DataFrame:

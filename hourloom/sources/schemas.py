@@ -14,10 +14,12 @@ BOARDING_RENAMES = {"DateTime": HOUR}
 ID_LIST_COLUMNS = ("patient_ids", "patient_visit_ids")
 
 
-def _table(strings: str = "", doubles: str = "", ints: str = "") -> T.StructType:
+def _table(
+    strings: tuple[str, ...] = (), doubles: tuple[str, ...] = (), ints: tuple[str, ...] = ()
+) -> T.StructType:
     fields = []
     for kind, names in ((T.StringType(), strings), (T.DoubleType(), doubles), (T.IntegerType(), ints)):
-        fields += [T.StructField(name, kind) for name in names.split()]
+        fields += [T.StructField(name, kind) for name in names]
     return T.StructType(fields)
 
 
@@ -28,11 +30,20 @@ def _timed(time_column: str, rest: T.StructType) -> T.StructType:
 PATIENTS = _timed(
     HOUR,
     _table(
-        strings="weather_main weather_description",
-        doubles="total_patient_count patient_count_ESI_1_2 patient_count_ESI_3 patient_count_ESI_4_5"
-        " cumulative_total_average_waiting_time cumulative_average_waiting_ESI_1_2"
-        " cumulative_average_waiting_ESI_3 cumulative_average_waiting_ESI_4_5"
-        " temp humidity wind_speed",
+        strings=("weather_main", "weather_description"),
+        doubles=(
+            "total_patient_count",
+            "patient_count_ESI_1_2",
+            "patient_count_ESI_3",
+            "patient_count_ESI_4_5",
+            "cumulative_total_average_waiting_time",
+            "cumulative_average_waiting_ESI_1_2",
+            "cumulative_average_waiting_ESI_3",
+            "cumulative_average_waiting_ESI_4_5",
+            "temp",
+            "humidity",
+            "wind_speed",
+        ),
     ),
 )
 CENSUS = T.StructType(
@@ -42,12 +53,12 @@ CENSUS = T.StructType(
     ]
 )
 TREATMENT = _timed(
-    HOUR, _table(doubles="treatment_count average_waiting_times_treatment_minute")
+    HOUR, _table(doubles=("treatment_count", "average_waiting_times_treatment_minute"))
 )
-BOARDING = _timed("DateTime", _table(doubles="boarding_count average_boarding_times_minute"))
-HOME_GAMES = _timed(HOUR, _table(ints=HOME_GAME_FLAG))
-AWAY_GAMES = _timed(HOUR, _table(ints=AWAY_GAME_FLAG))
-HOLIDAYS = _timed(HOUR, _table(ints=HOLIDAY_FLAG))
+BOARDING = _timed("DateTime", _table(doubles=("boarding_count", "average_boarding_times_minute")))
+HOME_GAMES = _timed(HOUR, _table(ints=(HOME_GAME_FLAG,)))
+AWAY_GAMES = _timed(HOUR, _table(ints=(AWAY_GAME_FLAG,)))
+HOLIDAYS = _timed(HOUR, _table(ints=(HOLIDAY_FLAG,)))
 
 INPUTS = {
     "patients": PATIENTS,
@@ -104,6 +115,34 @@ TRIALS = T.StructType(
     ]
 )
 
+MODELS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("created_at", T.TimestampType()),
+        T.StructField("model", T.StringType()),
+        T.StructField("target", T.StringType()),
+        T.StructField("horizon", T.IntegerType()),
+        T.StructField("dataset", T.StringType()),
+        T.StructField("mae", T.DoubleType()),
+        T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("feature_order", T.ArrayType(T.StringType())),
+        T.StructField("path", T.StringType()),
+    ]
+)
+
+EVALUATIONS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("split", T.StringType()),
+        T.StructField("predictions_count", T.LongType()),
+        T.StructField("test_set_size", T.LongType()),
+        T.StructField("mae", T.DoubleType()),
+        T.StructField("mse", T.DoubleType()),
+        T.StructField("rmse", T.DoubleType()),
+        T.StructField("r2", T.DoubleType()),
+    ]
+)
+
 DATASET_INFO = T.StructType(
     [
         T.StructField("target", T.StringType()),

@@ -2,42 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 DATASET_KEY = ("target", "horizon", "dataset")
 
 
-def tag(df: DataFrame, target: str, horizon: int, dataset: str) -> DataFrame:
-    """Add the catalogue key of one dataset to its rows."""
-    return df.withColumns(
-        {"target": F.lit(target), "horizon": F.lit(horizon), "dataset": F.lit(dataset)}
-    )
+def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    df.write.mode(mode).parquet(path)
 
 
-def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
+def replace_folder(
+    df: DataFrame, path: str, fixed: Mapping[str, object], partition_by: Sequence[str] = ()
 ) -> None:
-    """Write Parquet; ``mode="replace"`` rewrites only the partitions that ``df`` has rows for."""
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    if mode == "replace":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode(mode)
-    writer.parquet(path)
-
+    """Make ``df`` the whole content of the partition folder that ``fixed`` names.
 
-def write_delimited(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    Whatever an earlier write left there goes, also partitions that ``df`` has no rows for.
+    """
+    escape = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = "/".join(f"{escape(name)}={escape(str(value))}" for name, value in fixed.items())
+    writer = df.drop(*fixed).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(f"{path}/{folder}")
 
 
-def write_dataset(df: DataFrame, path: str) -> None:
-    """A tagged split table; a reader of one split of one dataset opens only its folders.
+def write_dataset(df: DataFrame, path: str, key: tuple[str, int, str]) -> None:
+    """A split table of one dataset; a reader of one split of it opens only its folder.
 
-    Preparing a dataset again replaces its rows.
+    Writing a dataset again replaces it whole, with all of its splits.
     """
-    write_table(df, path, partition_by=(*DATASET_KEY, "split"), mode="replace")
+    replace_folder(df, path, dict(zip(DATASET_KEY, key, strict=True)), ("split",))
 
 
 def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
@@ -55,8 +49,8 @@ def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
     )
 
 
-def write_predictions(df: DataFrame, path: str, keys: Sequence[str] = ("row_id",)) -> None:
-    """``run_id, <keys>, y_true, y_pred``, one folder per run."""
-    write_table(
-        df.select("run_id", *keys, "y_true", "y_pred"), path, partition_by=("run_id",), mode="append"
-    )
+def write_predictions(
+    df: DataFrame, path: str, run_id: str, split: str, keys: Sequence[str] = ("row_id",)
+) -> None:
+    """``<keys>, y_true, y_pred`` in one folder per run and split; writing them again replaces them."""
+    replace_folder(df.select(*keys, "y_true", "y_pred"), path, {"run_id": run_id, "split": split})
