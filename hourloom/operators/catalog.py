@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from hourloom.functions import scalar as S
-from hourloom.sources.schemas import DATASET_INFO, JOB_CONFIG, TRIALS
+from hourloom.operators.lookup import lookup
+from hourloom.sources.schemas import DATASET_INFO, JOB_CONFIG, MODELS, TRIALS
 from hourloom.sources.writers import DATASET_KEY, append_rows
 
 COMPLETED = "completed"
@@ -19,32 +20,31 @@ MAX_MSE = 100.0
 
 
 def list_datasets(spark: SparkSession, path: str) -> DataFrame:
-    """Datasets under ``path`` with their key; the partition folders are the catalogue."""
-    known = spark.read.parquet(path).select(*DATASET_KEY).distinct()
+    """Datasets with their key, from their descriptions; no data file is opened."""
+    known = spark.read.schema(DATASET_INFO).parquet(path).select(*DATASET_KEY).distinct()
     key = S.dataset_key(F.col("horizon"), F.col("target"), F.col("dataset"))
     return known.withColumn("dataset_key", key)
 
 
+# Fixed value: how the log words a trial with a too large error.
+TOO_HIGH = "MSE value too high: "
+
+
 def trial_status(
-    mse: Column, finite: Column, max_mse: float | None = MAX_MSE
+    mse: Column, finite: Column, max_mse: float | None = MAX_MSE, rows: Column | None = None
 ) -> tuple[Column, Column]:
-    """Status and reason of a scored trial: not finite or a too large error means pruned."""
-    too_high = F.lit(False) if max_mse is None else mse > max_mse
-    status = F.when(~finite | too_high, PRUNED).otherwise(COMPLETED)
-    message = F.concat(F.lit("MSE value too high: "), mse.cast("string"))
-    return status, F.when(~finite, "not finite").when(too_high, message)
+    """Status and reason of a scored trial: no rows, not finite or a too large error means pruned."""
+    empty = F.lit(False) if rows is None else rows == 0
+    too_high = F.lit(False) if max_mse is None else F.coalesce(mse > max_mse, F.lit(False))
+    status = F.when(empty | ~finite | too_high, PRUNED).otherwise(COMPLETED)
+    message = F.concat(F.lit(TOO_HIGH), mse.cast("string"))
+    return status, F.when(empty, "no rows to score").when(~finite, "not finite").when(too_high, message)
 
 
 def log_trials(trials: DataFrame, path: str) -> None:
     append_rows(trials, path, TRIALS)
 
 
-def trial_report(trials: DataFrame) -> DataFrame:
-    """Trial log lines as text columns: four decimals, two for minutes, ``N/A`` where absent."""
-    metrics = {f"{m}_text": S.fixed4_or_na(F.col(m)) for m in ("mae", "mse", "rmse", "r2")}
-    return trials.withColumns(metrics)
-
-
 def best_trial(
     trials: DataFrame,
     by: Sequence[str] = ("model", "dataset"),
@@ -88,17 +88,37 @@ def choose_scaler(scalers: DataFrame, by: Sequence[str] = ("dataset",), name: st
     return scalers.groupBy(*by).agg(first).select(*by, f"_first.`{name}`", *[f"_first.`{c}`" for c in rest])
 
 
-def locate_datasets(models: DataFrame, datasets: DataFrame) -> DataFrame:
-    """Attach the dataset each model id names, by exact horizon, target and dataset."""
+def register_model(row: DataFrame, path: str) -> None:
+    append_rows(row, path, MODELS)
+
+
+def registered(spark: SparkSession, path: str) -> DataFrame:
+    """One row per model id, the latest, with its dataset, features and error."""
+    rest = [f.name for f in MODELS.fields if f.name != "run_id"]
+    latest = F.max_by(F.struct(*rest), F.col("created_at")).alias("_latest")
+    rows = spark.read.schema(MODELS).parquet(path).groupBy("run_id").agg(latest)
+    return rows.select("run_id", "_latest.*")
+
+
+def locate_datasets(models: DataFrame, datasets: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Attach the dataset of each model id, by exact horizon, target and dataset.
+
+    ``known`` (``registered``) says where a model belongs; an id that it does not
+    hold is read by its parts. Both sides are looked up, so an id or a dataset
+    that most rows name is not joined in one task.
+    """
     model_id = F.col("model_id")
-    keyed = models.withColumns(
-        {
-            "horizon": S.horizon_in_name(model_id),
-            "target": S.target_in_name(model_id),
-            "dataset": S.dataset_in_name(model_id),
-        }
-    )
-    return keyed.join(datasets, list(DATASET_KEY), "left")
+    parts = {
+        "horizon": S.horizon_in_name(model_id),
+        "target": S.target_in_name(model_id),
+        "dataset": S.dataset_in_name(model_id),
+    }
+    if known is not None:
+        own = known.select(F.col("run_id").alias("model_id"), F.struct(*DATASET_KEY).alias("_known"))
+        models = lookup(models, own, ["model_id"])
+        parts = {name: F.coalesce(F.col(f"_known.{name}"), part) for name, part in parts.items()}
+    keyed = models.withColumns(parts).drop("_known")
+    return lookup(keyed, datasets, list(DATASET_KEY))
 
 
 def record_dataset(info: DataFrame, path: str) -> None:

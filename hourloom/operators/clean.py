@@ -62,10 +62,6 @@ def select_ordered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.dropna("any", subset=list(columns) if columns else None)
-
-
 def fill_flag(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), F.lit(0)).cast("int"))
 
@@ -74,14 +70,10 @@ def known_features(df: DataFrame, lags: Mapping[str, int]) -> dict[str, int]:
     """The lag requests whose column exists; others are skipped with a warning."""
     for name in lags:
         if name not in df.columns:
-            warnings.warn(f"feature '{name}' not found, skipping its lags", stacklevel=2)
+            warnings.warn(f"no lags of '{name}': the table has no such column", stacklevel=2)
     return {name: n for name, n in lags.items() if name in df.columns}
 
 
-def cast_all(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
-    return df.withColumns({c: F.col(c).cast(kind) for c in columns})
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fail if a key occurs twice; only an example leaves the cluster."""
     twice = df.groupBy(*keys).count().where(F.col("count") > 1).take(1)
@@ -90,6 +82,14 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
+def assert_whole_hours(df: DataFrame, column: str) -> DataFrame:
+    """Fail if a time lies between two hours; only an example leaves the cluster."""
+    off = df.where(F.col(column) != F.date_trunc("hour", F.col(column))).select(column).take(1)
+    if off:
+        raise ValueError(f"not a whole hour: {off[0][0]}")
+    return df
+
+
 def finite_report(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:

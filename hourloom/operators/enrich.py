@@ -96,15 +96,19 @@ def add_extreme_flag(
 def regular_grid(df: DataFrame, hour: str, keys: Sequence[str] = ()) -> DataFrame:
     """Add a row without values for every hour missing between a series' first and last one.
 
-    The hours are laid out day by day, and the days are spread over the cluster,
-    so that one long series is not produced by one task.
+    The grid runs in whole hours from the first time of each series. A row that
+    is not on its series' grid is an error: it could neither be kept in step nor
+    left out. The hours are laid out in stretches of a day, spread over the
+    cluster, so that one long series is not produced by one task.
     """
-    span = df.groupBy(*keys).agg(F.min(hour).alias("_lo"), F.max(hour).alias("_hi"))
-    days = span.withColumn("_day", F.explode(F.sequence(F.to_date("_lo"), F.to_date("_hi"))))
-    midnight = F.col("_day").cast("timestamp_ntz")
-    step = F.expr("INTERVAL 1 HOUR")
-    hours = F.sequence(
-        F.greatest("_lo", midnight), F.least("_hi", midnight + F.expr("INTERVAL 23 HOURS")), step
+    into = F.col(hour) - F.date_trunc("hour", F.col(hour))
+    span = df.groupBy(*keys).agg(
+        F.min(hour).alias("_lo"), F.max(hour).alias("_hi"), F.min(into).alias("_from"), F.max(into).alias("_to")
     )
-    grid = days.repartition(*keys, "_day").select(*keys, F.explode(hours).alias(hour))
+    off = F.raise_error(F.concat(F.lit("rows off the hourly grid that starts at "), F.col("_lo").cast("string")))
+    span = span.withColumn("_lo", F.when(F.col("_from") == F.col("_to"), F.col("_lo")).otherwise(off))
+    day, step = F.expr("INTERVAL 24 HOURS"), F.expr("INTERVAL 1 HOUR")
+    begins = span.withColumn("_begin", F.explode(F.sequence("_lo", "_hi", day)))
+    hours = F.sequence("_begin", F.least("_hi", F.col("_begin") + F.expr("INTERVAL 23 HOURS")), step)
+    grid = begins.repartition(*keys, "_begin").select(*keys, F.explode(hours).alias(hour))
     return join_same(grid, df, [*keys, hour], "left")

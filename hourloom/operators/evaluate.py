@@ -81,6 +81,13 @@ def _issue_counts(p: Column) -> list[Column]:
     ]
 
 
+def usable_metrics(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """rows and metrics; no metrics where there is no row, or a value is missing or not finite."""
+    checked = df.groupBy(*by).agg(*check_columns(F.col(Y), F.col(P)))
+    usable = (F.col("rows") > 0) & (F.col("unusable_count") == 0)
+    return checked.select(*by, "rows", *[F.when(usable, F.col(m)).alias(m) for m in ("mae", "mse", "rmse", "r2")])
+
+
 def check_columns(y: Column, p: Column) -> list[Column]:
     """Every aggregate the validation needs, for one pass over the predictions."""
     unusable = y.isNull() | p.isNull() | F.isnan(y) | F.isnan(p)
@@ -95,10 +102,17 @@ def check_columns(y: Column, p: Column) -> list[Column]:
 
 
 def repeatability(
-    runs: DataFrame, row_id: str = "row_id", by: Sequence[str] = (), tolerance: float = 0.001
+    runs: DataFrame,
+    row_id: str = "row_id",
+    by: Sequence[str] = (),
+    tolerance: float = 0.001,
+    series: Sequence[str] = (),
 ) -> DataFrame:
-    """Largest population deviation of one row's prediction over repeated runs."""
-    per_row = runs.groupBy(*by, row_id).agg(F.stddev_pop(P).alias("_std"))
+    """Largest population deviation of one row's prediction over repeated runs.
+
+    A row is known by ``row_id`` within its ``series``, whether or not those are grouped by.
+    """
+    per_row = runs.groupBy(*by, *[c for c in series if c not in by], row_id).agg(F.stddev_pop(P).alias("_std"))
     worst = per_row.groupBy(*by).agg(F.max("_std").alias("max_std"))
     return worst.withColumn("inconsistent", F.col("max_std") > tolerance)
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import islice, product
+from itertools import product
+from random import Random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -15,6 +16,8 @@ from hourloom.operators.scaling import scale, unscale
 
 SEED = 42
 SCALED = "_scaled"
+# Split points of a feature. Spark takes them from a sample of the rows where a feature has more values.
+BINS = 32
 
 # The axes of the forest search and of the boosted search.
 FOREST_AXES = {
@@ -51,20 +54,37 @@ WITHOUT_COUNTERPART = {
     "RF": ("min_samples_split", "oob_score", "ccp_alpha", "criterion"),
     "GBT": ("lambda", "alpha", "tree_method", "grow_policy", "eval_metric"),
 }
-DEEPEST = 30
 
 
 def spark_axes(family: str) -> dict[str, list]:
-    """The axes, and values of them, that Spark's trees accept."""
-    axes = {k: v for k, v in AXES[family].items() if k not in WITHOUT_COUNTERPART[family]}
-    return axes | {"max_depth": [d for d in axes["max_depth"] if d <= DEEPEST]}
+    """The axes that Spark's trees have a setting for.
 
+    Spark's trees end at depth 30; a deeper value stays on its axis, and its trials are logged as errors.
+    """
+    return {k: v for k, v in AXES[family].items() if k not in WITHOUT_COUNTERPART[family]}
 
-def expand_grid(axes: Mapping[str, Sequence], limit: int | None = None) -> list[dict]:
-    """Valid parameter maps in the order of the axes, at most ``limit`` of them."""
+
+def expand_grid(axes: Mapping[str, Sequence]) -> list[dict]:
+    """All valid parameter maps, in the order of the axes."""
     names = list(axes)
     maps = (dict(zip(names, values, strict=True)) for values in product(*axes.values()))
-    return list(islice(filter(is_valid, maps), limit))
+    return list(filter(is_valid, maps))
+
+
+def sample_grid(axes: Mapping[str, Sequence], count: int, seed: int = SEED) -> list[dict]:
+    """``count`` different valid maps, drawn with a seed, in which every value of every axis occurs.
+
+    More maps are taken if ``count`` is too few to hold all values.
+    """
+    drawn = expand_grid(axes)
+    Random(seed).shuffle(drawn)
+    missing = {(name, value) for name, values in axes.items() for value in values}
+    first, rest = [], []
+    for params in drawn:
+        new = missing & set(params.items())
+        (first if new else rest).append(params)
+        missing -= new
+    return first + rest[: max(0, count - len(first))]
 
 
 def is_valid(params: Mapping) -> bool:
@@ -89,10 +109,14 @@ def forest(params: Mapping, features: str = "features", label: str = "label") ->
         subsamplingRate=params.get("max_samples") or 1.0,
         minWeightFractionPerNode=params.get("min_weight_fraction_leaf", 0.0),
         bootstrap=params.get("bootstrap", True),
+        maxBins=params.get("max_bins", BINS),
     )
 
 
-def boosted(params: Mapping, features: str = "features", label: str = "label") -> GBTRegressor:
+def boosted(
+    params: Mapping, features: str = "features", label: str = "label", validation: str | None = None
+) -> GBTRegressor:
+    """``validation`` names a boolean column: boosting ends when those rows get no better."""
     return GBTRegressor(
         featuresCol=features,
         labelCol=label,
@@ -104,16 +128,24 @@ def boosted(params: Mapping, features: str = "features", label: str = "label") -
         featureSubsetStrategy=_feature_share(params.get("colsample_bytree", "auto")),
         minInfoGain=params.get("gamma", 0.0),
         minInstancesPerNode=params.get("min_child_weight", 1),
+        maxBins=params.get("max_bins", BINS),
+        **({"validationIndicatorCol": validation} if validation else {}),
     )
 
 
 FAMILIES = {"RF": forest, "GBT": boosted}
 
 
-def model_pipeline(family: str, params: Mapping, features: Sequence[str], label: str) -> Pipeline:
-    """Assemble the scaled features in their recorded order, then the regressor on the scaled label."""
+def model_pipeline(
+    family: str, params: Mapping, features: Sequence[str], label: str, validation: str | None = None
+) -> Pipeline:
+    """Assemble the scaled features in their recorded order, then the regressor on the scaled label.
+
+    ``validation`` marks rows that stop a boosted fit; a forest takes all rows.
+    """
     assembler = VectorAssembler(inputCols=[c + SCALED for c in features], outputCol="features")
-    return Pipeline(stages=[assembler, FAMILIES[family](params, label=label + SCALED)])
+    watched = {"validation": validation} if validation and family == "GBT" else {}
+    return Pipeline(stages=[assembler, FAMILIES[family](params, label=label + SCALED, **watched)])
 
 
 def load_model(path: str) -> PipelineModel:

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from hourloom.operators.clean import known_features, select_ordered
-from hourloom.operators.timeindex import BUCKET, ORDINAL, TOTAL, bucket_of, with_ordinal, with_position
+from hourloom.operators.timeindex import BUCKET, ORDINAL, TOTAL, bucket_of, with_keys, with_ordinal, with_position
+from hourloom.sources.readers import nulls_for_nans
 
 OWN = "_own"
 COMPLETE = "_complete"
@@ -75,7 +76,7 @@ def lay_out(
     made. Without a bound, or without keys, the rows are bucketed.
     """
     if keys and series_bound is not None and series_bound <= WHOLE_SERIES_ROWS:
-        return Layout(df, tuple(keys), tuple(order_by), bucketed=False)
+        return Layout(with_keys(df, keys), tuple(keys), tuple(order_by), bucketed=False)
     placed = with_ordinal(df, order_by, keys)
     at = F.col(ORDINAL)
 
@@ -142,12 +143,13 @@ def supervised_frame(
 
     A row is kept only if every feature, every lag and the target of **each** of
     the next ``horizon`` rows are present. ``idx`` and ``series_rows`` count the
-    kept rows. Lags follow the order of ``lags``; the label comes last.
+    kept rows. Lags follow the order of ``lags``; the label comes last. NaN is a
+    missing value. A row without a series key is refused.
 
     Completeness is found by counting values in the row frames instead of testing
     the shifted columns, so counting the kept rows needs only a few narrow ones.
     """
-    base = select_ordered(df, [*keys, *[c for c in order_by if c not in features], *features])
+    base = nulls_for_nans(select_ordered(df, [*keys, *[c for c in order_by if c not in features], *features]))
     lags = known_features(base.select(*features), lags)
     present = [F.col(c).isNotNull() for c in features]
     base = base.withColumn(COMPLETE, _all_of(present))

@@ -21,9 +21,9 @@ def _values(columns: Sequence[str]) -> list[Column]:
 def _attach(
     df: DataFrame, params: DataFrame, by: Sequence[str], column: str, width: int
 ) -> DataFrame:
-    """Add an array column of a small written table: per series, or its only row."""
+    """Add an array column of a small table: per series, or its only row."""
     if by:
-        return lookup(df, params.select(*by, column), by, written=True, width=width)
+        return lookup(df, params.select(*by, column), by, width=width)
     return df.withColumn(column, params.select(column).scalar())
 
 
@@ -56,7 +56,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
         bound = F.get("_bounds", F.lit(i))
         inside.append((x > bound["lo"]) & (x < bound["hi"]))
     between = (
-        _attach(df, bounds, by, "_bounds", len(columns))
+        _attach(df, bounds, by, "_bounds", 3 * len(columns))
         .select(*by, F.posexplode(F.array(*inside)).alias("position", "inside"))
         .groupBy(*by, "position")
         .agg(F.bool_or("inside").alias("inside"))
@@ -101,7 +101,7 @@ def _with_params(
     named = wanted.agg(F.map_from_entries(F.collect_list(entry)).alias("_named"))
     names = F.array(*[F.lit(c) for c in columns])
     ordered = F.transform(names, lambda c: F.try_element_at("_named", c))
-    return _attach(df, named.select(*by, ordered.alias("_p")), by, "_p", len(columns))
+    return _attach(df, named.select(*by, ordered.alias("_p")), by, "_p", 2 * len(columns))
 
 
 def scale(

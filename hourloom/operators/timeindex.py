@@ -31,6 +31,13 @@ BUCKETS_PER_TASK = 64
 MIN_BUCKET_ROWS = 4_096
 MAX_BUCKET_ROWS = 65_536
 MAX_BUCKETS = 4_000_000
+BUCKETS_PER_BLOCK = 1_024
+
+
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Refuse, while rows flow, a row without a series key."""
+    required = {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"a row has no series key {k}"))) for k in keys}
+    return df.withColumns(required) if required else df
 
 
 def with_ordinal(
@@ -44,10 +51,7 @@ def with_ordinal(
     of one row do not meet in one partition of the sort. A row without a series
     key has no series to be placed in and is refused.
     """
-    df = df.withColumns(
-        {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"a row has no series key {k}"))) for k in keys}
-    )
-    ordered = df.withColumn("_from", F.spark_partition_id()).orderBy(*keys, *order_by, "_from")
+    ordered = with_keys(df, keys).withColumn("_from", F.spark_partition_id()).orderBy(*keys, *order_by, "_from")
     placed = materialise(ordered.drop("_from").withColumn("_at", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_at", ROW_BITS))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,28 +86,49 @@ def bucket_of(
     return F.floor(position / widest)
 
 
+def _running(counts: DataFrame, keys: Sequence[str], step: str, rows: str, before: str) -> DataFrame:
+    """Add ``before``, the sum of ``rows`` over the smaller values of ``step`` in each series."""
+    earlier = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn(before, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
+
+
+def bucket_offsets(counts: DataFrame, keys: Sequence[str], bucket: str = BUCKET) -> DataFrame:
+    """``_offset`` and ``series_rows`` from (keys, bucket, _rows), in two levels.
+
+    Blocks of buckets are summed side by side; only the sums of the blocks of a
+    series, a few thousand at most, are added up in one place.
+    """
+    block = F.floor(F.col(bucket) / BUCKETS_PER_BLOCK)
+    within = _running(counts.withColumn("_block", block), [*keys, "_block"], bucket, "_rows", "_inside")
+    blocks = counts.groupBy(*keys, block.alias("_block")).agg(F.sum("_rows").alias("_sum"))
+    before = _running(blocks, keys, "_block", "_sum", "_before")
+    total = blocks.groupBy(*keys).agg(F.sum("_sum").alias("series_rows"))
+    if keys:
+        before = before.join(total, list(keys))
+    else:
+        before = before.withColumn("series_rows", total.scalar())
+    return (
+        within.join(before, [*keys, "_block"])
+        .withColumn("_offset", F.col("_inside") + F.col("_before"))
+        .select(*keys, bucket, "_offset", "series_rows")
+    )
+
+
 def with_position(
     df: DataFrame, keys: Sequence[str], order: str, bucket: str = BUCKET
 ) -> DataFrame:
     """Add ``idx`` (0-based) and ``series_rows`` within each series.
 
     ``bucket`` must rise with ``order``. Rows are ranked inside their bucket and
-    moved up by the count of the series' earlier buckets; only those counts meet
-    in one place, and the data stays partitioned by (series, bucket).
+    written with their rank; the bucket counts are read from the written table,
+    so that whatever made ``df`` runs once, and move the ranks up.
     """
     group = [*keys, bucket]
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    series = Window.partitionBy(*keys)
-    earlier = series.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *group,
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_rows").over(series).alias("series_rows"),
-    )
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(order))
+    ranked = materialise(df.withColumn("_rank", rank))
+    offsets = bucket_offsets(ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")), keys, bucket)
     return (
-        df.withColumn("_rank", rank)
-        .join(offsets, group)
+        ranked.join(offsets, group)
         .withColumn("idx", (F.col("_offset") + F.col("_rank") - 1).cast("long"))
         .drop("_rank", "_offset")
     )

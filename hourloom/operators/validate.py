@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hourloom.functions.scalar import fixed4, metric_in_name
 from hourloom.operators import evaluate as E
 from hourloom.operators.evaluate import check_columns
-from hourloom.operators.lookup import lookup
+from hourloom.operators.lookup import join_same, lookup
 
 # Verdicts and issue texts.
 SAFE = "SAFE FOR PRODUCTION"
@@ -42,31 +42,43 @@ def _issues() -> Column:
     )
 
 
+def _claims(model_ids: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The metric that the only model id of each group claims."""
+    claimed = metric_in_name(F.col("model_id"))
+    if "expected_mae" in model_ids.columns:
+        claimed = F.coalesce(claimed, F.col("expected_mae"))
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit("several model ids for one group")).cast("double"))
+    return model_ids.groupBy(*by).agg(one.otherwise(F.max(claimed)).alias("expected_mae"))
+
+
 def validation_gate(
     predictions: DataFrame,
     model_ids: DataFrame | None = None,
     by: Sequence[str] = (),
     runs: DataFrame | None = None,
+    series: Sequence[str] = (),
 ) -> DataFrame:
     """One verdict per group from one pass over its predictions.
 
     ``model_ids`` (``by`` columns and ``model_id``) supplies the MAE each id
     claims. An absent or zero claim never matches. If a value is missing or not
     finite there are no metrics, no success and no verdict. ``runs`` adds the
-    spread over repeated runs, which does not change the verdict.
+    spread over repeated runs, which does not change the verdict; its rows are
+    told apart by ``series`` too. ``model_ids`` may hold ``expected_mae`` for ids
+    that name no metric. Two ids for one group are an error.
     """
     checked = predictions.groupBy(*by).agg(*check_columns(F.col(E.Y), F.col(E.P)))
     if model_ids is None:
         named = checked.withColumn("expected_mae", F.lit(None).cast("double"))
     else:
-        claims = model_ids.select(*by, metric_in_name(F.col("model_id")).alias("expected_mae"))
+        claims = _claims(model_ids, by)
         named = (
-            checked.join(claims, list(by), "left")
+            join_same(checked, claims, by, "left")
             if by
             else checked.withColumn("expected_mae", claims.select("expected_mae").scalar())
         )
     if runs is not None:
-        spread = E.repeatability(runs, by=by)
+        spread = E.repeatability(runs, by=by, series=series)
         named = (
             lookup(named, spread, by)
             if by

@@ -237,6 +237,29 @@ trials AS (
     ELSE '_trial' || CAST(trial_num AS VARCHAR) || '_mae' || printf('%.4f', mae) END AS run_id
   FROM keyed)"""
 
+def _stump_fit(*splits: str) -> str:
+    """CTEs ``priced`` and ``best``: the split of least squared error over the quantities, and its two means."""
+    chosen = ", ".join(f"'{s}'" for s in splits)
+    return f"""
+priced AS (
+  SELECT CASE WHEN l_orderkey % 10 < 7 THEN 'train' WHEN l_orderkey % 10 = 7 THEN 'val' ELSE 'test' END AS split,
+    l_quantity AS q, l_extendedprice AS p FROM lineitem),
+fitted AS (SELECT q, count(*) AS n, sum(p) AS s FROM priced WHERE split IN ({chosen}) GROUP BY q),
+cuts AS (
+  SELECT q, sum(n) OVER (ORDER BY q) AS n, sum(s) OVER (ORDER BY q) AS s,
+    sum(n) OVER () AS all_n, sum(s) OVER () AS all_s FROM fitted),
+best AS (
+  SELECT q, s / n AS low, (all_s - s) / (all_n - n) AS high FROM cuts WHERE n < all_n
+  ORDER BY s * s / n + (all_s - s) * (all_s - s) / (all_n - n) DESC LIMIT 1)"""
+
+
+def _stump(*splits: str) -> str:
+    return f"""WITH {_stump_fit(*splits)}
+        SELECT split, round(CASE WHEN priced.q <= best.q THEN low ELSE high END, 2) AS y_pred,
+          count(*) AS rows, round(sum(p), 1) AS total
+        FROM priced, best WHERE split <> 'train' GROUP BY ALL"""
+
+
 _daily_scaled = [*V.DAILY_FEATURES, DAILY_LABEL]
 
 ORACLES = {
@@ -274,6 +297,53 @@ ORACLES = {
         SELECT g.{HOUR}, boarding_count, round(average_boarding_times_minute, 6) AS average_boarding_times_minute
         FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS {HOUR} FROM span) g
         LEFT JOIN boarding b ON b.{HOUR} = g.{HOUR}""",
+    "regular_grid_half_hours": f"""WITH {HOURLY}, span AS (SELECT min({HOUR}) AS lo, max({HOUR}) AS hi FROM boarding)
+        SELECT g.h + INTERVAL 30 MINUTE AS {HOUR}, boarding_count,
+          round(average_boarding_times_minute, 6) + 0.0 AS average_boarding_times_minute
+        FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h FROM span) g
+        LEFT JOIN boarding b ON b.{HOUR} = g.h""",
+    "csv_inputs": f"""WITH {MERGED_HOURS} SELECT {HOUR}, UED_Hospital_Census, boarding_count,
+        average_boarding_times_minute, treatment_count,
+        round(average_waiting_times_treatment_minute, 6) + 0.0 AS average_waiting_times_treatment_minute FROM merged""",
+    "prepared_dataset": f"""WITH {FLAGSHIP}, {SPLIT}
+        SELECT 'total_patient_count' AS target, 6 AS horizon, 'dataset15' AS dataset,
+          '6hours_total_patient_count_dataset15' AS dataset_key,
+          count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'val') AS val_rows,
+          count(*) FILTER (WHERE split = 'test') AS test_rows, CAST({len(V.FEATURES)} AS BIGINT) AS original_features,
+          CAST({sum(V.CONFIG.lag_features.values())} AS BIGINT) AS lag_features,
+          count(*) AS read_rows, CAST(sum(idx) AS BIGINT) AS read_positions FROM split_frame""",
+    "dataset_rewrite": f"""WITH {EVENT_SPLIT}
+        SELECT 'value' AS target, 2 AS horizon, 'dataset1' AS dataset,
+          CASE WHEN split = 'train' THEN 'train' ELSE 'test' END AS split,
+          count(*) AS rows, CAST(sum(idx) AS BIGINT) AS positions FROM split_frame GROUP BY ALL""",
+    "supervised_frame_missing": f"""WITH events_with AS (
+          SELECT ts, event_id, CASE WHEN event_id % 53 <> 7 THEN value END AS value FROM events),
+        {supervised('events_with', ['ts', 'event_id'], ['ts', 'event_id'], ['value'], {'value': 1}, 'value', 1)}
+        SELECT * FROM frame""",
+    "validation_by_series": f"""WITH {DAILY_SPLIT},
+        means AS (SELECT nation, avg({DAILY_LABEL}) AS y_pred FROM split_frame WHERE split = 'train' GROUP BY 1),
+        judged AS (SELECT nation, CAST({DAILY_LABEL} AS DOUBLE) - y_pred AS miss
+          FROM split_frame JOIN means USING (nation) WHERE split = 'test')
+        SELECT nation, true AS success, round(avg(abs(miss)), 4) AS mae, round(sqrt(avg(miss * miss)), 4) AS rmse,
+          CAST(NULL AS DOUBLE) AS expected_mae, CAST(0 AS DOUBLE) AS max_std, false AS inconsistent
+        FROM judged GROUP BY GROUPING SETS ((nation), ())""",
+    "test_file_datasets": f"""WITH {TRIALS} SELECT CASE WHEN status = 'completed' THEN dataset ELSE 'unknown' END AS found,
+        count(*) AS files FROM trials GROUP BY 1""",
+    "rf_stump_forecast": _stump("train", "val"),
+    "gbt_stump_forecast": _stump("train"),
+    "registered_model_verdict": f"""WITH {_stump_fit('train', 'val')}
+        SELECT 'price' AS target, 1 AS horizon, 'dataset1' AS dataset,
+          (SELECT round(avg(p), 2) FROM priced WHERE split = 'train') AS mean,
+          (SELECT round(stddev_pop(p), 2) FROM priced WHERE split = 'train') AS std, true AS success,
+          round(avg(abs(p - CASE WHEN priced.q <= best.q THEN low ELSE high END)), 2) AS mae,
+          true AS mae_matches, CAST(0 AS DOUBLE) AS max_std, false AS inconsistent
+        FROM priced, best WHERE split = 'test'""",
+    "trial_outcomes": f"""WITH {PREDICTIONS}
+        SELECT 'sound' AS trial, 'completed' AS status, count(*) AS rows, round(avg(abs(y_true - y_pred)), 6) AS mae,
+          NULL AS reason FROM predictions
+        UNION ALL SELECT 'damaged', 'pruned', count(*), NULL, 'not finite' FROM predictions
+        UNION ALL SELECT 'empty', 'pruned', 0, NULL, 'no rows to score'
+        UNION ALL SELECT 'failing', 'error', NULL, NULL, 'given'""",
     "row_index_events": """SELECT ts, event_id,
         CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS idx FROM events""",
     "row_index_by_series": """SELECT user_id, ts, event_id, CAST(row_number() OVER

@@ -3,24 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from hourloom.functions.scalar import WEATHER_TYPES
+from hourloom.functions.scalar import WEATHER_TYPES, map_total
 from hourloom.operators import clean, enrich
 from hourloom.operators.catalog import dataset_info, record_dataset
 from hourloom.operators.lagging import supervised_frame
 from hourloom.operators.lookup import lookup
 from hourloom.operators.scaling import FEATURE, feature_arrays, fit_scaler, scale
 from hourloom.operators.split import chronological_split
-from hourloom.operators.timeindex import row_index
-from hourloom.session import materialise
+from hourloom.session import materialise, scratch
 from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig
 from hourloom.sources.readers import read_inputs
-from hourloom.sources.writers import DATASET_KEY, tag, write_dataset, write_table
+from hourloom.sources.writers import DATASET_KEY, replace_folder, write_dataset
 
 # The range every input is cut to.
 RANGE_START = "2018-12-31 12:00:00"
@@ -66,46 +65,65 @@ def merged_table(
     config: JobConfig,
     keys: Sequence[str] = (),
     fit_scope: str = "all",
-    unique_hours: bool = False,
+    tie_breaker: Sequence[str] = (),
+    series_bound: int | None = None,
+    regular: bool = False,
 ) -> DataFrame:
     """The merged table with the extreme flag, written once because the flag reads it twice.
 
-    The threshold uses all rows; ``fit_scope="train"`` uses the first rows of
-    each series by time instead, as many as the train fraction of them.
-    ``unique_hours`` refuses a table in which an hour of a series occurs twice.
+    An hour that occurs twice in a series is refused, unless ``tie_breaker``
+    names the columns that order its rows. The threshold uses all rows;
+    ``fit_scope="train"`` uses the rows up to the last train row of each series.
     """
     merged = merge_inputs(cleaned, keys)
     if config.exclude:
         merged = clean.exclude_window(merged, N.HOUR, config.exclude_from, config.exclude_to)
     merged = materialise(merged)
-    if unique_hours:
-        clean.assert_unique(merged, [*keys, N.HOUR])
+    clean.assert_unique(merged, [*keys, N.HOUR, *tie_breaker])
+    if series_bound is not None:
+        clean.assert_whole_hours(merged, N.HOUR)
     fit_on = None
     if fit_scope == "train":
-        placed = row_index(merged.select(*keys, N.HOUR, config.target_feature), [N.HOUR], keys)
-        sizes = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("series_rows"))
-        if keys:
-            placed = lookup(placed, sizes, keys)
-        else:
-            placed = placed.withColumn("series_rows", sizes.scalar())
-        fit_on = chronological_split(placed, config.train_fraction).where(F.col("split") == "train")
+        fit_on = train_rows(merged, config, keys, tie_breaker, series_bound, regular)
     flagged = enrich.add_extreme_flag(merged, config.target_feature, keys, fit_on)
     return clean.drop_if_present(flagged, "weather_type", "weather_description")
 
 
+def train_rows(
+    merged: DataFrame,
+    config: JobConfig,
+    keys: Sequence[str] = (),
+    tie_breaker: Sequence[str] = (),
+    series_bound: int | None = None,
+    regular: bool = False,
+) -> DataFrame:
+    """Rows of each series up to its last train row in the learning table.
+
+    Which rows are kept and how they are split does not depend on the extreme
+    flag, so a learning table without it tells where the train rows end.
+    """
+    unflagged = merged.withColumn("extreme_indicator", F.lit(0))
+    frame = learning_table(unflagged, config, keys, series_bound, regular, tie_breaker)
+    place = F.struct(N.HOUR, *tie_breaker)
+    last = frame.where(F.col("split") == "train").groupBy(*keys).agg(F.max(place).alias("_last"))
+    placed = lookup(merged, last, keys) if keys else merged.withColumn("_last", last.scalar())
+    return placed.where(place <= F.col("_last")).drop("_last")
+
+
 def learning_table(
     merged: DataFrame,
     config: JobConfig,
     keys: Sequence[str] = (),
     series_bound: int | None = None,
     regular: bool = False,
+    tie_breaker: Sequence[str] = (),
 ) -> DataFrame:
     """Select the configured features, add lags and the label, and split by time."""
     if regular:
         merged = enrich.regular_grid(merged, N.HOUR, keys)
     frame = supervised_frame(
         merged,
-        [N.HOUR],
+        [N.HOUR, *tie_breaker],
         config.features,
         config.lag_features,
         config.future_hours,
@@ -116,9 +134,12 @@ def learning_table(
     return chronological_split(frame, config.train_fraction, config.validation_fraction)
 
 
-def feature_order(frame: DataFrame, config: JobConfig, keys: Sequence[str] = ()) -> list[str]:
+def feature_order(
+    frame: DataFrame, config: JobConfig, keys: Sequence[str] = (), tie_breaker: Sequence[str] = ()
+) -> list[str]:
     """Every model input in table order: the features, then their lags."""
-    outside = {*keys, N.HOUR, "idx", "series_rows", "split", config.target_column, *DATASET_KEY}
+    order = {N.HOUR, *tie_breaker} - set(config.features)
+    outside = {*keys, *order, "idx", "series_rows", "split", config.target_column, *DATASET_KEY}
     return [c for c in frame.columns if c not in outside]
 
 
@@ -146,10 +167,18 @@ class Dataset:
 
 
 def scaled_dataset(
-    frame: DataFrame, features: Sequence[str], label: str, keys: Sequence[str] = ()
+    frame: DataFrame,
+    features: Sequence[str],
+    label: str,
+    keys: Sequence[str] = (),
+    written: bool = False,
 ) -> Dataset:
-    """Write the split table, fit the parameters on its train rows, and scale all rows with them."""
-    frame = materialise(frame)
+    """Write the split table, fit the parameters on its train rows, and scale all rows with them.
+
+    ``written``: the frame is cheap to read again, as learning tables are whose
+    rows were written with their buckets.
+    """
+    frame = frame if written else materialise(frame)
     params = materialise(fit_scaler(frame.where(F.col("split") == "train"), features, label, keys))
     rows = scale(frame, params, [*features, label], keys)
     return Dataset(rows, params, list(features), label, tuple(keys))
@@ -179,29 +208,39 @@ def prepare(
     fit_scope: str = "all",
     regular: bool = False,
     keys: Sequence[str] = (),
-    unique_hours: bool = False,
+    whole_hours: bool = False,
+    tie_breaker: Sequence[str] = (),
+    formats: str | Mapping[str, str] = "csv",
 ) -> Dataset:
-    """Run the whole preparation and write every table under ``out``.
+    """Run the whole preparation, write every table under ``out`` and return the written dataset.
 
     With ``keys`` the hourly inputs hold many series; thresholds, shifts, splits
-    and parameters are then taken per series, in the same jobs. With
-    ``unique_hours`` no series can be longer than the range, so each is windowed
-    whole and the rows are not sorted across the cluster.
+    and parameters are then taken per series, in the same jobs. An hour that
+    occurs twice is refused unless ``tie_breaker`` orders its rows. With
+    ``whole_hours`` times between two hours are refused as well, so no series can
+    be longer than the range: each is windowed whole and the rows are not sorted
+    across the cluster. A dataset of the same key is replaced as a whole;
+    intermediate tables are deleted.
     """
-    cleaned = clean_inputs(read_inputs(spark, paths, keyed_schemas(keys)), start, end)
-    merged = merged_table(cleaned, config, keys, fit_scope, unique_hours)
-    bound = hours_between(start, end) if unique_hours else None
-    frame = learning_table(merged, config, keys, bound, regular)
-    features = feature_order(frame, config, keys)
-    dataset = scaled_dataset(frame, features, config.target_column, keys)
-
+    if whole_hours and tie_breaker:
+        raise ValueError("hours that repeat do not bound a series")
+    bound = hours_between(start, end) if whole_hours else None
     key = (config.target_feature, config.future_hours, config.dataset_number)
-    write_table(tag(merged, *key), f"{out}/merged", DATASET_KEY, "replace")
-    write_dataset(tag(dataset.rows, *key), f"{out}/datasets")
-    write_table(tag(dataset.arrays(), *key), f"{out}/tensors", (*DATASET_KEY, "split"), "replace")
-    write_table(tag(dataset.params, *key), f"{out}/scalers", DATASET_KEY, "replace")
-    record_dataset(describe(dataset, config, paths), f"{out}/dataset_info")
-    return dataset
+    folder = dict(zip(DATASET_KEY, key, strict=True))
+    with scratch(spark):
+        cleaned = clean_inputs(read_inputs(spark, paths, keyed_schemas(keys), formats), start, end)
+        merged = merged_table(cleaned, config, keys, fit_scope, tie_breaker, bound, regular)
+        frame = learning_table(merged, config, keys, bound, regular, tie_breaker)
+        features = feature_order(frame, config, keys, tie_breaker)
+        dataset = scaled_dataset(frame, features, config.target_column, keys, written=bound is None)
+        replace_folder(merged, f"{out}/merged", folder)
+        write_dataset(dataset.rows, f"{out}/datasets", key)
+        replace_folder(dataset.params, f"{out}/scalers", folder)
+        # From here on the written rows are read: scaling runs once.
+        dataset = replace(dataset, rows=_of_dataset(spark.read.parquet(f"{out}/datasets"), key))
+        replace_folder(dataset.arrays(), f"{out}/tensors", folder, ("split",))
+        record_dataset(describe(dataset, config, paths), f"{out}/dataset_info")
+    return load_dataset(spark, out, key, keys)
 
 
 def _of_dataset(df: DataFrame, key: tuple[str, int, str]) -> DataFrame:
@@ -240,7 +279,7 @@ def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) ->
         F.array(*[F.lit(c) for c in dataset.features]), names.select("c").scalar()
     )
     lag_map = F.create_map(*[F.lit(x) for pair in config.lag_features.items() for x in pair])
-    lag_count = sum(n for c, n in config.lag_features.items() if c in config.features)
+    used = F.map_filter("lag_features_config", lambda c, _: F.array_contains(F.lit(list(config.features)), c))
     fixed = {
         "target": config.target_feature,
         "horizon": config.future_hours,
@@ -251,7 +290,6 @@ def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) ->
         "train_fraction": config.train_fraction,
         "validation_fraction": config.validation_fraction,
         "original_features": len(config.features),
-        "lag_features": lag_count,
         "config_json": config.as_json(),
     }
     return sizes.withColumns(
@@ -264,4 +302,4 @@ def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) ->
             "scaled_features": in_order,
             "tensor_shape": F.array(F.lit(len(dataset.features)), F.lit(1)),
         }
-    )
+    ).withColumn("lag_features", map_total(used).cast("int"))

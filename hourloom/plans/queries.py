@@ -2,27 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hourloom.functions import scalar as S
 from hourloom.operators import catalog, clean, enrich, evaluate, forecast, lagging, scaling
+from hourloom.operators.lookup import lookup
 from hourloom.operators.split import chronological_split, split_counts
 from hourloom.operators.timeindex import row_index
 from hourloom.operators.validate import validation_gate
 from hourloom.plans import standins as V
 from hourloom.plans.prepare import (
+    RENAMES,
     Dataset,
     clean_inputs,
     learning_table,
     merge_inputs,
     merged_table,
+    prepare,
     scaled_dataset,
 )
-from hourloom.session import materialise
+from hourloom.plans.search import evaluate_run, search, trial_metrics, validate_model
+from hourloom.session import materialise, scratch_root
 from hourloom.sources import schemas as N
-from hourloom.sources.readers import nulls_for_nans, train_and_validation
+from hourloom.sources.readers import nulls_for_nans, read_inputs, train_and_validation
+from hourloom.sources.writers import write_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +43,67 @@ def rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
     return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in columns})
 
 
+def job_folder(spark: SparkSession) -> str:
+    """A folder of its own for what a query's job writes and reads again."""
+    return f"{scratch_root(spark)}/jobs/{uuid.uuid4().hex}"
+
+
+# ---- scans, sinks and whole jobs
+
+
+def _delivered(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The seven inputs as delivered: folders of CSV with an index, the old names and lists of ids."""
+    folder = job_folder(spark)
+    for name, df in V.inputs(spark, sf_dir).items():
+        old = {new: before for before, new in RENAMES.get(name, {}).items()}
+        df = df.withColumnsRenamed(old)
+        if name in ("treatment", "boarding"):
+            df = df.withColumns({c: F.lit("17; 18") for c in N.ID_LIST_COLUMNS})
+        if name == "patients":
+            df = df.withColumn("weather_description", F.lit("words, and more"))
+        df.select(F.monotonically_increasing_id().alias("_c0"), "*").write.option("header", True).csv(f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in N.INPUTS}
+
+
+@query
+def csv_inputs(spark, sf_dir):
+    """Delivered files read, renamed, cut, freed of id lists, rounded and joined."""
+    cleaned = clean_inputs(read_inputs(spark, _delivered(spark, sf_dir), N.INPUTS, "csv"), *V.RANGE)
+    tables = [cleaned[name] for name in ("census", "boarding", "treatment")]
+    counts = ["UED_Hospital_Census", "boarding_count", "treatment_count"]
+    merged = enrich.merge_hourly(tables, [N.HOUR]).withColumns({c: F.col(c).cast("long") for c in counts})
+    return rounded(merged, ["average_waiting_times_treatment_minute"])
+
+
+@query
+def prepared_dataset(spark, sf_dir):
+    """The whole preparation from delivered files, run twice; sizes as described and as read back."""
+    out = job_folder(spark)
+    paths = _delivered(spark, sf_dir)
+    for _ in range(2):
+        dataset = prepare(spark, V.CONFIG, paths, out, *V.RANGE)
+    key = (V.CONFIG.target_feature, V.CONFIG.future_hours, V.CONFIG.dataset_number)
+    info = catalog.dataset_info(spark, f"{out}/dataset_info", *key)
+    names = ["train_rows", "val_rows", "test_rows", "original_features", "lag_features"]
+    read_back = dataset.rows.agg(F.count(F.lit(1)).alias("read_rows"), F.sum("idx").alias("read_positions"))
+    listed = catalog.list_datasets(spark, f"{out}/dataset_info")
+    described = listed.withColumns({c: F.lit(info[c]).cast("long") for c in names})
+    return described.withColumns({c: read_back.select(c).scalar() for c in read_back.columns})
+
+
+@query
+def dataset_rewrite(spark, sf_dir):
+    """A dataset written with three splits, then with two: nothing of the first stays."""
+    frame = _event_split(spark, sf_dir).select("idx", "split", "value")
+    path, key = job_folder(spark), ("value", V.EVENT_HORIZON, "dataset1")
+    write_dataset(frame, path, key)
+    two = F.when(F.col("split") == "val", "test").otherwise(F.col("split"))
+    write_dataset(frame.withColumn("split", two), path, key)
+    return spark.read.parquet(path).groupBy("target", "horizon", "dataset", "split").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("idx").alias("positions")
+    )
+
+
 # ---- filters and rounding
 
 
@@ -140,6 +207,13 @@ def regular_grid(spark, sf_dir):
     )
 
 
+@query
+def regular_grid_half_hours(spark, sf_dir):
+    """A grid that starts half an hour past the hour."""
+    late = V.boarding(spark, sf_dir).withColumn(N.HOUR, F.col(N.HOUR) + F.expr("INTERVAL 30 MINUTES"))
+    return rounded(enrich.regular_grid(late, N.HOUR), ["average_boarding_times_minute"])
+
+
 # ---- positions and shifts
 
 
@@ -221,6 +295,14 @@ def supervised_frame_bounded_series(spark, sf_dir):
     )
 
 
+@query
+def supervised_frame_missing(spark, sf_dir):
+    """NaN is missing: rows that hold one, or see one, are left out."""
+    value = F.when(F.col("event_id") % 53 == 7, float("nan")).otherwise(F.col("value"))
+    events = V.event_rows(spark, sf_dir).select("ts", "event_id", value.alias("value"))
+    return lagging.supervised_frame(events, ["ts", "event_id"], ["value"], {"value": 1}, 1, "value")
+
+
 def _event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chronological_split(V.event_supervised(spark, sf_dir))
 
@@ -267,11 +349,11 @@ def train_val_concat(spark, sf_dir):
 
 
 def _event_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
-    return scaled_dataset(_event_split(spark, sf_dir), EVENT_INPUTS, EVENT_LABEL)
+    return scaled_dataset(_event_split(spark, sf_dir), EVENT_INPUTS, EVENT_LABEL, written=True)
 
 
 def _daily_dataset(spark: SparkSession, sf_dir: str, by: Sequence[str] = ()) -> Dataset:
-    return scaled_dataset(_daily_split(spark, sf_dir), DAILY_INPUTS, DAILY_LABEL, by)
+    return scaled_dataset(_daily_split(spark, sf_dir), DAILY_INPUTS, DAILY_LABEL, by, written=True)
 
 
 @query
@@ -444,6 +526,25 @@ def validation(spark, sf_dir):
     return rounded(gate, [*METRICS, "expected_mae"]).withColumn("issues", F.array_join("issues", "; "))
 
 
+class _TrainMean:
+    """A model whose prediction is the mean of the scaled label: zero."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.lit(0.0))
+
+
+@query
+def validation_by_series(spark, sf_dir):
+    """Five runs of one model over all nations, a verdict each: equal runs have no spread."""
+    dataset = _daily_dataset(spark, sf_dir, ["nation"])
+    verdicts = validate_model(dataset, _TrainMean(), "reg_mean", by_series=True)
+    both = verdicts.unionByName(
+        validate_model(dataset, _TrainMean(), "reg_mean").withColumn("nation", F.lit(None).cast("int"))
+    )
+    plain = both.select("nation", "success", "mae", "rmse", "expected_mae", "max_std", "inconsistent")
+    return rounded(plain, ["mae", "rmse", "max_std"], 4)
+
+
 # ---- trials, datasets, scalers
 
 
@@ -536,19 +637,114 @@ def scaler_lookup(spark, sf_dir):
         name.alias("scaler"), "mean", "std",
     )
     chosen = catalog.choose_scaler(scalers, ["catalogue", "nation", "dataset"])
-    restored = V.predictions(spark, sf_dir).join(chosen, "nation")
+    each = F.collect_list(F.struct("catalogue", "dataset", "scaler", "mean", "std"))
+    by_nation = chosen.groupBy("nation").agg(each.alias("chosen"))
+    restored = lookup(V.predictions(spark, sf_dir), by_nation, ["nation"]).select("*", F.inline("chosen"))
     unscaled = S.unstandardise(F.col("y_pred"), F.col("mean"), F.col("std"))
     return restored.select(
         "catalogue", "nation", "dataset", "scaler", "row_id", F.round(unscaled, 3).alias("y_pred")
     )
 
 
-# ---- models: row checks only
+@query
+def test_file_datasets(spark, sf_dir):
+    """The dataset that the name of an exported file carries."""
+    trials = V.trials(spark, sf_dir)
+    name = F.when(F.col("status") == catalog.COMPLETED, F.concat(F.lit("test_X_"), "dataset", F.lit(".npy")))
+    found = S.dataset_in_test_file(F.coalesce(name, F.col("dataset")))
+    return trials.groupBy(found.alias("found")).agg(F.count(F.lit(1)).alias("files"))
+
+
+# ---- models that SQL can state: one tree, one split
+
+STUMPS = {
+    "RF": {"n_estimators": 1, "max_depth": 1, "bootstrap": False, "max_bins": 64},
+    "GBT": {"n_estimators": 1, "max_depth": 1, "max_bins": 64},
+}
+STUMP_KEY = ("price", 1, "dataset1")
+
+
+def _price_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
+    digit = F.col("l_orderkey") % 10
+    rows = V.table(spark, sf_dir, "lineitem").select(
+        F.monotonically_increasing_id().alias("idx"),
+        F.when(digit < 7, "train").when(digit == 7, "val").otherwise("test").alias("split"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    return scaled_dataset(rows, ["quantity"], "price")
+
+
+def _searched(spark: SparkSession, sf_dir: str, family: str) -> tuple[Dataset, str, str, object]:
+    dataset, out = _price_dataset(spark, sf_dir), job_folder(spark)
+    trials = search(dataset, STUMP_KEY, family, [STUMPS[family]], out)
+    run = catalog.best_trial(trials).first().run_id
+    return dataset, out, run, forecast.load_model(f"{out}/models/{run}")
+
+
+def _stump_forecast(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
+    """Searched, then evaluated twice and once on another split: every row is there once."""
+    dataset, out, run, model = _searched(spark, sf_dir, family)
+    for split in ("test", "test", "val"):
+        evaluate_run(dataset, model, run, out, split)
+    saved = spark.read.parquet(f"{out}/predictions").where(F.col("run_id") == run)
+    return saved.groupBy("split", F.round("y_pred", 2).alias("y_pred")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("y_true"), 1).alias("total")
+    )
+
+
+@query
+def rf_stump_forecast(spark, sf_dir):
+    return _stump_forecast(spark, sf_dir, "RF")
+
+
+@query
+def gbt_stump_forecast(spark, sf_dir):
+    return _stump_forecast(spark, sf_dir, "GBT")
+
+
+@query
+def registered_model_verdict(spark, sf_dir):
+    """From a searched id to its dataset, its target scaler and a verdict that knows the claimed error."""
+    dataset, out, run, model = _searched(spark, sf_dir, "RF")
+    known = catalog.registered(spark, f"{out}/models_table")
+    target = dataset.params.where(F.col("role") == scaling.TARGET)
+    place = target.select(
+        *[F.lit(v).alias(k) for k, v in zip(("target", "horizon", "dataset"), STUMP_KEY, strict=True)],
+        "mean", "std",
+    )
+    located = catalog.locate_datasets(known.select(F.col("run_id").alias("model_id")), place, known)
+    verdict = validate_model(dataset, model, run, out=out)
+    judged = located.withColumns(
+        {c: verdict.select(c).scalar() for c in ("success", "mae", "mae_matches", "max_std", "inconsistent")}
+    )
+    return rounded(judged.drop("model_id"), ["mean", "std", "mae", "max_std"], 2)
+
+
+@query
+def trial_outcomes(spark, sf_dir):
+    """How a sound, a damaged, an empty and a failing trial are logged."""
+    plain = materialise(V.predictions(spark, sf_dir))
+    frames = {
+        "sound": plain,
+        "damaged": plain.withColumn("y_pred", F.when(F.col("row_id") == 3, float("nan")).otherwise(F.col("y_pred"))),
+        "empty": plain.where(F.col("row_id") < 0),
+    }
+    rows = [(name, *(trial_metrics(df)[c] for c in ("status", "rows", "mae", "reason"))) for name, df in frames.items()]
+    failing = search(_price_dataset(spark, sf_dir), STUMP_KEY, "RF", [{"max_depth": 99}], job_folder(spark)).first()
+    rows.append(("failing", failing.status, None, failing.mae, failing.reason and "given"))
+    logged = spark.createDataFrame(rows, "trial string, status string, rows long, mae double, reason string")
+    return rounded(logged, ["mae"])
+
+
+# ---- larger models: row checks only
 
 
 def _tree_forecast(spark: SparkSession, sf_dir: str, family: str, params: dict) -> DataFrame:
     dataset = _daily_dataset(spark, sf_dir)
     train = dataset.split("train", "val")
+    # The fit passes over its rows many times: written once, and only what it reads.
+    train = materialise(train.select(*[c for c in train.columns if c.endswith("_scaled")]))
     model = forecast.model_pipeline(family, params, DAILY_INPUTS, DAILY_LABEL).fit(train)
     scored = forecast.predict(dataset.split("test"), model, dataset.params, DAILY_LABEL)
     return scored.select(

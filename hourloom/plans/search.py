@@ -6,22 +6,30 @@ import time
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hourloom.functions.scalar import grid_run_id
 from hourloom.operators import evaluate
-from hourloom.operators.catalog import ERROR, dataset_info, log_trials, trial_status
+from hourloom.operators.catalog import ERROR, dataset_info, log_trials, register_model, registered, trial_status
+from hourloom.operators.clean import guard_finite
 from hourloom.operators.forecast import model_pipeline, predict, score
 from hourloom.operators.validate import validation_gate
 from hourloom.plans.prepare import Dataset, read_scalers
-from hourloom.session import materialise
-from hourloom.sources.schemas import TRIALS
-from hourloom.sources.writers import DATASET_KEY, write_predictions, write_table
+from hourloom.session import materialise, scratch
+from hourloom.sources.schemas import EVALUATIONS, MODELS, TRIALS
+from hourloom.sources.writers import DATASET_KEY, append_rows, write_predictions
+
+
+VALIDATION = "validation"
 
 
 def split_predictions(dataset: Dataset, model, split: str = "test") -> DataFrame:
     """Truth and prediction of one split in the label's units."""
-    scored = predict(dataset.split(split), model, dataset.params, dataset.label, dataset.keys)
+    return _predictions(dataset, dataset.split(split), model)
+
+
+def _predictions(dataset: Dataset, rows: DataFrame, model) -> DataFrame:
+    scored = predict(rows, model, dataset.params, dataset.label, dataset.keys)
     return scored.select(
         *dataset.keys,
         F.col("idx").alias("row_id"),
@@ -43,23 +51,30 @@ def search(
 
     The loop runs on the driver over a short grid; each fit and each scoring is
     a distributed job, and only one row of metrics comes back. ``select_on="val"``
-    fits on the train rows alone and scores the validation rows. A failing fit is
-    logged with status ``error`` and the search goes on; predictions that are not
-    finite, or an error above ``max_mse``, make a trial ``pruned``.
+    fits on the train rows alone and scores the validation rows; otherwise the
+    validation rows end boosting early. A failing fit, or a model that cannot be
+    saved, is logged with status ``error`` and the whole reason, and the search
+    goes on; no rows, predictions that are not finite, or an error above
+    ``max_mse``, make a trial ``pruned``. Every saved model is registered with
+    its dataset, so that its id can be resolved.
     """
     spark = dataset.rows.sparkSession
     fitted_on = ("train",) if select_on == "val" else ("train", "val")
-    train = dataset.split(*fitted_on)
-    train = train.select(*[c for c in train.columns if c.endswith("_scaled")]).persist()
-    try:
+    held = (F.col("split") == "val").alias(VALIDATION)
+    with scratch(spark):
+        # Both are read by every trial: written once.
+        train = dataset.split(*fitted_on)
+        train = materialise(train.select(held, *[c for c in train.columns if c.endswith("_scaled")]))
+        judged = materialise(dataset.split(select_on))
+        watch = VALIDATION if select_on != "val" and not train.where(VALIDATION).isEmpty() else None
         for number, params in enumerate(grid):
-            _run_trial(spark, dataset, key, family, number, params, train, out, select_on, max_mse)
-    finally:
-        train.unpersist()
+            _run_trial(spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse)
     return spark.read.schema(TRIALS).parquet(f"{out}/trials")
 
 
-def _run_trial(spark, dataset, key, family, number, params, train, out, select_on, max_mse) -> None:
+def _run_trial(
+    spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse
+) -> None:
     started = time.time()
     row = dict(zip(DATASET_KEY, key, strict=True)) | {
         "model": family,
@@ -67,77 +82,104 @@ def _run_trial(spark, dataset, key, family, number, params, train, out, select_o
         "params": {k: str(v) for k, v in params.items()},
     }
     try:
-        model = model_pipeline(family, params, dataset.features, dataset.label).fit(train)
-        predictions = split_predictions(dataset, model, select_on).persist()
-        try:
-            checked = predictions.agg(*evaluate.check_columns(F.col("y_true"), F.col("y_pred")))
-            verdict = trial_status(F.col("mse"), F.col("unusable_count") == 0, max_mse)
-            status, reason = (c.alias(n) for c, n in zip(verdict, ("status", "reason"), strict=True))
-            metrics = checked.select("*", status, reason).first().asDict()
-            run_id = _run_id(spark, family, params, metrics["mae"], key[2], started)
-            write_predictions(
-                predictions.withColumn("run_id", F.lit(run_id)),
-                f"{out}/predictions",
-                [*dataset.keys, "row_id"],
-            )
-        finally:
-            predictions.unpersist()
-        model.write().overwrite().save(f"{out}/models/{run_id}")
+        model = model_pipeline(family, params, dataset.features, dataset.label, watch).fit(train)
+        predictions = materialise(_predictions(dataset, judged, model))
+        metrics = trial_metrics(predictions, max_mse)
+        run_id = _run_id(spark, family, params, metrics["mae"], key[2], started)
+        # The model comes first: a run whose model cannot be saved leaves nothing under its id.
+        path = f"{out}/models/{run_id}"
+        model.write().overwrite().save(path)
+        write_predictions(predictions, f"{out}/predictions", run_id, select_on, [*dataset.keys, "row_id"])
         row |= {m: metrics[m] for m in ("mae", "mse", "rmse", "r2", "status", "reason")}
         row["run_id"] = run_id
+        known = row | {"created_at": datetime.now(timezone.utc), "feature_order": dataset.features, "path": path}
+        register_model(_one_row(spark, known, MODELS), f"{out}/models_table")
     except Exception as failure:
-        row |= {"status": ERROR, "reason": str(failure)[:1000]}
+        row |= {"status": ERROR, "reason": str(failure)}
     row["runtime_minutes"] = (time.time() - started) / 60
-    log_trials(_one_row(spark, row), f"{out}/trials")
+    log_trials(_one_row(spark, row, TRIALS), f"{out}/trials")
+
 
+def trial_metrics(predictions: DataFrame, max_mse: float | None = None) -> dict:
+    """rows, metrics, status and reason of a trial; its metrics are null unless all values are finite."""
+    checked = predictions.agg(*evaluate.check_columns(F.col("y_true"), F.col("y_pred")))
+    usable = (F.col("rows") > 0) & (F.col("unusable_count") == 0)
+    names = ("mae", "mse", "rmse", "r2")
+    checked = checked.select("rows", "unusable_count", *[F.when(usable, F.col(m)).alias(m) for m in names])
+    verdict = trial_status(F.col("mse"), F.col("unusable_count") == 0, max_mse, F.col("rows"))
+    status, reason = (c.alias(n) for c, n in zip(verdict, ("status", "reason"), strict=True))
+    return checked.select("rows", *names, status, reason).first().asDict()
 
-def _run_id(spark, family: str, params: Mapping, mae: float, dataset: str, started: float) -> str:
+
+def _run_id(spark, family: str, params: Mapping, mae: float | None, dataset: str, started: float) -> str:
     stamp = datetime.fromtimestamp(started, timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
     parts = [(name, F.lit(str(value))) for name, value in params.items()]
     when = F.lit(stamp).cast("timestamp_ntz")
-    run_id = grid_run_id(when, F.lit(mae), family, parts, F.lit(dataset))
+    run_id = grid_run_id(when, F.lit(mae).cast("double"), family, parts, F.lit(dataset))
     return spark.range(1).select(run_id).first()[0]
 
 
-def _one_row(spark: SparkSession, row: Mapping) -> DataFrame:
-    return spark.createDataFrame([tuple(row.get(f.name) for f in TRIALS.fields)], TRIALS)
+def _one_row(spark: SparkSession, row: Mapping, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([tuple(row.get(f.name) for f in schema.fields)], schema)
 
 
 def evaluation_report(
     predictions: DataFrame, test_rows: int, labels: Mapping[str, str], path: str | None = None
 ) -> DataFrame:
-    """One row of metrics with the names of model and dataset and the sizes of both sides."""
-    report = evaluate.regression_metrics(predictions).withColumnRenamed("rows", "predictions_count")
+    """One row of metrics with the names of model and dataset and the sizes of both sides.
+
+    There are no metrics unless all values are finite. ``path`` appends the row to the evaluations.
+    """
+    report = evaluate.usable_metrics(predictions).withColumnRenamed("rows", "predictions_count")
     report = report.withColumns(
-        {**{k: F.lit(v) for k, v in labels.items()}, "test_set_size": F.lit(test_rows)}
+        {**{k: F.lit(v) for k, v in labels.items()}, "test_set_size": F.lit(test_rows).cast("long")}
     )
     if path:
-        write_table(report, path, mode="append")
+        append_rows(report, path, EVALUATIONS)
     return report
 
 
 def validate_model(
-    dataset: Dataset, model, model_id: str, split: str = "test", repeats: int = 5
+    dataset: Dataset,
+    model,
+    model_id: str,
+    split: str = "test",
+    repeats: int = 5,
+    by_series: bool = False,
+    out: str | None = None,
 ) -> DataFrame:
     """Score a split ``repeats`` times and judge the first run; ``run`` spreads are reported aside.
 
-    The runs are written once: both the verdict and the spread read them.
+    One verdict over all rows, or one for each series of the dataset. Rows of
+    different series are never taken for repetitions of each other. ``out``
+    supplies the error that the search registered for an id that names none;
+    it is the error over all rows. The runs are written once: both the verdict
+    and the spread read them.
     """
     spark = dataset.rows.sparkSession
     scored = [split_predictions(dataset, model, split) for _ in range(repeats)]
     runs = materialise(evaluate.stack_runs(scored))
+    by = dataset.keys if by_series else ()
     claimed = spark.range(1).select(F.lit(model_id).alias("model_id"))
-    return validation_gate(runs.where("run = 0"), claimed, runs=runs)
+    if out:
+        known = registered(spark, f"{out}/models_table").where(F.col("run_id") == model_id)
+        claimed = claimed.withColumn("expected_mae", known.agg(F.max("mae")).scalar())
+    if by:
+        claimed = runs.select(*by).distinct().withColumns({c: claimed.select(c).scalar() for c in claimed.columns})
+    return validation_gate(runs.where("run = 0"), claimed, by, runs, dataset.keys)
 
 
 def evaluate_run(dataset: Dataset, model, run_id: str, out: str, split: str = "test") -> DataFrame:
-    """Score a split, write its predictions and append one row to the evaluations."""
-    predictions = materialise(split_predictions(dataset, model, split))
-    write_predictions(
-        predictions.withColumn("run_id", F.lit(run_id)), f"{out}/predictions", [*dataset.keys, "row_id"]
-    )
-    rows = dataset.split(split).count()
-    return evaluation_report(predictions, rows, {"run_id": run_id, "split": split}, f"{out}/evaluations")
+    """Score a split, put its predictions in the run's folder and append one row to the evaluations."""
+    spark = dataset.rows.sparkSession
+    labels = {"run_id": run_id, "split": split}
+    with scratch(spark):
+        predictions = materialise(split_predictions(dataset, model, split))
+        write_predictions(predictions, f"{out}/predictions", run_id, split, [*dataset.keys, "row_id"])
+        rows = dataset.split(split).count()
+        report = evaluation_report(predictions, rows, labels, f"{out}/evaluations")
+        row = tuple(report.first())
+    return spark.createDataFrame([row], report.schema)
 
 
 def score_table(
@@ -148,7 +190,11 @@ def score_table(
     carry: Sequence[str] = (),
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Score raw feature rows with what the preparation recorded: feature order and parameters."""
+    """Score raw feature rows with what the preparation recorded: feature order and parameters.
+
+    A prediction that is not finite is an error.
+    """
     info = dataset_info(df.sparkSession, f"{out}/dataset_info", *key)
     params = read_scalers(df.sparkSession, out, key, keys)
-    return score(df, model, info["feature_order"], info["target_column"], params, carry, keys)
+    scored = score(df, model, info["feature_order"], info["target_column"], params, carry, keys)
+    return guard_finite(scored, ["y_pred"])

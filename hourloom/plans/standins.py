@@ -10,19 +10,41 @@ from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig
 
 # The features of the default job, in order.
-FEATURES = """
-    UED_Hospital_Census total_patient_count patient_count_ESI_1_2 patient_count_ESI_3
-    patient_count_ESI_4_5 cumulative_total_average_waiting_time
-    cumulative_average_waiting_ESI_1_2 cumulative_average_waiting_ESI_3
-    cumulative_average_waiting_ESI_4_5 temp boarding_count average_boarding_times_minute
-    treatment_count average_waiting_times_treatment_minute Alabama_Football_Game_Actual_Time
-    Federal_Holiday year month day_of_month hour day_of_week weather_Clear weather_Clouds
-    weather_Others weather_Rain weather_Thunderstorm humidity wind_speed extreme_indicator
-""".split()
+FEATURES = (
+    "UED_Hospital_Census",
+    "total_patient_count",
+    "patient_count_ESI_1_2",
+    "patient_count_ESI_3",
+    "patient_count_ESI_4_5",
+    "cumulative_total_average_waiting_time",
+    "cumulative_average_waiting_ESI_1_2",
+    "cumulative_average_waiting_ESI_3",
+    "cumulative_average_waiting_ESI_4_5",
+    "temp",
+    "boarding_count",
+    "average_boarding_times_minute",
+    "treatment_count",
+    "average_waiting_times_treatment_minute",
+    "Alabama_Football_Game_Actual_Time",
+    "Federal_Holiday",
+    "year",
+    "month",
+    "day_of_month",
+    "hour",
+    "day_of_week",
+    "weather_Clear",
+    "weather_Clouds",
+    "weather_Others",
+    "weather_Rain",
+    "weather_Thunderstorm",
+    "humidity",
+    "wind_speed",
+    "extreme_indicator",
+)
 
 CONFIG = JobConfig(
     dataset_number="dataset15",
-    features=tuple(FEATURES),
+    features=FEATURES,
     target_feature="total_patient_count",
     future_hours=6,
     lag_features={"total_patient_count": 24, "UED_Hospital_Census": 24},

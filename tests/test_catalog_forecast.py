@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from hourloom.operators import catalog, evaluate, forecast, scaling
 from hourloom.plans.prepare import scaled_dataset
 from hourloom.plans.search import evaluation_report, search, split_predictions, validate_model
-from hourloom.sources.writers import tag, write_dataset
 from tests.helpers import rows
 
 
@@ -47,9 +46,9 @@ def test_locating_is_exact(spark):
 
 
 def test_listing_datasets(spark, tmp_path):
-    df = spark.range(3).select("id", F.lit("train").alias("split"))
-    for number in ("dataset1", "dataset15"):
-        write_dataset(tag(df, "a", 6, number), str(tmp_path / "d"))
+    for number in ("dataset1", "dataset15", "dataset1"):
+        row = spark.createDataFrame([("a", 6, number)], "target string, horizon int, dataset string")
+        catalog.record_dataset(row, str(tmp_path / "d"))
     got = catalog.list_datasets(spark, str(tmp_path / "d"))
     assert rows(got.select("dataset_key"), "dataset_key") == [("6hours_a_dataset1",), ("6hours_a_dataset15",)]
 
@@ -60,8 +59,6 @@ def test_trial_status_and_report(spark):
     assert [tuple(r) for r in df.select(status, reason).collect()] == [
         ("completed", None), ("pruned", "MSE value too high: 100.5"), ("pruned", "not finite")
     ]
-    log = spark.createDataFrame([(1.23456, None, None, 0.5)], "mae double, mse double, rmse double, r2 double")
-    assert tuple(catalog.trial_report(log).first())[4:] == ("1.2346", "N/A", "N/A", "0.5000")
 
 
 def test_grid_sizes():
@@ -70,17 +67,28 @@ def test_grid_sizes():
         full *= len(values)
     assert full == 15_552
     assert len(forecast.expand_grid(forecast.FOREST_AXES)) == 9_720
-    assert len(forecast.expand_grid(forecast.spark_axes("RF"), limit=10)) == 10
-    assert set(p["max_depth"] for p in forecast.expand_grid(forecast.spark_axes("RF"))) == {20, 30}
+    assert set(p["max_depth"] for p in forecast.expand_grid(forecast.spark_axes("RF"))) == {20, 30, 40}
     assert len(forecast.expand_grid(forecast.spark_axes("GBT"))) == 128
     assert not forecast.is_valid({"bootstrap": False, "max_samples": 0.7})
     assert not forecast.is_valid({"bootstrap": False, "oob_score": True})
 
 
+@pytest.mark.parametrize("family", ["RF", "GBT"])
+@pytest.mark.parametrize("count", [1, 8, 60])
+def test_a_sampled_grid_holds_every_value(family, count):
+    axes = forecast.spark_axes(family)
+    maps = forecast.sample_grid(axes, count)
+    assert maps == forecast.sample_grid(axes, count)
+    assert len({str(m) for m in maps}) == len(maps) >= count and all(map(forecast.is_valid, maps))
+    for name, values in axes.items():
+        assert {m[name] for m in maps} == set(values), name
+    assert len(forecast.sample_grid(axes, 60)) == 60
+
+
 def test_parameters_reach_the_trees():
-    rf = forecast.forest(forecast.expand_grid(forecast.spark_axes("RF"), 1)[0])
+    rf = forecast.forest(forecast.expand_grid(forecast.spark_axes("RF"))[0])
     assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getFeatureSubsetStrategy(), rf.getSeed()) == (200, 20, "all", 42)
-    gbt = forecast.boosted(forecast.expand_grid(forecast.spark_axes("GBT"), 1)[0])
+    gbt = forecast.boosted(forecast.expand_grid(forecast.spark_axes("GBT"))[0])
     assert (gbt.getMaxIter(), gbt.getStepSize(), gbt.getFeatureSubsetStrategy()) == (100, 0.01, "0.3")
 
 
@@ -140,6 +148,12 @@ def test_search_logs_every_trial(spark, dataset, tmp_path):
     model = forecast.load_model(f"{out}/models/{best.run_id}")
     verdict = validate_model(dataset, model, f"reg_RF_mae{best.mae:.4f}").first()
     assert verdict.success and verdict.mae_matches and verdict.max_std == 0.0
+    # A grid id names no metric; the search registered it.
+    assert not validate_model(dataset, model, best.run_id).first().mae_matches
+    assert validate_model(dataset, model, best.run_id, out=out).first().mae_matches
+    known = catalog.registered(spark, f"{out}/models_table").where(F.col("run_id") == best.run_id)
+    assert tuple(known.select("target", "horizon", "dataset", "feature_order").first()) == (*key, dataset.features)
+    assert len(trials.where("trial_num = 1").first().reason) > 0
     report = evaluation_report(saved, 60, {"model": "RF"}, f"{out}/evaluations").first()
     assert (report.predictions_count, report.test_set_size, report.model) == (60, 60, "RF")
 

@@ -55,7 +55,7 @@ def test_config_defaults(spark, tmp_path):
 
 @pytest.mark.parametrize(
     "change, message",
-    [({"target_feature": "c"}, "must be included"), ({"future_hours": None}, "no 'future_hours'"),
+    [({"target_feature": "c"}, "is not among the features"), ({"future_hours": None}, "no 'future_hours'"),
      ({"covid_deletion": True, "covid_filter_end": None}, "no 'covid_filter_end'")],
 )
 def test_config_errors(spark, tmp_path, change, message):
@@ -109,13 +109,22 @@ def test_split_scan_opens_only_its_folders(spark, tmp_path):
         F.col("id").alias("idx"),
         F.when(F.col("id") < 14, "train").when(F.col("id") < 17, "val").otherwise("test").alias("split"),
     )
-    writers.write_dataset(writers.tag(df, "a", 6, "dataset1"), path)
-    assert readers.read_split(spark, path, "val").count() == 3
-    assert readers.read_split(spark, path).count() == 20
-    plan = readers.read_split(spark, path, "val")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(split" in plan
-    both = readers.train_and_validation(readers.read_split(spark, path))
+    key = ("a b/c", 6, "dataset1")
+    writers.write_dataset(df, path, key)
+    writers.write_dataset(df, path, ("a", 6, "dataset1"))
+    whole = spark.read.parquet(path).where("target = 'a b/c'")
+    assert whole.where("split = 'val'").count() == 3 and whole.count() == 20
+    plan = whole.where("split = 'val'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "split" in plan.split("PartitionFilters")[1]
+    both = readers.train_and_validation(whole)
     assert [r.idx for r in both.orderBy("idx").collect()] == list(range(17))
+    # A dataset is replaced whole: a split that is no longer made goes, other datasets stay.
+    two = df.withColumn("split", F.when(F.col("split") == "val", "test").otherwise(F.col("split")))
+    writers.write_dataset(two, path, key)
+    counts = spark.read.parquet(path).groupBy("target", "split").count().collect()
+    assert {(r.target, r.split): r["count"] for r in counts} == {
+        ("a b/c", "train"): 14, ("a b/c", "test"): 6, ("a", "train"): 14, ("a", "val"): 3, ("a", "test"): 3
+    }
 
 
 def test_appended_log_rows_fill_absent_columns(spark, tmp_path):
@@ -126,9 +135,22 @@ def test_appended_log_rows_fill_absent_columns(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == [(0, None), (None, "x")]
 
 
-def test_prediction_and_delimited_sinks(spark, tmp_path):
-    df = spark.createDataFrame([("r1", 0, 1.0, 2.0), ("r2", 0, 1.0, 3.0)], "run_id string, row_id long, y_true double, y_pred double")
-    writers.write_predictions(df, str(tmp_path / "p"))
-    assert spark.read.parquet(str(tmp_path / "p")).where("run_id = 'r2'").first().y_pred == 3.0
-    writers.write_delimited(df, str(tmp_path / "c"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+def test_predictions_of_a_run_and_split_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "p")
+    for run, split, y_pred in (("r1", "test", 2.0), ("r2", "test", 3.0), ("r2", "val", 4.0), ("r2", "test", 5.0)):
+        df = spark.createDataFrame([(0, 1.0, y_pred)], "row_id long, y_true double, y_pred double")
+        writers.write_predictions(df, path, run, split)
+    got = sorted((r.run_id, r.split, r.y_pred) for r in spark.read.parquet(path).collect())
+    assert got == [("r1", "test", 2.0), ("r2", "test", 5.0), ("r2", "val", 4.0)]
+
+
+def test_formats_are_named_and_folders_are_read(spark, tmp_path):
+    path = str(tmp_path / "holidays.data")
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2019-01-01 00:00:00' AS hourly_range, 1 AS Federal_Holiday")
+    df.write.option("header", True).csv(path)
+    df.write.parquet(path + ".csv")
+    wanted = {"holidays": schemas.HOLIDAYS}
+    for formats, place in (("csv", path), ({"holidays": "parquet"}, path + ".csv")):
+        assert readers.read_inputs(spark, {"holidays": place}, wanted, formats)["holidays"].first().Federal_Holiday == 1
+    with pytest.raises(ValueError, match="unknown formats"):
+        readers.read_inputs(spark, {"holidays": path}, wanted, "xls")

@@ -91,3 +91,17 @@ def test_alignment_cuts_to_the_shorter_side(spark):
     got = evaluate.align(both.select("k", "row_id", "y_true"), both.where("row_id < 3").select("k", "row_id", "y_pred"), by=["k"])
     assert got.count() == 3
     assert evaluate.regression_metrics(got).first().rows == 3
+
+
+def test_missing_groups_keep_their_claim_and_ids_are_single(spark):
+    df = frame(spark, GOOD, None).unionByName(frame(spark, GOOD, "m"))
+    both = ids(spark, "mae0.1", None).unionByName(ids(spark, "mae0.1", "m"))
+    assert {(r.k, r.mae_matches) for r in validation_gate(df, both, ["k"]).collect()} == {(None, True), ("m", True)}
+    with pytest.raises(Exception, match="several model ids"):
+        validation_gate(df, both.unionByName(ids(spark, "mae0.2", "m")), ["k"]).collect()
+
+
+def test_metrics_need_finite_values(spark):
+    bad = evaluate.usable_metrics(frame(spark, [*GOOD, (1, float("nan"))])).first()
+    none = evaluate.usable_metrics(frame(spark, GOOD).where("row_id < 0")).first()
+    assert (bad.rows, bad.mae, bad.r2) == (5, None, None) and (none.rows, none.mae) == (0, None)

@@ -155,3 +155,17 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "t long, v double")
     got = lagging.supervised_frame(df, ["t"], ["v"], {"v": 2}, 2, "v")
     assert got.count() == 0 and got.columns[-1] == "future_2_v"
+
+
+@pytest.mark.parametrize("bound", [None, 1_000])
+def test_rows_without_a_key_are_refused_in_both_layouts(spark, bound):
+    df = long_frame(spark, [1.0, 2.0, 3.0, 4.0], ["a", "a", None, "a"])
+    with pytest.raises(Exception, match="no series key"):
+        lagging.supervised_frame(df, ["t"], ["v"], {"v": 1}, 1, "v", ["k"], bound).collect()
+
+
+def test_nan_counts_as_missing(spark):
+    values = [1.0, 2.0, float("nan"), 4.0, 5.0, 6.0, 7.0]
+    nulls = [None if v != v else v for v in values]
+    frames = [lagging.supervised_frame(long_frame(spark, v), ["t"], ["v"], {"v": 1}, 1, "v") for v in (values, nulls)]
+    assert rows(frames[0], "t") == rows(frames[1], "t")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,8 +13,9 @@ from pyspark.sql import functions as F
 from hourloom.operators.catalog import dataset_info, list_datasets
 from hourloom.plans import standins as V
 from hourloom.operators.forecast import load_model
-from hourloom.plans.prepare import clean_inputs, learning_table, load_dataset, merged_table, prepare
-from hourloom.plans.search import evaluate_run, score_table, search
+from hourloom.plans.prepare import Dataset, clean_inputs, learning_table, load_dataset, merged_table, prepare
+from hourloom.plans.search import evaluate_run, score_table, search, validate_model
+from hourloom.session import scratch_root
 from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig, config_from_row
 from hourloom.sources.readers import read_inputs
@@ -123,7 +127,7 @@ def test_prepared_dataset_equals_pandas(spark, written, tmp_path):
     assert (info.original_features, info.lag_features, info.excluded_from) == (29, 6, "2019-01-05")
     assert config_from_row(info.config) == CONFIG
     assert list(info.tensor_shape) == [len(names), 1] and info.lag_features_config == CONFIG.lag_features
-    assert list_datasets(spark, f"{out}/datasets").first().dataset_key == "3hours_total_patient_count_dataset2"
+    assert list_datasets(spark, f"{out}/dataset_info").first().dataset_key == "3hours_total_patient_count_dataset2"
     tensors = spark.read.parquet(f"{out}/tensors").where("split = 'test'").orderBy("idx").toPandas()
     assert np.allclose(np.stack(tensors["x"]), got[got["split"] == "test"][[c + "_scaled" for c in names]], atol=1e-5)
     key = ("total_patient_count", 3, "dataset2")
@@ -152,7 +156,9 @@ def test_threshold_and_grid_options(spark, written):
     cleaned = clean_inputs(read_inputs(spark, paths, N.INPUTS))
     train_only = merged_table(cleaned, CONFIG, fit_scope="train")
     pdf = train_only.orderBy(N.HOUR).toPandas()
-    first = pdf["total_patient_count"].iloc[: int(len(pdf) * 0.7)]
+    # The last train row of the learning table ends the rows that the threshold may see.
+    kept = expected_table(written[0])[N.HOUR]
+    first = pdf[pdf[N.HOUR] <= kept.iloc[int(len(kept) * 0.7) - 1]]["total_patient_count"]
     limit = first.mean() + first.std()
     assert list(pdf["extreme_indicator"]) == list((pdf["total_patient_count"] >= limit).astype(int))
     # On a regular grid a lag is an hour, so hours next to a gap lose their lags.
@@ -179,7 +185,7 @@ def test_two_sites_in_one_job_equal_two_jobs(spark, written, tmp_path):
             df = pd.concat([north, south])
         df.to_csv(paths[name], index=False)
     out = str(tmp_path / "out")
-    whole = prepare(spark, CONFIG, paths, out, keys=["site"], unique_hours=True)
+    whole = prepare(spark, CONFIG, paths, out, keys=["site"], whole_hours=True)
     expected = expected_table(frames)
     north = whole.rows.where("site = 'north'").orderBy("idx").toPandas()
     assert list(north[N.HOUR]) == list(expected[N.HOUR])
@@ -193,19 +199,74 @@ def test_two_sites_in_one_job_equal_two_jobs(spark, written, tmp_path):
     train = south.iloc[: int(len(south) * 0.7)]["temp"]
     assert np.allclose(got["temp_scaled"], (south["temp"] - train.mean()) / train.std(ddof=0))
 
-    bucketed = prepare(spark, CONFIG, paths, out, keys=["site"])
     order = ["site", "idx"]
     names = [*order, "split", *[c + "_scaled" for c in whole.features]]
     left = whole.rows.select(names).orderBy(*order).toPandas()
+    bucketed = prepare(spark, CONFIG, paths, out, keys=["site"])
     right = bucketed.rows.select(names).orderBy(*order).toPandas()
     pd.testing.assert_frame_equal(left, right)
     # the second run replaced the first
     assert spark.read.parquet(f"{out}/datasets").count() == len(left)
 
 
-def test_repeated_hours_are_refused_when_uniqueness_is_claimed(spark, written):
+def test_repeated_hours_are_refused_unless_their_rows_are_ordered(spark, written):
     _, paths = written
     cleaned = clean_inputs(read_inputs(spark, paths, N.INPUTS))
-    cleaned["census"] = cleaned["census"].unionByName(cleaned["census"])
+    both = [cleaned["census"].withColumn("entry", F.lit(i)) for i in (1, 2)]
+    cleaned["census"] = both[0].unionByName(both[1])
     with pytest.raises(ValueError, match="duplicate key"):
-        merged_table(cleaned, CONFIG, unique_hours=True)
+        merged_table(cleaned, CONFIG)
+    frames = [
+        learning_table(merged_table({**cleaned, "census": cleaned["census"].repartition(n)}, CONFIG, tie_breaker=["entry"]), CONFIG, tie_breaker=["entry"])
+        for n in (1, 5)
+    ]
+    left, right = (f.orderBy("idx").toPandas() for f in frames)
+    pd.testing.assert_frame_equal(left, right)
+
+
+def test_times_between_hours_do_not_bound_a_series(spark, written):
+    _, paths = written
+    cleaned = clean_inputs(read_inputs(spark, paths, N.INPUTS))
+    for name in ("census", "patients", "boarding", "treatment"):
+        cleaned[name] = cleaned[name].withColumn(N.HOUR, F.col(N.HOUR) + F.expr("INTERVAL 1 MINUTE"))
+    assert merged_table(cleaned, CONFIG).count() > 0
+    with pytest.raises(ValueError, match="not a whole hour"):
+        merged_table(cleaned, CONFIG, series_bound=1_000)
+
+
+def test_jobs_leave_no_intermediate_tables(spark, written, tmp_path):
+    _, paths = written
+    tables = Path(scratch_root(spark).removeprefix("file:")) / "tables"
+    before = set(tables.iterdir()) if tables.exists() else set()
+    out = str(tmp_path / "out")
+    dataset = prepare(spark, CONFIG, paths, out)
+    key = ("total_patient_count", 3, "dataset2")
+    run = search(dataset, key, "RF", [{"n_estimators": 2, "max_depth": 2}], out).first().run_id
+    model = load_model(f"{out}/models/{run}")
+    for split in ("test", "test", "val"):
+        evaluate_run(dataset, model, run, out, split)
+    assert set(tables.iterdir()) == before
+    saved = spark.read.parquet(f"{out}/predictions").where(F.col("run_id") == run)
+    info = dataset_info(spark, f"{out}/dataset_info", *key)
+    assert {r.split: r["count"] for r in saved.groupBy("split").count().collect()} == {
+        "test": info.test_rows, "val": info.val_rows
+    }
+    # Prepared again without validation rows, none of them is left.
+    prepare(spark, dataclasses.replace(CONFIG, validation_fraction=0.0), paths, out)
+    again = spark.read.parquet(f"{out}/datasets")
+    assert again.count() == info.total_samples and again.where("split = 'val'").count() == 0
+
+
+def test_runs_of_several_sites_are_not_mixed(spark):
+    data = [(s, i, "test", float(v * 1000 + i), 0.0) for v, s in enumerate(("north", "south")) for i in range(40)]
+    rows = spark.createDataFrame(data, "site string, idx long, split string, label double, label_scaled double")
+
+    class Exact:
+        def transform(self, df):
+            return df.withColumn("prediction", F.col("label") + 1)
+
+    dataset = Dataset(rows, None, [], "label", ("site",))
+    whole = validate_model(dataset, Exact(), "m_mae1.0000").collect()
+    assert [(r.mae, r.max_std, r.inconsistent, r.mae_matches) for r in whole] == [(1.0, 0.0, False, True)]
+    each = validate_model(dataset, Exact(), "m_mae1.0000", by_series=True).collect()
+    assert {(r.site, r.mae, r.max_std, r.mae_matches) for r in each} == {(s, 1.0, 0.0, True) for s in ("north", "south")}
