@@ -385,7 +385,7 @@ ORACLES = {
     "scaler_params": f"""WITH {EVENT_SPLIT}, {_params(EVENT_INPUTS, EVENT_LABEL)}
         SELECT role, "column", round(mean, 6) AS mean, round(std, 6) AS std FROM params""",
     "scaler_params_by_series": f"""WITH {DAILY_SPLIT}, {_params(DAILY_INPUTS, DAILY_LABEL, ['nation'])}
-        SELECT nation, role, "column", round(mean, 4) AS mean, round(std, 4) AS std FROM params""",
+        SELECT nation, role, "column", round(mean + 1e-7, 4) AS mean, round(std + 1e-7, 4) AS std FROM params""",
     "scaled_frame": f"""WITH {EVENT_SPLIT}, {_params(EVENT_INPUTS, EVENT_LABEL)}
         SELECT idx, split, {', '.join(f'round({_scaled(c)}, 6) + 0.0 AS {c}_scaled'
                                       for c in [*EVENT_INPUTS, EVENT_LABEL])} FROM split_frame s""",
