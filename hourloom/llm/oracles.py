@@ -125,7 +125,37 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM documents JOIN parts ON parts.x = doc_id LEFT JOIN sizes USING (doc_id)
 """
 
+# Bytes as pairs of hexadecimal digits. A window that starts at i covers bytes i to i + 49; covers that touch are one run.
+REPEATED_STRINGS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS d, hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+), windows AS (
+  SELECT r, d, i, substr(h, 2 * i + 1, 100) AS k
+  FROM (SELECT r, d, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM docs WHERE length(h) >= 100)
+), firsts AS (
+  SELECT k, min(d) AS owner FROM windows GROUP BY k
+), gone AS (
+  SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), 51) AS step
+  FROM windows JOIN firsts USING (k) WHERE owner < d
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS b
+  FROM (SELECT *, sum(CAST(step > 50 AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS run FROM gone) GROUP BY r, run
+), pieces AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM runs
+), found AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS kept
+  FROM pieces JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN found USING (r)
+"""
+
 ORACLES = {
+    "op2_suffix_array_dedup": REPEATED_STRINGS,
     "op10_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
