@@ -273,7 +273,7 @@ ORACLES = {
         FROM (SELECT 'order' AS source, o_orderkey AS id, o_totalprice AS x, floor(o_totalprice) / 2 AS half
               FROM orders
               UNION ALL SELECT 'event', event_id, value, -floor(value) / 2 FROM events)""",
-    "merge_inner_hourly": f"""WITH {MERGED_HOURS} SELECT * REPLACE (
+    "merge_inner_hourly": f"""WITH {MERGED_HOURS.replace(IN_RANGE, "true")} SELECT * REPLACE (
         round(average_waiting_times_treatment_minute, 6) AS average_waiting_times_treatment_minute) FROM merged""",
     "enrich_games": f"""WITH {HOURLY} SELECT p.{HOUR}, total_patient_count,
         coalesce(a.{AWAY}, 0) AS {AWAY}, coalesce(g.{HOME}, 0) AS {HOME} FROM patients p
@@ -367,8 +367,7 @@ ORACLES = {
     "supervised_frame_by_series": f"WITH {DAILY_FRAME} SELECT * FROM frame",
     "supervised_frame_events": f"WITH {EVENT_FRAME} SELECT * FROM frame",
     "supervised_frame_bounded_series": f"""WITH ev AS (SELECT *, date_trunc('hour', ts) AS {HOUR} FROM events),
-        by_type AS (SELECT event_type, {HOUR}, count(*) AS events, max(value) AS peak FROM ev
-          WHERE {IN_RANGE} GROUP BY 1, 2),
+        by_type AS (SELECT event_type, {HOUR}, count(*) AS events, max(value) AS peak FROM ev GROUP BY 1, 2),
         {supervised('by_type', ['event_type', HOUR], [HOUR], ['events', 'peak'],
                     {'events': 3, 'peak': 2}, 'events', 2, ['event_type'])}
         SELECT * FROM frame""",

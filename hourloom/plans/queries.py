@@ -145,7 +145,8 @@ def round_half_even(spark, sf_dir):
 
 @query
 def merge_inner_hourly(spark, sf_dir):
-    cleaned = clean_inputs(V.inputs(spark, sf_dir), *V.RANGE)
+    """All hours: the range is as wide as times go."""
+    cleaned = clean_inputs(V.inputs(spark, sf_dir), "0001-01-01 00:00:00", "9999-12-31 23:00:00")
     tables = [cleaned[name] for name in ("census", "patients", "boarding", "treatment")]
     return rounded(enrich.merge_hourly(tables, [N.HOUR]), ["average_waiting_times_treatment_minute"])
 
@@ -283,15 +284,16 @@ def supervised_frame_events(spark, sf_dir):
 
 @query
 def supervised_frame_bounded_series(spark, sf_dir):
-    """Hourly series of each event type; the closed range proves that none exceeds 720 rows."""
-    by_type = (
-        clean.filter_range(V.events_by_hour(spark, sf_dir), N.HOUR, *V.RANGE)
+    """Hourly series of each event type; the bound is the length of the longest one."""
+    by_type = materialise(
+        V.events_by_hour(spark, sf_dir)
         .groupBy("event_type", N.HOUR)
         .agg(F.count(F.lit(1)).alias("events"), F.max("value").alias("peak"))
     )
+    longest = by_type.groupBy("event_type").count().agg(F.max("count")).first()[0]
     return lagging.supervised_frame(
         by_type, [N.HOUR], ["events", "peak"], {"events": 3, "peak": 2}, 2, "events",
-        keys=["event_type"], series_bound=720,
+        keys=["event_type"], series_bound=longest,
     )
 
 
@@ -307,8 +309,8 @@ def _event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chronological_split(V.event_supervised(spark, sf_dir))
 
 
-def _daily_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chronological_split(V.daily_supervised(spark, sf_dir))
+def _daily_split(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    return chronological_split(V.daily_supervised(spark, sf_dir, daily))
 
 
 EVENT_LABEL = f"future_{V.EVENT_HORIZON}_value"
@@ -621,7 +623,9 @@ def scaler_lookup(spark, sf_dir):
     The full catalogue has target scalers, the second scalers that name their
     dataset, the third neither: every step of the preference decides once.
     """
-    params = _daily_dataset(spark, sf_dir, ["nation"]).params
+    daily = materialise(V.daily_by_nation(spark, sf_dir))  # both learning tables read it
+    split = _daily_split(spark, sf_dir, daily)
+    params = scaled_dataset(split, DAILY_INPUTS, DAILY_LABEL, ["nation"], written=True).params
     dataset = F.concat(F.lit("dataset"), F.col("nation").cast("string"))
     is_target = F.col("role") == scaling.TARGET
     is_lag = F.col("column").startswith("lag_")
@@ -641,7 +645,7 @@ def scaler_lookup(spark, sf_dir):
     chosen = catalog.choose_scaler(scalers, ["catalogue", "nation", "dataset"])
     each = F.collect_list(F.struct("catalogue", "dataset", "scaler", "mean", "std"))
     by_nation = chosen.groupBy("nation").agg(each.alias("chosen"))
-    restored = lookup(V.predictions(spark, sf_dir), by_nation, ["nation"]).select("*", F.inline("chosen"))
+    restored = lookup(V.predictions(spark, sf_dir, daily), by_nation, ["nation"]).select("*", F.inline("chosen"))
     unscaled = S.unstandardise(F.col("y_pred"), F.col("mean"), F.col("std"))
     return restored.select(
         "catalogue", "nation", "dataset", "scaler", "row_id", F.round(unscaled, 3).alias("y_pred")

@@ -211,17 +211,18 @@ def daily_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.groupBy("nation", F.col("o_orderdate").alias("day")).agg(*_order_measures())
 
 
-def daily_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_supervised(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """``daily`` is the nations' days, if the caller has them written."""
     return supervised_frame(
-        daily_by_nation(spark, sf_dir),
+        daily or daily_by_nation(spark, sf_dir),
         ["day"], DAILY_FEATURES, DAILY_LAGS, HORIZON, "order_count", keys=["nation"],
     )
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Persistence forecast of every nation: the value now stands for the value six rows on."""
     frame = supervised_frame(
-        daily_by_nation(spark, sf_dir), ["day"], ["order_count"], {}, HORIZON, "order_count", ["nation"]
+        daily or daily_by_nation(spark, sf_dir), ["day"], ["order_count"], {}, HORIZON, "order_count", ["nation"]
     )
     return frame.select(
         "nation",
