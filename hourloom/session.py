@@ -57,15 +57,30 @@ _OWNERS: list[list[str]] = []
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Delete, at the end, every table that ``materialise`` writes meanwhile."""
-    _OWNERS.append([])
+def owned() -> Iterator[list[str]]:
+    """The paths of the tables that ``materialise`` writes meanwhile, for whoever deletes them."""
+    paths: list[str] = []
+    _OWNERS.append(paths)
     try:
-        yield
+        yield paths
     finally:
-        for path in _OWNERS.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _OWNERS.pop()
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every table that ``materialise`` writes meanwhile."""
+    with owned() as paths:
+        try:
+            yield
+        finally:
+            delete_tables(spark, paths)
 
 
 def materialise(df: DataFrame) -> DataFrame:
