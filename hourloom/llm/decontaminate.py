@@ -33,7 +33,7 @@ SEGMENT_WORDS = 2_000_000
 #: Bits of the filter of test words: 2 MB on every executor, whatever the benchmark's size.
 FILTER_BITS = 1 << 24
 #: Test windows looked up at once; more are looked up in further passes over the index.
-BLOCK_WINDOWS = 100_000
+BLOCK_WINDOWS = 20_000
 #: Candidate places intersected at once within a task.
 CANDIDATES = 2_000_000
 
