@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.llm.common import rank_id, whole
+from hourloom.operators.lookup import lookup
 from hourloom.session import materialise
 
 CACHE_SCHEMA = "content binary, n_tokens long, tokenizer string"
@@ -108,7 +109,9 @@ def token_counts(
     todo = texts.withColumn("one", rank_id("doc_id")).join(missing.hint("shuffle_hash"), ["one", "content"])
     counted = todo.select("content", "text").mapInArrow(encoder(tokenizer_path, version), "content binary, n_tokens long")
     counted.withColumn("tokenizer", F.lit(version)).write.mode("append").parquet(cache)
-    return keyed.join(open_cache(spark, cache, version), "content", "left").select(
+    # A content that very many documents hold is dealt over several tasks.
+    known = lookup(keyed, open_cache(spark, cache, version), ["content"], broadcast_rows=0)
+    return known.select(
         "doc_id",
         "n_bytes",
         "n_tokens",
