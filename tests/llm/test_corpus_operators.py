@@ -382,6 +382,19 @@ def test_chains_are_one_component(spark):
     assert by_row(got, ["doc_id", "n_shingles", "component_id", "kept"]) == paired(rows, brute.near(rows))
 
 
+def test_components_of_random_graphs_and_a_long_chain(spark):
+    r = random.Random(6)
+    edges = [(r.randrange(150), r.randrange(150)) for _ in range(110)] + [(1000 - i, 999 - i) for i in range(70)]
+    nodes = sorted({x for e in edges for x in e} | {5000})
+    label = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    given = spark.createDataFrame([(n, n) for n in nodes], "doc long, component long")
+    got = near_dups.components(spark.createDataFrame(edges, "a long, b long"), given)
+    assert {x.doc: x.component for x in got.collect()} == label
+
+
 def test_sketches_fill_all_bins_and_estimate():
     r = np.random.default_rng(2)
     for n in (1, 2, 30, 5_000):
