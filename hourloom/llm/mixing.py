@@ -27,7 +27,7 @@ TOPIC_WORD_BYTES = 5
 #: Targets are the shares of the tokens to this power: large groups weigh less, small ones more.
 POWER = 0.8
 SWEEPS = 12
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 SEED = 20_240_601
 
 #: Bits of the number that decides whether a document is drawn.
@@ -101,20 +101,25 @@ def rake(
     Ends when no factor of a sweep is further than ``tolerance`` from one.
     """
     names = cells.columns
+    for margin, target in targets.items():
+        cells = join_same(cells, target.withColumnRenamed("target", f"_{margin}"), [margin], "left")
+    cells = materialise(cells.withColumn("_off", F.lit(0.0)))
     for _ in range(sweeps):
-        for margin, target in targets.items():
+        cells = cells.withColumn("_off", F.lit(0.0))
+        for margin in targets:
+            # Each step is written: it is read twice by the next one.
             sums = cells.groupBy(margin).agg(F.sum("weight").alias("_sum"))
-            factors = join_same(sums, target, [margin], "left").select(
-                margin, F.when(F.col("_sum") > 0, F.coalesce(F.col("target") / F.col("_sum"), F.lit(1.0))).otherwise(1.0).alias("_factor")
+            wanted = F.coalesce(F.col(f"_{margin}") / F.col("_sum"), F.lit(1.0))
+            factor = F.when(F.col("_sum") > 0, wanted).otherwise(1.0)
+            cells = join_same(cells, sums, [margin], "left").withColumn("_factor", factor)
+            cells = cells.withColumns(
+                {"weight": F.col("weight") * F.col("_factor"), "_off": F.greatest("_off", F.abs(F.col("_factor") - 1))}
             )
-            cells = join_same(cells, factors, [margin], "left").withColumn("weight", F.col("weight") * F.col("_factor"))
-            cells = cells.withColumn(f"_off_{margin}", F.abs(F.col("_factor") - 1)).drop("_factor")
-        cells = materialise(cells)
-        worst = cells.agg(F.max(F.greatest(*[F.col(f"_off_{m}") for m in targets], F.lit(0.0)))).first()[0]
-        cells = cells.select(*names)
+            cells = materialise(cells.drop("_sum", "_factor"))
+        worst = cells.agg(F.max("_off")).first()[0]
         if worst is None or worst <= tolerance:
             break
-    return cells
+    return cells.select(*names)
 
 
 def mix_sources(
