@@ -30,7 +30,7 @@ SIZE = 4
 BANDS = 42
 ROWS = 5
 #: Turns of leaders before the members of buckets of several components meet by their rarest shingles.
-LEADERS = 4
+LEADERS = 3
 
 #: A missing id is replaced by a number from here on, chosen by the text; ids must be smaller.
 NO_ID = 1 << 62
@@ -151,42 +151,36 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Smallest reachable label: ``labels`` (doc, component) merged along ``edges`` (a, b).
 
-    Components, not documents, are merged: edges between labels shrink with
-    every round, by alternating hooks to the smallest neighbour and jumps.
+    Labels, not documents, are merged. In each round every label hooks to the
+    smallest one beside it and follows two more hooks from there; edges move
+    along and those within one label go. The smallest label of a component
+    never moves, so in the end all others have come to it.
     """
     one = labels.withColumnRenamed("doc", "a").withColumnRenamed("component", "u")
     two = labels.withColumnRenamed("doc", "b").withColumnRenamed("component", "v")
-    links = edges.select("a", "b").join(one, "a").join(two, "b").where("u <> v").select("u", "v").distinct()
-    links = materialise(links)
-    if links.isEmpty():
+    links = materialise(edges.select("a", "b").join(one, "a").join(two, "b").where("u <> v").select("u", "v").distinct())
+    moved = None
+    while not links.isEmpty():
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hooks = both.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("node"), F.least("u", "low").alias("up"))
+        hooks = materialise(hooks)
+        further = hooks.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        step = hooks
+        for _ in range(2):
+            step = step.join(further, "up").select("node", F.col("next").alias("up"))
+        step = materialise(step)
+        a, b = (step.select(F.col("node").alias(x), F.col("up").alias(y)) for x, y in (("u", "x"), ("v", "y")))
+        links = links.join(a, "u").join(b, "v").where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v"))
+        links = materialise(links.distinct())
+        if moved is None:
+            moved = step
+        else:
+            later = step.select(F.col("node").alias("up"), F.col("up").alias("next"))
+            moved = moved.join(later, "up", "left").select("node", F.coalesce("next", "up").alias("up"))
+    if moved is None:
         return labels
-    nodes = links.select(F.col("u").alias("node")).union(links.select("v")).distinct()
-    roots = materialise(nodes.select("node", F.col("node").alias("root")))
-    while True:
-        # Every node hooks to the smallest node beside it, then follows its root's root.
-        both = links.union(links.select("v", "u"))
-        lowest = both.groupBy("u").agg(F.min("v").alias("low"))
-        hooked = lowest.select(F.col("u").alias("node"), F.least("u", "low").alias("up"))
-        hooked = materialise(hooked)
-        up = hooked
-        while True:
-            jump = up.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-            jumped = materialise(up.join(jump, "up").select("node", F.col("upper").alias("up"), (F.col("up") != F.col("upper")).alias("moved")))
-            up = jumped.select("node", "up")
-            if jumped.where("moved").isEmpty():
-                break
-        step = up.select(F.col("node").alias("root"), F.col("up"))
-        roots = materialise(
-            roots.join(step, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-        )
-        a = up.select(F.col("node").alias("u"), F.col("up").alias("x"))
-        b = up.select(F.col("node").alias("v"), F.col("up").alias("y"))
-        links = links.join(a, "u").join(b, "v").where("x <> y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
-        links = materialise(links)
-        if links.isEmpty():
-            break
-    moved = roots.select(F.col("node").alias("component"), "root")
-    return labels.join(moved, "component", "left").select("doc", F.coalesce("root", "component").alias("component"))
+    roots = moved.select(F.col("node").alias("component"), F.col("up").alias("root"))
+    return labels.join(roots, "component", "left").select("doc", F.coalesce("root", "component").alias("component"))
 
 
 def _leaders(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
@@ -284,16 +278,11 @@ def near_duplicate_rows(
     sets = materialise(texts.mapInArrow(_sets(size), "doc long, elements binary"))
     labels = involved.select("doc", F.col("doc").alias("component"))
     similar = F.col("shared") * (100 + percent) >= F.col("sizes") * percent
-    tested = None
     for turn in range(leaders + 1):
-        last = turn == leaders
-        pairs = _apart(members, labels, sets, percent) if last else _leaders(members, labels, turn)
+        pairs = _leaders(members, labels, turn) if turn < leaders else _apart(members, labels, sets, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        found = materialise(compare(pairs, sets))
-        links = found.where(similar).select("a", "b")
+        links = materialise(compare(pairs, sets).where(similar).select("a", "b"))
         labels = materialise(components(links, labels))
-        tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
 
     # A component's label is its smallest document: labels only move down.
     verdicts = nodes.join(labels.withColumnRenamed("doc", "id"), "id", "left")
