@@ -4,8 +4,9 @@ Documents are measured once (tokens and topic) and summed to cells of (source,
 language, topic). The cells' token weights are raked: scaled to the targets of
 one margin after the other until all margins hold. Cells and margins stay
 tables, written after every sweep; margins are sums that combine before the
-shuffle. A document's probability is its cell's raked weight over its tokens,
-scaled so that the largest is one.
+shuffle. A cell's raked weight over its tokens, scaled to a budget, is how often a
+token shall come: up to one it is the probability of the cell's documents, beyond
+that all of them are drawn and each of their tokens weighs more than one.
 """
 
 from __future__ import annotations
@@ -132,14 +133,19 @@ def mix_sources(
     source: str = "source",
     lang: str = "lang",
     row: Column | None = None,
+    budget: float | None = None,
 ) -> DataFrame:
-    """Return doc_id, row, source, lang, topic, n_tokens, weight, probability and selected, one row per input row.
-
-    ``weight`` is what a token of the document's cell counts after raking;
-    ``selected`` draws by a hash of the id and the text, so that a repeated run
+    """Return doc_id, row, source, lang, topic, n_tokens, weight, probability, token_weight and selected, one row per input row.
+
+    ``weight`` is what a token of the document's cell counts after raking,
+    scaled so that the tokens of the table count ``budget``, their own number
+    unless given. ``probability`` is the weight, at most one; ``token_weight``
+    is the rest, weight over probability, for each token that is drawn: one, or
+    more in cells that have too few tokens. So a rare cell does not thin out
+    the others. ``selected`` draws by a hash of the id and the text, so that a repeated run
     draws the same rows and repeated rows share their fate. Missing sources and
     languages are values of their own. ``row`` is a number that is carried along. Cells without any token (empty texts)
-    have weight and probability 0. Without ``targets`` the tempered shares of
+    have weight, probability and token weight 0. Without ``targets`` the tempered shares of
     the table are the targets. An empty table gives an empty result.
     """
     rows = materialise(measured(docs, F.lit(0) if row is None else row, id_column, text, source, lang))
@@ -147,10 +153,14 @@ def mix_sources(
     cells = materialise(cells.withColumn("weight", F.col("tokens")))
     if targets is None:
         targets = {m: materialise(tempered_targets(cells, m, power)) for m in MARGINS}
-    raked = rake(cells, targets, sweeps).select(*MARGINS, (F.col("weight") / F.col("tokens")).alias("weight"))
-    largest = raked.agg(F.max("weight")).first()[0] or 1.0
+    raked = rake(cells, targets, sweeps)
+    tokens, weights = raked.agg(F.sum("tokens"), F.sum("weight")).first()
+    scale = (tokens if budget is None else budget) / weights if weights else 1.0
+    raked = raked.select(*MARGINS, (F.col("weight") / F.col("tokens") * F.lit(float(scale))).alias("weight"))
     mixed = join_same(rows, raked, list(MARGINS), "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
-    mixed = mixed.withColumn("probability", F.col("weight") / F.lit(float(largest)))
+    mixed = mixed.withColumn("probability", F.least("weight", F.lit(1.0)))
+    token_weight = F.when(F.col("weight") > 0, F.greatest("weight", F.lit(1.0))).otherwise(0.0)
     return mixed.select(
-        "doc_id", "row", *MARGINS, "n_tokens", "weight", "probability", (F.col("draw") < F.col("probability")).alias("selected")
+        "doc_id", "row", *MARGINS, "n_tokens", "weight", "probability", token_weight.alias("token_weight"),
+        (F.col("draw") < F.col("probability")).alias("selected"),
     )

@@ -352,6 +352,22 @@ def test_mixture_meets_its_margins(odd):
     assert {r.selected for r in got if r.probability == 1} <= {True}
 
 
+def test_a_rare_cell_changes_its_own_rows_only(spark):
+    schema = "doc_id long, text string, source string, lang string"
+    rows = [(i, prose(40 + i % 50, 3000 + i), f"s{i % 2}", "en" if i % 3 else "fr") for i in range(300)]
+    for rare in [(900, prose(20, 1), "s0", "xx"), (900, prose(20, 1), "rare", "en")]:
+        plain, got = ({r.doc_id: r for r in mixing.mix_sources(spark.createDataFrame(x, schema)).collect()} for x in (rows, [*rows, rare]))
+        assert got[900].selected and got[900].probability == 1 and got[900].token_weight > 1.5
+        drawn = [sum(r.probability * r.n_tokens for d, r in x.items() if d < 900) for x in (plain, got)]
+        assert drawn[1] > 0.95 * drawn[0] and drawn[0] > 0.8 * sum(r.n_tokens for r in plain.values())
+        assert all(r.probability * r.token_weight == pytest.approx(r.weight) for r in got.values())
+
+
+def test_the_mixture_counts_the_budget(spark, odd):
+    got = mixing.mix_sources(odd[1], budget=1000.0).collect()
+    assert sum(r.probability * r.token_weight * r.n_tokens for r in got) == pytest.approx(1000)
+
+
 # Near duplicates
 
 
