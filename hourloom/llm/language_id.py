@@ -3,13 +3,17 @@
 Texts become TF-IDF weights of hashed character n-grams. The regression is
 fitted by follow-the-regularised-leader with elastic-net penalties: shards of a
 bounded sample run side by side from a common state, and the states are
-averaged after each round. A temperature, fitted on sample rows that took no
-part, calibrates the probabilities.
+averaged after each round. Every language of the training rows is learned: more
+than fit one state are dealt over blocks, and each block is a regression of its
+own languages and a class for sample rows of all others, against which its
+languages' scores are measured. A temperature, fitted on sample rows that took
+no part, calibrates the probabilities over the languages of all blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +24,14 @@ from hourloom.session import materialise
 
 DIMENSIONS = 1 << 15
 ORDERS = 3
-#: Most languages that are learned, the most frequent ones, and sample rows of each.
-LANGUAGES = 128
+#: Sample rows of each language, and languages that are trained and scored together.
 ROWS_PER_LANGUAGE = 1_500
+CLASSES = 64
 SHARDS, ROUNDS = 8, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 CALIBRATION = 5  # every fifth sample row sets the temperature
+#: Numbers that the driver holds for the temperature; with more rows times languages a part of the rows sets it.
+LOGITS = 5_000_000
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
 
@@ -80,7 +86,8 @@ def _vectors(idf):
             both = [weights_of(t.as_py() or "", idf.value) for t in part.column("text")]
             at = pa.array([a.astype(np.int32).tobytes() for a, _ in both], pa.binary())
             values = pa.array([v.astype(np.float64).tobytes() for _, v in both], pa.binary())
-            yield pa.record_batch([part.column("label"), part.column("pick"), at, values], names=["label", "pick", "at", "weights"])
+            kept = [part.column(c) for c in ("label", "pick", "key")]
+            yield pa.record_batch([*kept, at, values], names=["label", "pick", "key", "at", "weights"])
 
     return run
 
@@ -95,32 +102,97 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _shard(state, classes: int):
-    def run(table: pa.Table) -> pa.Table:
-        z, n = (a.copy() for a in state.value)
-        rows = sorted(table.to_pylist(), key=lambda r: (r["pick"], r["label"], r["at"]))
-        for row in rows:
-            at, x = np.frombuffer(row["at"], np.int32), np.frombuffer(row["weights"], np.float64)
-            zs, ns = z[:, at], n[:, at]
-            w = leader_weights(zs, ns)
-            error = softmax(w @ x)
-            error[row["label"]] -= 1
-            g = error[:, None] * x
-            grown = ns + g * g
-            z[:, at] = zs + g - (np.sqrt(grown) - np.sqrt(ns)) / ALPHA * w
-            n[:, at] = grown
-        return pa.table({"z": [z.tobytes()], "n": [n.tobytes()]})
+def _shards(state, classes: int):
+    """The state after the rows of each shard, one row per class; rows come sorted by shard."""
+
+    def learn(z: np.ndarray, n: np.ndarray, label: int, at: np.ndarray, x: np.ndarray) -> None:
+        zs, ns = z[:, at], n[:, at]
+        w = leader_weights(zs, ns)
+        error = softmax(w @ x)
+        error[label] -= 1
+        g = error[:, None] * x
+        grown = ns + g * g
+        z[:, at] = zs + g - (np.sqrt(grown) - np.sqrt(ns)) / ALPHA * w
+        n[:, at] = grown
+
+    def rows(shard: int, z: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array([shard] * classes, pa.int32()), pa.array(range(classes), pa.int32())]
+        columns += [pa.array([row.tobytes() for row in a], pa.binary()) for a in (z, n)]
+        return pa.record_batch(columns, names=["shard", "label", "z", "n"])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = None
+        for part in parts:
+            for shard, label, at, x in zip(*(part.column(c) for c in ("shard", "label", "at", "weights"))):
+                if current != shard.as_py():
+                    if current is not None:
+                        yield rows(current, z, n)
+                    current = shard.as_py()
+                    z, n = (a.copy() for a in state.value)
+                learn(z, n, label.as_py(), np.frombuffer(at.as_py(), np.int32), np.frombuffer(x.as_py(), np.float64))
+        if current is not None:
+            yield rows(current, z, n)
 
     return run
 
 
-def _logits(parts: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
+def _averaged(table: pa.Table) -> pa.Table:
+    table = table.sort_by("shard")
+    mean = {c: np.mean([np.frombuffer(v.as_py(), np.float64) for v in table.column(c)], axis=0).tobytes() for c in ("z", "n")}
+    return pa.table({"label": table.column("label")[:1], "z": [mean["z"]], "n": [mean["n"]]})
+
+
+def trained(taught: DataFrame, classes: int) -> np.ndarray:
+    """Weights of (classes, dimensions) from rows (label, pick, at, weights); the driver gets averaged states only."""
+    sharded = taught.withColumn("shard", F.pmod(F.shiftright("pick", 8), F.lit(SHARDS)).cast("int"))
+    sharded = sharded.select("shard", "label", "pick", "at", "weights")
+    sharded = sharded.repartition(SHARDS, "shard").sortWithinPartitions("shard", "pick", "label", "at")
+    state = (np.zeros((classes, DIMENSIONS)), np.zeros((classes, DIMENSIONS)))
+    for _ in range(ROUNDS):
+        shared = taught.sparkSession.sparkContext.broadcast(state)
+        done = sharded.mapInArrow(_shards(shared, classes), "shard int, label int, z binary, n binary")
+        done = sorted(done.groupBy("label").applyInArrow(_averaged, "label int, z binary, n binary").collect())
+        if done:
+            state = tuple(np.stack([np.frombuffer(r[c], np.float64) for r in done]) for c in ("z", "n"))
+        shared.destroy()
+    return leader_weights(*state)
+
+
+def block_rows(taught: DataFrame, block: int, blocks: int, expected: list[int]) -> tuple[DataFrame, int]:
+    """The rows that a block learns from, labelled by their place in it, and its classes.
+
+    With several blocks the last class stands for all other languages, by about as many rows as the block has.
+    """
+    classes = len(expected[block::blocks])
+    if blocks == 1:
+        return taught, classes
+    own = F.pmod("label", F.lit(blocks)) == block
+    share = min(1.0, sum(expected[block::blocks]) / max(1, sum(expected) - sum(expected[block::blocks])))
+    other = F.pmod(F.xxhash64("pick", F.lit(block)), F.lit(1 << 30)) < share * (1 << 30)
+    place = F.when(own, F.floor(F.col("label") / blocks)).otherwise(classes).cast("int")
+    return taught.where(own | other).withColumn("label", place), classes + 1
+
+
+def scores_of(weights: np.ndarray, at: np.ndarray, x: np.ndarray, blocks: int) -> np.ndarray:
+    """A score for each language of a block; with several blocks, what it has more than all others."""
+    scores = weights[:, at] @ x
+    return scores if blocks == 1 else scores[:-1] - scores[-1]
+
+
+def _logits(parts: Iterator[pa.RecordBatch], weights, blocks: int) -> Iterator[pa.RecordBatch]:
     for part in parts:
         found = [
-            (weights.value[:, np.frombuffer(a.as_py(), np.int32)] @ np.frombuffer(v.as_py(), np.float64)).tolist()
+            scores_of(weights.value, np.frombuffer(a.as_py(), np.int32), np.frombuffer(v.as_py(), np.float64), blocks).tobytes()
             for a, v in zip(part.column("at"), part.column("weights"))
         ]
-        yield pa.record_batch([part.column("label"), pa.array(found, pa.list_(pa.float64()))], names=["label", "logits"])
+        yield pa.record_batch([part.column("key"), part.column("label"), pa.array(found, pa.binary())], names=["key", "label", "logits"])
+
+
+def _judged(calibration: DataFrame, weights, blocks: int) -> list:
+    found = calibration.select("key", "label", "at", "weights").mapInArrow(
+        lambda parts: _logits(parts, weights, blocks), "key long, label int, logits binary"
+    )
+    return sorted(found.collect())
 
 
 def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -137,18 +209,19 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(train: DataFrame, languages: int = LANGUAGES, rows_per_language: int = ROWS_PER_LANGUAGE):
-    """(labels, idf, weights, temperature) from rows (text, lang, key) with a language.
+def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, classes: int = CLASSES):
+    """(labels, idf, weights of each block as broadcasts, temperature) from rows (text, lang, key) with a language.
 
     Frequencies cover all rows; the regression sees ``rows_per_language`` rows
-    of each of the ``languages`` most frequent languages on average, picked by
-    a hash of the row's place, so that repeated ids cannot swell the sample.
+    of each language on average, picked by a hash of the row's place, so that
+    repeated ids cannot swell the sample. Label i is in block i modulo the
+    number of blocks.
     """
     spark = train.sparkSession
-    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     labels = [r["lang"] for r in counts]
     if not labels:
-        return labels, np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), 1.0
+        return labels, np.zeros(DIMENSIONS), [spark.sparkContext.broadcast(np.zeros((0, DIMENSIONS)))], 1.0
     idf = inverse_frequencies(train)
     shared_idf = spark.sparkContext.broadcast(idf)
     known = spark.createDataFrame(
@@ -156,48 +229,50 @@ def fit(train: DataFrame, languages: int = LANGUAGES, rows_per_language: int = R
     )
     pick = F.xxhash64("key").bitwiseAND(F.lit((1 << 40) - 1))
     picked = train.withColumn("pick", pick).join(F.broadcast(known), "lang").where(F.col("pick") < F.col("share") * (1 << 40))
-    vectors = picked.select("label", "pick", "text").mapInArrow(
-        _vectors(shared_idf), "label int, pick long, at binary, weights binary"
+    vectors = picked.select("label", "pick", "key", "text").mapInArrow(
+        _vectors(shared_idf), "label int, pick long, key long, at binary, weights binary"
     )
     vectors = materialise(vectors)
     turn = F.pmod("pick", F.lit(CALIBRATION)) == 0
-    state = (np.zeros((len(labels), DIMENSIONS)), np.zeros((len(labels), DIMENSIONS)))
-    sharded = vectors.where(~turn).withColumn("shard", F.pmod(F.shiftright("pick", 8), F.lit(SHARDS)).cast("int"))
-    for _ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(state)
-        done = sharded.groupBy("shard").applyInArrow(_shard(shared, len(labels)), "z binary, n binary").collect()
-        if done:
-            state = tuple(
-                np.mean([np.frombuffer(r[c], np.float64) for r in done], axis=0).reshape(len(labels), DIMENSIONS) for c in ("z", "n")
-            )
-    weights = leader_weights(*state)
-    shared = spark.sparkContext.broadcast(weights)
-    judged = vectors.where(turn).select("label", "at", "weights").mapInArrow(
-        lambda parts: _logits(parts, shared), "label int, logits array<double>"
-    )
-    judged = judged.collect()
-    t = temperature(np.array([r["logits"] for r in judged]), np.array([r["label"] for r in judged])) if judged else 1.0
+    blocks = -(-len(labels) // classes)
+    expected = [min(r["count"], rows_per_language) for r in counts]
+    weights = [
+        spark.sparkContext.broadcast(trained(*block_rows(vectors.where(~turn), b, blocks, expected))) for b in range(blocks)
+    ]
+    share = LOGITS / (sum(expected) / CALIBRATION * len(labels))
+    calibration = vectors.where(turn)
+    if share < 1:
+        calibration = calibration.where(F.pmod(F.xxhash64("pick", F.lit(-1)), F.lit(1 << 30)) < share * (1 << 30))
+    t = 1.0
+    judged = [_judged(calibration, w, blocks) for w in weights]
+    if judged[0]:
+        logits = np.zeros((len(judged[0]), len(labels)))
+        for b, rows in enumerate(judged):
+            logits[:, b::blocks] = [np.frombuffer(r["logits"], np.float64) for r in rows]
+        t = temperature(logits, np.array([r["label"] for r in judged[0]]))
     return labels, idf, weights, t
 
 
-def _predict(model):
+def _predict(model, weights, block: int, blocks: int):
+    """The best language of a block, its score ``top`` and the sum of exp(score - top)."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels, idf, weights, t = model.value
+        labels, idf, t = model.value
         for part in parts:
-            found, scores = [], []
+            found = []
             for text in part.column("text"):
                 text = text.as_py()
                 if not labels or not text or not any(map(str.isalpha, text)):
-                    found.append(UNKNOWN)
-                    scores.append(0.0)
+                    found.append((-1, UNKNOWN, 0.0, 0.0))
                     continue
-                at, x = weights_of(text, idf)
-                p = softmax(weights[:, at] @ x / t)
-                found.append(labels[int(p.argmax())])
-                scores.append(float(p.max()))
+                scores = scores_of(weights.value, *weights_of(text, idf), blocks) / t
+                label = int(scores.argmax()) * blocks + block
+                found.append((label, labels[label], float(scores.max()), float(np.exp(scores - scores.max()).sum())))
+            kinds = (pa.int32(), pa.string(), pa.float64(), pa.float64())
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
             yield pa.record_batch(
-                [part.column("doc_id"), part.column("held_out"), pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "held_out", "lang_pred", "score"],
+                [*(part.column(c) for c in ("key", "doc_id", "held_out")), *columns],
+                names=["key", "doc_id", "held_out", "label", "lang_pred", "top", "total"],
             )
 
     return run
@@ -210,12 +285,13 @@ def identify_languages(
     lang: str = "lang",
     folds: int = FOLDS,
     held_fold: int = HELD_OUT,
-    languages: int = LANGUAGES,
     rows_per_language: int = ROWS_PER_LANGUAGE,
+    classes: int = CLASSES,
 ) -> DataFrame:
     """Return doc_id, held_out, lang_pred and score, one row per input row.
 
-    Rows of the held-out fold and rows without a language teach nothing. Missing
+    Rows of the held-out fold and rows without a language teach nothing; every
+    language of the others is learned, in blocks of at most ``classes``. Missing
     texts and texts without a letter are ``und`` with score 0, and so is every
     text if no row teaches. A missing id is in the fold of the empty id. Ties
     between languages go to the more frequent one.
@@ -228,7 +304,24 @@ def identify_languages(
         F.monotonically_increasing_id().alias("key"),
     )
     train = rows.where("NOT held_out AND lang IS NOT NULL").select("text", "lang", "key")
-    model = docs.sparkSession.sparkContext.broadcast(fit(train, languages, rows_per_language))
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        _predict(model), "doc_id long, held_out boolean, lang_pred string, score double"
-    )
+    labels, idf, weights, t = fit(train, rows_per_language, classes)
+    model, blocks = docs.sparkSession.sparkContext.broadcast((labels, idf, t)), len(weights)
+    rows = rows.select("key", "doc_id", "held_out", "text")
+    if blocks > 1:
+        rows = materialise(rows)  # read once for each block
+    passes = [
+        rows.mapInArrow(
+            _predict(model, w, b, blocks),
+            "key long, doc_id long, held_out boolean, label int, lang_pred string, top double, total double",
+        )
+        for b, w in enumerate(weights)
+    ]
+    found = passes[0]
+    if blocks > 1:
+        best = F.min(F.struct(-F.col("top"), "label", "lang_pred"))
+        parts = F.collect_list(F.struct("top", "total"))
+        found = reduce(DataFrame.unionAll, passes).groupBy("key", "doc_id", "held_out").agg(best.alias("best"), parts.alias("parts"))
+        total = F.aggregate("parts", F.lit(0.0), lambda sum_, p: sum_ + p["total"] * F.exp(p["top"] + F.col("best.col1")))
+        found = found.select("doc_id", "held_out", "best.lang_pred", total.alias("total"))
+    score = F.when(F.col("total") > 0, 1 / F.col("total")).otherwise(0.0)
+    return found.select("doc_id", "held_out", "lang_pred", score.alias("score"))

@@ -154,6 +154,20 @@ def test_languages_of_held_out_rows(spark):
     assert {r.doc_id: (r.lang_pred, r.score) for r in got if r.doc_id in (900, 901)} == {900: ("und", 0.0), 901: ("und", 0.0)}
 
 
+@pytest.mark.parametrize("count, classes", [(140, 64), (7, 3)])
+def test_every_language_is_learned(spark, count, classes):
+    r = random.Random(4)
+    alphabets = {f"l{k}": [chr(0x4E00 + 40 * k + i) for i in range(5)] for k in range(count)}
+    rows = [(i, " ".join("".join(r.choice(a) for _ in range(5)) for _ in range(12)), lang) for i, (lang, a) in enumerate([*alphabets.items()] * 8)]
+    df = spark.createDataFrame([*rows, (9000, "12", "l1"), (9000, "12", "l1")], "doc_id long, text string, lang string")
+    got = language_id.identify_languages(df, classes=classes).collect()
+    truth = {d: lang for d, _, lang in rows}
+    held = [r for r in got if r.held_out and r.doc_id in truth]
+    assert len(got) == len(rows) + 2 and all(0 <= r.score <= 1 for r in got)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) > 0.95 * len(held) > 0
+    assert {r.lang_pred for r in got} == {*alphabets, "und"}
+
+
 def test_languages_without_a_teacher(spark):
     df = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in language_id.identify_languages(df).collect()} == {("und", 0.0)}
