@@ -11,9 +11,11 @@ that all of them are drawn and each of their tokens weighs more than one.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -27,8 +29,8 @@ TOPICS = 8
 TOPIC_WORD_BYTES = 5
 #: Targets are the shares of the tokens to this power: large groups weigh less, small ones more.
 POWER = 0.8
-SWEEPS = 12
-TOLERANCE = 1e-4
+SWEEPS = 200
+TOLERANCE = 1e-6
 SEED = 20_240_601
 
 #: Bits of the number that decides whether a document is drawn.
@@ -95,18 +97,22 @@ def tempered_targets(cells: DataFrame, margin: str, power: float = POWER) -> Dat
 def rake(
     cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """Scale ``weight`` until the sums of every margin equal its targets.
+    """Scale ``weight`` until the sums of every margin equal its targets; adds ``margin_error``.
 
     ``targets`` maps a margin to (margin, target). Values without a target keep
     their weight; a target whose cells have no weight cannot be met and is left.
-    Ends when no factor of a sweep is further than ``tolerance`` from one.
+    Ends when no factor of a sweep is further than ``tolerance`` from one, or
+    when a whole sweep leaves all weights within a hundredth of it: the targets
+    then contradict each other. ``margin_error`` is how far the margins of a
+    cell are off at the end, as a share of their targets; a warning gives the
+    largest if it is over the tolerance.
     """
     names = cells.columns
     for margin, target in targets.items():
         cells = join_same(cells, target.withColumnRenamed("target", f"_{margin}"), [margin], "left")
-    cells = materialise(cells.withColumn("_off", F.lit(0.0)))
+    cells = materialise(cells.withColumns({"_off": F.lit(0.0), "_before": F.col("weight")}))
     for _ in range(sweeps):
-        cells = cells.withColumn("_off", F.lit(0.0))
+        cells = cells.withColumns({"_off": F.lit(0.0), "_before": F.col("weight")})
         for margin in targets:
             # Each step is written: it is read twice by the next one.
             sums = cells.groupBy(margin).agg(F.sum("weight").alias("_sum"))
@@ -117,10 +123,26 @@ def rake(
                 {"weight": F.col("weight") * F.col("_factor"), "_off": F.greatest("_off", F.abs(F.col("_factor") - 1))}
             )
             cells = materialise(cells.drop("_sum", "_factor"))
-        worst = cells.agg(F.max("_off")).first()[0]
-        if worst is None or worst <= tolerance:
+        moved = F.when(F.col("_before") > 0, F.abs(F.col("weight") / F.col("_before") - 1)).otherwise(0.0)
+        off, change = cells.agg(F.max("_off"), F.max(moved)).first()
+        if off is None or off <= tolerance or change <= tolerance / 100:
             break
-    return cells.select(*names)
+    cells = cells.select(*names).withColumn("margin_error", F.lit(0.0))
+    worst = []
+    for margin, target in targets.items():
+        sums = cells.groupBy(margin).agg(F.sum("weight").alias("_sum"))
+        gap = F.abs(F.coalesce("_sum", F.lit(0.0)) / F.col("target") - 1)
+        error = join_same(target, sums, [margin], "left").select(margin, F.when(F.col("target") > 0, gap).otherwise(0.0).alias("_error"))
+        error = materialise(error)
+        worst.append(error.agg(F.lit(margin).alias("margin"), F.max("_error").alias("error")))
+        cells = join_same(cells, error, [margin], "left")
+        cells = cells.withColumn("margin_error", F.greatest("margin_error", F.coalesce("_error", F.lit(0.0)))).drop("_error")
+        cells = materialise(cells)
+    found = {r["margin"]: r["error"] or 0.0 for r in (reduce(DataFrame.unionAll, worst).collect() if worst else [])}
+    if any(error > tolerance for error in found.values()):
+        said = ", ".join(f"{margin} {error:.2g}" for margin, error in found.items())
+        warnings.warn(f"margins are off their targets by a share of up to: {said}", stacklevel=2)
+    return cells
 
 
 def mix_sources(
@@ -135,7 +157,9 @@ def mix_sources(
     row: Column | None = None,
     budget: float | None = None,
 ) -> DataFrame:
-    """Return doc_id, row, source, lang, topic, n_tokens, weight, probability, token_weight and selected, one row per input row.
+    """Return doc_id, row, source, lang, topic, n_tokens, weight, probability, token_weight, margin_error and selected.
+
+    One row per input row.
 
     ``weight`` is what a token of the document's cell counts after raking,
     scaled so that the tokens of the table count ``budget``, their own number
@@ -145,7 +169,9 @@ def mix_sources(
     the others. ``selected`` draws by a hash of the id and the text, so that a repeated run
     draws the same rows and repeated rows share their fate. Missing sources and
     languages are values of their own. ``row`` is a number that is carried along. Cells without any token (empty texts)
-    have weight, probability and token weight 0. Without ``targets`` the tempered shares of
+    have weight, probability, token weight and margin error 0. ``margin_error`` is how
+    far the row's source, language or topic is off its target at the end, as a
+    share of the target: targets can contradict each other. Without ``targets`` the tempered shares of
     the table are the targets. An empty table gives an empty result.
     """
     rows = materialise(measured(docs, F.lit(0) if row is None else row, id_column, text, source, lang))
@@ -156,11 +182,11 @@ def mix_sources(
     raked = rake(cells, targets, sweeps)
     tokens, weights = raked.agg(F.sum("tokens"), F.sum("weight")).first()
     scale = (tokens if budget is None else budget) / weights if weights else 1.0
-    raked = raked.select(*MARGINS, (F.col("weight") / F.col("tokens") * F.lit(float(scale))).alias("weight"))
+    raked = raked.select(*MARGINS, "margin_error", (F.col("weight") / F.col("tokens") * F.lit(float(scale))).alias("weight"))
     mixed = join_same(rows, raked, list(MARGINS), "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     mixed = mixed.withColumn("probability", F.least("weight", F.lit(1.0)))
     token_weight = F.when(F.col("weight") > 0, F.greatest("weight", F.lit(1.0))).otherwise(0.0)
     return mixed.select(
         "doc_id", "row", *MARGINS, "n_tokens", "weight", "probability", token_weight.alias("token_weight"),
-        (F.col("draw") < F.col("probability")).alias("selected"),
+        F.coalesce("margin_error", F.lit(0.0)).alias("margin_error"), (F.col("draw") < F.col("probability")).alias("selected"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import warnings
 
 import brute
 import numpy as np
@@ -377,6 +378,27 @@ def test_a_rare_cell_changes_its_own_rows_only(spark):
         assert all(r.probability * r.token_weight == pytest.approx(r.weight) for r in got.values())
 
 
+def test_targets_that_contradict_each_other_are_told(spark):
+    cells = {(a, b, c): float(1 + (7 * a + 3 * b + c) % 11) for a in range(3) for b in range(2) for c in range(4)}
+    for alone, over in ((False, 1e-6), (True, 0.5)):
+        own = {**cells, (9, 9, 0): 1.0} if alone else cells
+        total = sum(own.values())
+        targets = [{0: 0.5 * total, 1: 0.3 * total, 2: 0.2 * total - 3 * alone}, {0: 0.6 * total, 1: 0.4 * total - alone}]
+        if alone:
+            targets[0][9], targets[1][9] = 3.0, 1.0
+        df = spark.createDataFrame([(*k, w) for k, w in own.items()], "source int, lang int, topic int, weight double")
+        frames = {m: spark.createDataFrame([*t.items()], f"{m} int, target double") for m, t in zip(mixing.MARGINS, targets)}
+        with warnings.catch_warnings(record=True) as said:
+            warnings.simplefilter("always")
+            got = {(r.source, r.lang, r.topic): r for r in mixing.rake(df, frames).collect()}
+        assert any("off their targets" in str(w.message) for w in said) == alone
+        for k, r in got.items():
+            off = [abs(sum(x.weight for y, x in got.items() if y[i] == k[i]) / t[k[i]] - 1) for i, t in enumerate(targets)]
+            assert r.margin_error == pytest.approx(max(off), abs=1e-9)
+        assert max(r.margin_error for r in got.values()) <= over * (2 if alone else 1)
+    assert got[9, 9, 0].margin_error == pytest.approx(2 / 3)
+
+
 def test_the_mixture_counts_the_budget(spark, odd):
     got = mixing.mix_sources(odd[1], budget=1000.0).collect()
     assert sum(r.probability * r.token_weight * r.n_tokens for r in got) == pytest.approx(1000)
