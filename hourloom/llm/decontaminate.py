@@ -207,7 +207,7 @@ def window_block(rows: list[Row]) -> SimpleNamespace:
 def intersect(
     windows: SimpleNamespace, numbers: np.ndarray, first: np.ndarray, counts: np.ndarray, keys: np.ndarray, slop: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Yield (window, place of its rarest word, whether the phrase stands there) for all near matches.
+    """Yield (window, place of its rarest word, whether the phrase stands there) for all near matches and phrases.
 
     ``keys`` is the sorted index of a segment, term above place; ``first`` and
     ``counts`` are the terms' lists in it; ``numbers`` maps the block's words to
@@ -218,6 +218,14 @@ def intersect(
     work = np.cumsum(counts[terms[there, 0]])
     cuts = np.searchsorted(work, np.arange(CANDIDATES, (work[-1] if len(work) else 0) + CANDIDATES, CANDIDATES))
     last = len(keys) - 1
+    # The words of a phrase can stand further from its rarest one than near words may.
+    reach = np.maximum(slop, windows.lengths - 1)
+
+    def beside(term: np.ndarray, place: np.ndarray, distance: np.ndarray | int) -> np.ndarray:
+        wanted = np.maximum(place - distance, 0)
+        at = np.minimum(np.searchsorted(keys, (term << PLACE_BITS) | wanted), last)
+        return (term < 0) | ((keys[at] >= (term << PLACE_BITS) | wanted) & (keys[at] <= (term << PLACE_BITS) | (place + distance)))
+
     for chosen in np.split(there, np.unique(np.minimum(cuts + 1, len(there)))):
         if not len(chosen):
             continue
@@ -226,19 +234,21 @@ def intersect(
         window = np.repeat(chosen, lists)
         within = np.arange(lists.sum()) - np.repeat(np.cumsum(lists) - lists, lists)
         place = keys[np.repeat(first[rare], lists) + within] & ((1 << PLACE_BITS) - 1)
+        near = np.ones(len(window), bool)
         for j in range(1, terms.shape[1]):
             term = terms[window, j]
-            wanted = np.maximum(place - slop, 0)
-            at = np.minimum(np.searchsorted(keys, (term << PLACE_BITS) | wanted), last)
-            near = (term < 0) | ((keys[at] >= (term << PLACE_BITS) | wanted) & (keys[at] <= (term << PLACE_BITS) | (place + slop)))
-            window, place = window[near], place[near]
+            kept = beside(term, place, reach[window])
+            window, place, near, term = window[kept], place[kept], near[kept], term[kept]
+            far = np.flatnonzero(near & (reach[window] > slop))
+            near[far] = beside(term[far], place[far], slop)
         start = place - windows.offsets[window, 0]
         exact = start >= 0
         for j in range(1, terms.shape[1]):
             rest = np.flatnonzero(exact & (terms[window, j] >= 0))
             key = (terms[window[rest], j] << PLACE_BITS) | (start[rest] + windows.offsets[window[rest], j])
             exact[rest] = keys[np.minimum(np.searchsorted(keys, key), last)] == key
-        yield window, start, exact
+        found = near | exact
+        yield window[found], start[found], exact[found]
 
 
 def _merged(starts: np.ndarray, stops: np.ndarray) -> list[dict]:

@@ -283,6 +283,19 @@ def test_decontamination_equals_brute_force(spark, odd, settings):
     assert by_row(got, columns) == paired(rows, contaminated(rows, items))
 
 
+def test_decontamination_of_windows_wider_than_the_slop(spark):
+    common = [f"w{i}" for i in range(24)]
+    phrase = " ".join(["rare", *common[:19]])
+    rows = [(1, f"before it {phrase} after"), (2, " ".join(common[:19])), (3, f"rare {prose(20, 5)} {phrase[5:]}")]
+    rows += [(10 + i, " ".join(common * 3)) for i in range(20)]
+    items = [(1, phrase), (2, " ".join([*common[2:21], "seldom"]))]
+    rows.append((4, "x " + items[1][1]))
+    got = de.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=20)
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert by_row(got, columns) == paired(rows, contaminated(rows, items, 20))
+    assert [r.doc_id for r in got.where("contaminated").orderBy("doc_id").collect()] == [1, 4]
+
+
 def test_decontamination_finds_near_matches(spark):
     words = [f"w{i}" for i in range(10)]
     rows = [(1, " ".join(words)), (2, " ".join(["x", *words[:5], "between", *words[5:]])), (3, " ".join(reversed(words))), (4, " ".join(words[:9]))]
