@@ -154,10 +154,43 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
 FROM docs LEFT JOIN found USING (r)
 """
 
+RANKED_SEARCH = r"""
+WITH items AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), stats AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM docs WHERE len(w) > 0
+), postings AS (
+  SELECT r, term, count(*) AS tf
+  FROM (SELECT r, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY r, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM postings, stats GROUP BY term, n_docs
+), sizes AS (
+  SELECT r, doc_id, 100 - 50 + ((50 * len(w)::BIGINT * n_docs) // n_terms) AS m FROM docs, stats WHERE len(w) > 0
+), scores AS (
+  SELECT item_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (r) GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+  FROM scores JOIN sizes USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 ORACLES = {
     "op2_suffix_array_dedup": REPEATED_STRINGS,
     "op10_minhash_near_dedup": NEAR_DUPLICATES,
     "op6_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op7_quality_rules": QUALITY_RULES,
+    "op13_ranked_search": RANKED_SEARCH,
 }

@@ -15,6 +15,7 @@ from hourloom.llm.mixing import mix_sources
 from hourloom.llm.near_dups import near_duplicates
 from hourloom.llm.quality_knn import score_quality
 from hourloom.llm.quality_rules import BASE, quality_rules
+from hourloom.llm.ranked_search import ranked_search
 from hourloom.llm.suffix_dedup import suffix_dedup
 from hourloom.llm.token_counts import token_counts
 from hourloom.llm.url_filter import judge_urls, rule_table
@@ -78,6 +79,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: query for name, query in list(globals().items()) if name.startswith("op")
 }
