@@ -17,11 +17,13 @@ from hourloom.llm.quality_knn import score_quality
 from hourloom.llm.quality_rules import BASE, quality_rules
 from hourloom.llm.ranked_search import ranked_search
 from hourloom.llm.suffix_dedup import suffix_dedup
+from hourloom.llm.token_alignment import align_tokenizers
 from hourloom.llm.token_counts import token_counts
 from hourloom.llm.url_filter import judge_urls, rule_table
 from hourloom.session import scratch_root
 
 TOKENIZER = "piece_bpe_32k.model"
+OTHER_TOKENIZER = "byte_bpe_50k.json"
 
 URL_RULES = (
     ("allow", "com", "/"),
@@ -79,6 +81,13 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in (OTHER_TOKENIZER, TOKENIZER)]
+    return align_tokenizers(read(spark, sf_dir, "documents"), *paths)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
