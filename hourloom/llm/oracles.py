@@ -98,15 +98,15 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
 """
 
-# Pairs by way of shared shingles, components by the smallest label that reaches a document.
-NEAR_DUPLICATES = r"""
+# Pairs by way of shared shingles of SIZE words, components by the smallest label that reaches a document.
+LINKED = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), shingles AS (
-  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 3], ' ')) AS k
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + SIZE - 1], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - SIZE + 1, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), pairs AS (
@@ -121,10 +121,13 @@ WITH RECURSIVE docs AS (
 ), parts AS (
   SELECT x, min(y) AS component_id FROM reach GROUP BY x
 )
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM documents JOIN parts ON parts.x = doc_id LEFT JOIN sizes USING (doc_id)
 """
 
+NEAR_DUPLICATES = f"SELECT *, doc_id = component_id AS kept FROM ({LINKED.replace('SIZE', '4')})"
+JACCARD_JOIN = LINKED.replace("SIZE", "5")
+
 # Bytes as pairs of hexadecimal digits. A window that starts at i covers bytes i to i + 49; covers that touch are one run.
 REPEATED_STRINGS = r"""
 WITH docs AS (
@@ -192,5 +195,6 @@ ORACLES = {
     "op6_benchmark_decontamination": DECONTAMINATION,
     "op5_url_filters": URL_FILTERS,
     "op7_quality_rules": QUALITY_RULES,
+    "op11_ngram_jaccard_join": JACCARD_JOIN,
     "op13_ranked_search": RANKED_SEARCH,
 }

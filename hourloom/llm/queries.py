@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hourloom.llm.common import read
 from hourloom.llm.decontaminate import decontaminate
+from hourloom.llm.jaccard_join import jaccard_join
 from hourloom.llm.language_id import identify_languages
 from hourloom.llm.lm_scoring import score_texts
 from hourloom.llm.mixing import mix_sources
@@ -81,6 +82,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), size=4)
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

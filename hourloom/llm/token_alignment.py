@@ -40,13 +40,13 @@ from hourloom.session import materialise
 #: Documents of more bytes are cut into ranges of about this size.
 CHUNK_BYTES = 1 << 16
 #: Text of one block; a longer document is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Fragments that one task composes.
 FAN = 16
 #: Different words that a task remembers the tokens of.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Links laid out at once; a larger group is counted by its distinct ids.
-LINKS = 1 << 20
+LINKS = 1 << 19
 
 #: Ids are below 2^20, and a block holds fewer than 2^23 documents.
 ID_BITS, DOC_BITS = 20, 23
@@ -427,9 +427,9 @@ def _short(a_path: str, b_path: str, block_bytes: int):
         pair, number = load(a_path, b_path), TaskContext.get().partitionId() << 24
         ids, texts, total = [], [], 0
         for rows in parts:
-            for doc, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
+            for doc, value in zip(rows.column("doc_id").to_pylist(), rows.column("text")):
                 ids.append(doc)
-                texts.append(text)
+                texts.append(text := value.as_py())
                 total += len(text or "") + 1
                 if total >= block_bytes or len(ids) + 1 >= 1 << DOC_BITS:
                     yield short_block(pair, number, ids, texts)
