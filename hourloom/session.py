@@ -6,7 +6,7 @@ That cuts the lineage, survives the loss of an executor, keeps column pruning,
 and gives the optimizer the true size of the table.
 
 ``scratch`` owns the tables written inside it and deletes them at its end; a job
-that returns finished tables runs inside one. Outside, they stay for whoever
+that returns finished tables runs inside one. ``settled`` leaves a job's result alone. Outside, they stay for whoever
 consumes the returned plan, in the folder that the session names.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +83,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_tables(spark, paths)
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The written result of ``make``; the tables that it writes on the way are deleted."""
+    with owned() as paths:
+        result = materialise(make())
+    delete_tables(result.sparkSession, paths[:-1])
+    if _OWNERS:
+        _OWNERS[-1].append(paths[-1])
+    return result
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table."""
     spark = df.sparkSession
