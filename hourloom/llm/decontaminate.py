@@ -22,7 +22,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, functions as F
 
-from hourloom.llm.common import LAST_ID, alnum_words, rank_id
+from hourloom.llm.common import alnum_words
 from hourloom.session import materialise
 
 WINDOW = 10
@@ -40,9 +40,9 @@ CANDIDATES = 2_000_000
 PLACE_BITS = 36
 
 INDEX = pa.schema(
-    [("segment", pa.int64()), ("term", pa.binary()), ("n", pa.int64()), ("places", pa.binary()), ("ids", pa.binary())]
+    [("segment", pa.int64()), ("term", pa.binary()), ("n", pa.int64()), ("places", pa.binary()), ("ids", pa.list_(pa.int64()))]
 )
-INDEX_DDL = "segment long, term binary, n long, places binary, ids binary"
+INDEX_DDL = "segment long, term binary, n long, places binary, ids array<long>"
 WINDOWS = pa.schema([("item", pa.string()), ("words", pa.list_(pa.binary()))])
 RANGES = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 MATCHES = pa.schema(
@@ -141,7 +141,7 @@ def _segment(number: int, terms: _Terms, texts: list[np.ndarray], ids: list[int]
             pa.array([None, *terms.kept], pa.binary()),
             pa.array([len(ids), *counts.tolist()], pa.int64()),
             pa.array([directory, *[raw[a:b] for a, b in rows]], pa.binary()),
-            pa.array([np.array(ids, "<i8").tobytes(), *[None] * len(rows)], pa.binary()),
+            pa.array([ids, *[None] * len(rows)], pa.list_(pa.int64())),
         ],
         schema=INDEX,
     )
@@ -181,7 +181,7 @@ def positional_index(
     That row holds the start and length of every document and their ids.
     Documents of a segment lie so far apart that no window reaches two of them.
     """
-    rows = docs.select(rank_id(id_column).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
     return materialise(rows.mapInArrow(_indexer(bits, window + slop, segment_words), INDEX_DDL))
 
 
@@ -265,7 +265,7 @@ def _matcher(shared, slop: int):
         segment, terms = table.column("segment")[0].as_py(), table.column("term").to_pylist()
         head = terms.index(None)
         starts, lengths = np.frombuffer(table.column("places")[head].as_py(), "<i8").reshape(2, -1)
-        ids = np.frombuffer(table.column("ids")[head].as_py(), "<i8")
+        ids = table.column("ids")[head].as_py()
         rows = {word: i for i, word in enumerate(terms) if word is not None}
         known = [rows[w] for w in windows.words if w in rows]
         numbers = np.full(len(windows.words) + 1, -1, np.int64)
@@ -286,13 +286,13 @@ def _matcher(shared, slop: int):
                     own[1].append(s - int(starts[d]) + int(windows.lengths[w]))
                     own[2].add(w)
         out = []
-        for d, (doc, words) in enumerate(zip(ids.tolist(), lengths.tolist())):
+        for d, (doc, words) in enumerate(zip(ids, lengths.tolist())):
             a, b, phrases, near = found.get(d, ((), (), (), ()))
             out.append(
                 {
                     "segment": segment,
                     "place": d,
-                    "doc_id": None if doc == LAST_ID else doc,
+                    "doc_id": doc,
                     "n_words": words,
                     "ranges": _merged(np.array(a), np.array(b)) if a else [],
                     "phrases": [windows.keys[w] for w in sorted(phrases)],

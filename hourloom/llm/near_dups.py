@@ -32,19 +32,20 @@ ROWS = 5
 #: Turns of leaders before the members of buckets of several components meet by their rarest shingles.
 LEADERS = 3
 
-#: A missing id is replaced by a number from here on, chosen by the text; ids must be smaller.
-NO_ID = 1 << 62
+#: Places of rows are smaller: they choose leaders under a mask.
+PLACES = 1 << 62
 
 SKETCHES = pa.schema(
     [
         ("id", pa.int64()),
         ("row", pa.int64()),
+        ("key", pa.int64()),
         ("digest", pa.binary()),
         ("n_shingles", pa.int64()),
         ("bands", pa.list_(pa.int64())),
     ]
 )
-SKETCHES_DDL = "id long, row long, digest binary, n_shingles long, bands array<long>"
+SKETCHES_DDL = "id long, row long, key long, digest binary, n_shingles long, bands array<long>"
 SETS = pa.schema([("doc", pa.int64()), ("elements", pa.binary())])
 OVERLAPS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sizes", pa.int64()), ("shared", pa.int64())])
 OVERLAPS_DDL = "a long, b long, sizes long, shared long"
@@ -100,21 +101,24 @@ def _sketcher(size: int, bands: int, rows: int):
                 counts.append(len(elements))
                 digests.append(set_digest(elements) if len(elements) else None)
                 keys.append(band_keys(sketch(elements, bands * rows), bands, rows) if len(elements) else None)
-            columns = zip((digests, counts, keys), list(SKETCHES)[2:])
-            yield pa.record_batch([part.column("id"), part.column("row"), *[pa.array(c, f.type) for c, f in columns]], schema=SKETCHES)
+            columns = zip((digests, counts, keys), list(SKETCHES)[3:])
+            same = [part.column(c) for c in ("id", "row", "key")]
+            yield pa.record_batch([*same, *[pa.array(c, f.type) for c, f in columns]], schema=SKETCHES)
 
     return run
 
 
 def _sets(size: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple] = set()  # repeated rows of one id come to one task
+        seen: set[int] = set()  # repeated rows come to one task
         for part in parts:
             docs, sets = [], []
-            for doc, text in zip(part.column("doc").to_pylist(), part.column("text")):
+            for doc, digest, text in zip(part.column("doc").to_pylist(), part.column("digest").to_pylist(), part.column("text")):
+                if doc in seen:
+                    continue
                 elements = shingle_set(text.as_py(), size)
-                if len(elements) and (own := (doc, set_digest(elements))) not in seen:
-                    seen.add(own)
+                if set_digest(elements) == digest:  # else a text whose key is the same by chance
+                    seen.add(doc)
                     docs.append(doc)
                     sets.append(elements.tobytes())
             yield pa.record_batch([pa.array(docs, pa.int64()), pa.array(sets, pa.binary())], schema=SETS)
@@ -187,12 +191,12 @@ def _leaders(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each member with its bucket's leader, where their components differ."""
     placed = members.join(labels, "doc")
     # The leader is the member whose number is smallest under a mask: another one each turn.
-    masked = F.col("doc").bitwiseXOR(F.lit(turn * 0x5DEECE66D1234567 & (NO_ID - 1)))
+    masked = F.col("doc").bitwiseXOR(F.lit(turn * 0x5DEECE66D1234567 & (PLACES - 1)))
     leaders = placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min(masked).alias("first")
     )
     leaders = leaders.where("low <> high").select(
-        "key", F.col("first").bitwiseXOR(F.lit(turn * 0x5DEECE66D1234567 & (NO_ID - 1))).alias("leader")
+        "key", F.col("first").bitwiseXOR(F.lit(turn * 0x5DEECE66D1234567 & (PLACES - 1))).alias("leader")
     )
     pairs = placed.join(leaders, "key").where("doc <> leader").select("doc", "component", "leader").distinct()
     of = labels.select(F.col("doc").alias("leader"), F.col("component").alias("of"))
@@ -258,23 +262,31 @@ def near_duplicate_rows(
     rows: int = ROWS,
     leaders: int = LEADERS,
 ) -> DataFrame:
-    """(id, row, n_shingles, component) of every input row; ids from NO_ID on stand for missing ones.
+    """(id, row, n_shingles, component, component_id) of every input row.
 
     ``row`` is carried along. Two documents are linked if 100 * |intersection|
-    >= ``percent`` * |union| of their full shingle sets.
+    >= ``percent`` * |union| of their full shingle sets. A node is a distinct
+    set, named by the place of one of its rows: ids decide nothing but
+    ``component_id``, the smallest one in the component. Rows without shingles
+    have no component.
     """
-    no_id = F.lit(NO_ID) + F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(NO_ID - 1))
-    source = docs.select(F.coalesce(F.col(id_column).cast("long"), no_id).alias("id"), row.cast("long").alias("row"), F.col(text).alias("text"))
-    sketches = materialise(source.mapInArrow(_sketcher(size, bands, rows), SKETCHES_DDL))
-    nodes = materialise(sketches.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("id")))
-    # Copies leave here: only the smallest id of each set goes into buckets.
-    first = sketches.join(nodes.hint("shuffle_hash"), ["digest", "id"])
-    keys = first.select(F.col("id").alias("doc"), F.explode("bands").alias("key"))
+    source = docs.select(F.col(id_column).cast("long").alias("id"), row.cast("long").alias("row"), F.col(text).alias("text"))
+    source = source.withColumn("key", F.xxhash64("id", "text"))
+    sketches = source.select("id", "row", "key", "text").mapInArrow(_sketcher(size, bands, rows), SKETCHES_DDL)
+    sketches = materialise(sketches.withColumn("place", F.monotonically_increasing_id()))
+    nodes = sketches.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.min(F.struct("place", "key")).alias("first"), F.min("id").alias("id")
+    )
+    nodes = materialise(nodes.select("digest", F.col("first.place").alias("doc"), "first.key", "id"))
+    # Copies leave here: only the first row of each set goes into buckets.
+    first = sketches.select(F.col("place").alias("doc"), "bands").join(nodes.select("doc").hint("shuffle_hash"), "doc")
+    keys = first.select("doc", F.explode("bands").alias("key"))
     crowded = keys.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
     members = materialise(keys.join(crowded.select("key"), "key").distinct())
 
     involved = materialise(members.select("doc").distinct())
-    texts = source.select(F.col("id").alias("doc"), "text").join(involved.hint("shuffle_hash"), "doc")
+    wanted = nodes.select("doc", "digest", "key").join(involved, "doc")
+    texts = source.select("key", "text").join(wanted.hint("shuffle_hash"), "key").select("doc", "digest", "text")
     sets = materialise(texts.mapInArrow(_sets(size), "doc long, elements binary"))
     labels = involved.select("doc", F.col("doc").alias("component"))
     similar = F.col("shared") * (100 + percent) >= F.col("sizes") * percent
@@ -284,11 +296,11 @@ def near_duplicate_rows(
         links = materialise(compare(pairs, sets).where(similar).select("a", "b"))
         labels = materialise(components(links, labels))
 
-    # A component's label is its smallest document: labels only move down.
-    verdicts = nodes.join(labels.withColumnRenamed("doc", "id"), "id", "left")
-    verdicts = materialise(verdicts.select("digest", F.coalesce("component", "id").alias("component")))
+    placed = nodes.join(labels, "doc", "left").select("digest", "id", F.coalesce("component", "doc").alias("component"))
+    smallest = placed.groupBy("component").agg(F.min("id").alias("component_id"))
+    verdicts = materialise(placed.drop("id").join(smallest, "component"))
     done = sketches.join(verdicts, "digest", "left")
-    return done.select("id", "row", "n_shingles", F.coalesce("component", "id").alias("component"))
+    return done.select("id", "row", "n_shingles", "component", "component_id")
 
 
 def near_duplicates(
@@ -297,18 +309,15 @@ def near_duplicates(
     """Return doc_id, n_shingles, component_id and kept, one row per input row.
 
     42 bands of 5 rows miss a pair at 0.8 with probability (1 - 0.8^5)^42 < 6e-8.
-    Documents with equal sets are one node, and so are sets with one smallest
-    id, which only repeated ids can have. Missing, empty and blank texts have no
-    shingles and are linked with nothing. A missing id counts as larger than any
-    other and is never the component of a document with an id. Repeated rows are
-    copies of each other and all kept or all dropped. Empty tables give an empty
-    result.
+    Documents with equal sets are one node; rows of one id with different texts
+    are not, unless linked. Missing, empty and blank texts have no shingles and
+    are linked with nothing. A missing id is never the smallest one; a component
+    without any id has none, and all of its rows are kept. Repeated rows are
+    copies of each other and all kept or all dropped. Any 64-bit id will do.
+    Empty tables give an empty result.
     """
     done = near_duplicate_rows(docs, F.lit(0), id_column, text, size, percent, leaders=leaders)
-    with_id = lambda c: F.when(F.col(c) < NO_ID, F.col(c))
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return done.select(
-        with_id("id").alias("doc_id"),
-        "n_shingles",
-        with_id("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+        F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )

@@ -58,13 +58,12 @@ def plain_rules(rows):
 
 
 def plain_near(rows):
-    known = [(brute.LAST - n if r[0] is None else r[0], r[1]) for n, r in enumerate(rows)]
-    kept, seen = [], set()
-    for r, (d, _), (_, component, _) in zip(rows, known, brute.near(known, 5, 80)):
-        if d == component and component not in seen:
-            seen.add(component)
-            kept.append(r)
-    return kept
+    """Of each component, rows told apart by their place: the first row of the smallest id, or of none."""
+    best = {}
+    for n, (r, (_, component, _)) in enumerate(zip(rows, brute.near([(i, r[1]) for i, r in enumerate(rows)], 5, 80))):
+        place = (r[0] is None, r[0] or 0, n)
+        best[component] = min(best.get(component, place), place)
+    return [rows[n] for _, _, n in sorted(best.values())]
 
 
 def plain_repeats(rows):
@@ -76,8 +75,12 @@ def plain_repeats(rows):
     out = []
     for r, (doc, raw) in zip(rows, ranked):
         gone = {j for i in range(len(raw) - 49) if first[raw[i : i + 50]] < doc for j in range(i, i + 50)}
-        text = bytes(b for j, b in enumerate(raw) if j not in gone).decode("utf-8", "ignore")
-        out.append((r[0], text, *r[2:4], len(text), *r[5:]))
+        text, at = "", 0
+        for c in r[1] or "":
+            width = len(c.encode())
+            text += "" if any(j in gone for j in range(at, at + width)) else c
+            at += width
+        out.append((r[0], None if r[1] is None else text, *r[2:4], None if r[1] is None else len(text), *r[5:]))
     return out
 
 
@@ -95,8 +98,8 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     assert 20 < len(plain) < len(rows)
     mixed = corpus_pipeline.run(spark, path)
     assert set(tuples(mixed.select(docs.columns[:8]))) <= {r[:8] for r in plain}
-    assert mixed.columns == [*docs.columns, "draw_probability"]
-    assert all(0 < r.draw_probability <= 1 and r.token_weight > 0 for r in mixed.collect())
+    assert mixed.columns == [*docs.columns, "token_weight_", "draw_probability"]
+    assert all(0 < r.draw_probability <= 1 and r.token_weight_ >= 1 and r.token_weight == 3 for r in mixed.collect())
 
 
 def x_pairs(rows):
@@ -118,6 +121,41 @@ def test_stages_keep_clean_documents(spark, tmp_path):
         assert stage(spark, docs, path).count() == 40, name
 
 
+def test_rows_of_one_id_are_linked_by_their_texts_alone(spark, tmp_path):
+    texts = [prose(60, 950), prose(60, 951), prose(60, 952), prose(60, 950)]
+    rows = [(d, t, None, None, 1, 1, "x", 2, 3) for d, t in zip((0, 0, 1, 2**62 + 7), texts)]
+    rows += [(None, prose(60, 953), None, None, 1, 1, "x", 2, 3), (None, prose(60, 954), None, None, 1, 1, "x", 2, 3)]
+    docs = spark.read.parquet(f"{folder(spark, tmp_path, rows, [])}/documents.parquet")
+    kept = pipeline.near_duplicates_stage(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.text for r in kept) == sorted({r[1] for r in rows})
+    assert (2**62 + 7, texts[3]) not in {(r.doc_id, r.text) for r in kept}
+
+
+@pytest.mark.parametrize("before, after", [("ą", "é"), ("Ж", "ш"), ("漢", "字"), ("😀", "😁"), ("é", "😀")])
+def test_no_character_is_made_of_two_halves(spark, tmp_path, before, after):
+    """The repeated bytes begin and end within characters."""
+    first, last = before.encode(), after.encode()
+    middle = "p" * 60
+    # Other characters with the same last and first bytes make those bytes part of the passage.
+    left = next(c for c in map(chr, range(0x80, 0x20000)) if c != before and not 0xD800 <= ord(c) < 0xE000
+                and c.encode()[-1] == first[-1] and len(c.encode()) == len(first))
+    right = next(c for c in map(chr, range(0x80, 0x20000)) if c != after and not 0xD800 <= ord(c) < 0xE000
+                 and c.encode()[0] == last[0] and len(c.encode()) == len(last))
+    rows = [(1, f"x{left}{middle}{right}x"), (2, f"Kit{before}{middle}{after} kitas"), (3, None)]
+    rows = [(d, t, None, None, len(t or ""), 1, "x", 2, 3) for d, t in rows]
+    docs = spark.read.parquet(f"{folder(spark, tmp_path, rows, [])}/documents.parquet")
+    got = {r.doc_id: (r.text, r.n_chars) for r in pipeline.repeats_stage(spark, docs, str(tmp_path)).collect()}
+    assert got == {1: (rows[0][1], rows[0][4]), 2: ("Kit kitas", 9), 3: (None, None)}
+
+
+def test_runs_do_not_disturb_each_other(spark, tmp_path):
+    rows = [(i, prose(50 + i, 970 + i), "en", "s", 1, 1, "x", 2, 3) for i in range(12)]
+    docs = spark.read.parquet(f"{folder(spark, tmp_path, rows, [(1, prose(30, 1))])}/documents.parquet")
+    for name, stage in pipeline.STAGES[:4]:
+        one, two = stage(spark, docs.limit(7), str(tmp_path)), stage(spark, docs, str(tmp_path))
+        assert (one.count(), two.count()) == (7, 12), name
+
+
 def test_stages_call_one_operator_each():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "repeated_strings", "decontamination", "mixing"
