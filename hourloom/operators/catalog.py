@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from hourloom.functions import scalar as S
 from hourloom.operators.lookup import lookup
-from hourloom.sources.schemas import DATASET_INFO, JOB_CONFIG, MODELS, TRIALS
-from hourloom.sources.writers import DATASET_KEY, append_rows
+from hourloom.sources.published import versions
+from hourloom.sources.schemas import JOB_CONFIG
+from hourloom.sources.writers import DATASET_KEY, dataset_log, model_log
 
 COMPLETED = "completed"
 PRUNED = "pruned"
@@ -19,9 +20,9 @@ ERROR = "error"
 MAX_MSE = 100.0
 
 
-def list_datasets(spark: SparkSession, path: str) -> DataFrame:
-    """Datasets with their key, from their descriptions; no data file is opened."""
-    known = spark.read.schema(DATASET_INFO).parquet(path).select(*DATASET_KEY).distinct()
+def list_datasets(spark: SparkSession, out: str) -> DataFrame:
+    """Published datasets with their key, from their descriptions; no data file is opened."""
+    known = dataset_log(out).read(spark).select(*DATASET_KEY).distinct()
     key = S.dataset_key(F.col("horizon"), F.col("target"), F.col("dataset"))
     return known.withColumn("dataset_key", key)
 
@@ -41,10 +42,6 @@ def trial_status(
     return status, F.when(empty, "no rows to score").when(~finite, "not finite").when(too_high, message)
 
 
-def log_trials(trials: DataFrame, path: str) -> None:
-    append_rows(trials, path, TRIALS)
-
-
 def best_trial(
     trials: DataFrame,
     by: Sequence[str] = ("model", "dataset"),
@@ -88,16 +85,9 @@ def choose_scaler(scalers: DataFrame, by: Sequence[str] = ("dataset",), name: st
     return scalers.groupBy(*by).agg(first).select(*by, f"_first.`{name}`", *[f"_first.`{c}`" for c in rest])
 
 
-def register_model(row: DataFrame, path: str) -> None:
-    append_rows(row, path, MODELS)
-
-
-def registered(spark: SparkSession, path: str) -> DataFrame:
+def registered(spark: SparkSession, out: str) -> DataFrame:
     """One row per model id, the latest, with its dataset, features and error."""
-    rest = [f.name for f in MODELS.fields if f.name != "run_id"]
-    latest = F.max_by(F.struct(*rest), F.col("created_at")).alias("_latest")
-    rows = spark.read.schema(MODELS).parquet(path).groupBy("run_id").agg(latest)
-    return rows.select("run_id", "_latest.*")
+    return model_log(out).read(spark)
 
 
 def locate_datasets(models: DataFrame, datasets: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -121,23 +111,16 @@ def locate_datasets(models: DataFrame, datasets: DataFrame, known: DataFrame | N
     return lookup(keyed, datasets, list(DATASET_KEY))
 
 
-def record_dataset(info: DataFrame, path: str) -> None:
-    append_rows(info, path, DATASET_INFO)
-
-
-def dataset_info(spark: SparkSession, path: str, target: str, horizon: int, dataset: str) -> Row:
-    """The latest description of one dataset: its feature order is the contract for scoring.
+def dataset_info(spark: SparkSession, out: str, target: str, horizon: int, dataset: str) -> Row:
+    """The description of one dataset as last published: its feature order is the contract for scoring.
 
     ``config`` holds the job configuration, parsed with its schema.
     """
+    key = dict(zip(DATASET_KEY, (target, horizon, dataset), strict=True))
     rows = (
-        spark.read.schema(DATASET_INFO)
-        .parquet(path)
-        .where(
-            (F.col("target") == target) & (F.col("horizon") == horizon) & (F.col("dataset") == dataset)
-        )
+        versions(spark, dataset_log(out), key)
         .withColumn("config", F.from_json("config_json", JOB_CONFIG, {"mode": "FAILFAST"}))
-        .orderBy(F.desc("generated_at"))
+        .orderBy(F.desc("version"))
         .take(1)
     )
     if not rows:

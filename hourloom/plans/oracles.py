@@ -260,6 +260,17 @@ def _stump(*splits: str) -> str:
         FROM priced, best WHERE split <> 'train' GROUP BY ALL"""
 
 
+def _rewritten(split: str) -> str:
+    return f"""WITH {EVENT_SPLIT}
+        SELECT 'value' AS target, 2 AS horizon, 'dataset1' AS dataset, {split} AS split, count(*) AS rows,
+          CAST(sum(idx) AS BIGINT) AS positions, CAST(sum(idx) AS BIGINT) AS written_positions
+        FROM split_frame GROUP BY ALL"""
+
+
+FLAGSHIP_LABEL = "future_6_total_patient_count"
+FLAGSHIP_INPUTS = [
+    *V.FEATURES, *[f"lag_{i}_{c}" for c, n in V.CONFIG.lag_features.items() for i in range(1, n + 1)]
+]
 _daily_scaled = [*V.DAILY_FEATURES, DAILY_LABEL]
 
 ORACLES = {
@@ -312,10 +323,26 @@ ORACLES = {
           count(*) FILTER (WHERE split = 'test') AS test_rows, CAST({len(V.FEATURES)} AS BIGINT) AS original_features,
           CAST({sum(V.CONFIG.lag_features.values())} AS BIGINT) AS lag_features,
           count(*) AS read_rows, CAST(sum(idx) AS BIGINT) AS read_positions FROM split_frame""",
-    "dataset_rewrite": f"""WITH {EVENT_SPLIT}
-        SELECT 'value' AS target, 2 AS horizon, 'dataset1' AS dataset,
-          CASE WHEN split = 'train' THEN 'train' ELSE 'test' END AS split,
-          count(*) AS rows, CAST(sum(idx) AS BIGINT) AS positions FROM split_frame GROUP BY ALL""",
+    "dataset_rewrite": _rewritten("CASE WHEN split = 'train' THEN 'train' ELSE 'test' END"),
+    "dataset_kept_when_a_rewrite_fails": _rewritten("split"),
+    "written_merged": f"""WITH {FLAGSHIP} SELECT {HOUR}, day_of_week, extreme_indicator, {HOLIDAY},
+        weather_Clear, weather_Clouds, weather_Others, weather_Rain, weather_Thunderstorm FROM full_table""",
+    "written_scalers": f"""WITH {FLAGSHIP}, {SPLIT}, {_params(FLAGSHIP_INPUTS, FLAGSHIP_LABEL)}
+        SELECT role, "column", round(mean + 1e-7, 4) AS mean, round(std + 1e-7, 4) AS std FROM params""",
+    "written_tensors": f"""WITH {FLAGSHIP}, {SPLIT}, {_params(FLAGSHIP_INPUTS, FLAGSHIP_LABEL)}
+        SELECT idx, split, {len(FLAGSHIP_INPUTS)} AS n_features,
+          round(CAST(CAST({_scaled('total_patient_count')} AS FLOAT) AS DOUBLE), 3) + 0.0 AS x,
+          round(CAST(CAST({_scaled(FLAGSHIP_LABEL)} AS FLOAT) AS DOUBLE), 3) + 0.0 AS y FROM split_frame s""",
+    "logged_trials": """SELECT o_orderpriority AS search_id, count(*) AS trials,
+          round(sum(o_custkey / 60.0 + CASE WHEN o_orderkey % 3 = 1 THEN 1 ELSE 0 END), 2) AS minutes,
+          min(o_totalprice / 1000) AS mae FROM orders GROUP BY 1""",
+    "logged_evaluations": f"""WITH {_stump_fit('train', 'val')},
+        missed AS (SELECT split, p - CASE WHEN priced.q <= best.q THEN low ELSE high END AS miss FROM priced, best)
+        SELECT split, count(*) AS predictions_count, count(*) AS test_set_size, round(avg(abs(miss)), 2) AS mae,
+          round(sqrt(avg(miss * miss)), 2) AS rmse FROM missed WHERE split <> 'train' GROUP BY split""",
+    "scored_table": f"""WITH {_stump_fit('train', 'val')}
+        SELECT l_returnflag, round(CASE WHEN l_quantity <= best.q THEN low ELSE high END, 2) AS y_pred, count(*) AS rows
+        FROM lineitem, best GROUP BY ALL""",
     "supervised_frame_missing": f"""WITH events_with AS (
           SELECT ts, event_id, CASE WHEN event_id % 53 <> 7 THEN value END AS value FROM events),
         {supervised('events_with', ['ts', 'event_id'], ['ts', 'event_id'], ['value'], {'value': 1}, 'value', 1)}

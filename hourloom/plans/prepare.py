@@ -6,11 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from hourloom.functions.scalar import WEATHER_TYPES, map_total
 from hourloom.operators import clean, enrich
-from hourloom.operators.catalog import dataset_info, record_dataset
+from hourloom.operators.catalog import dataset_info
 from hourloom.operators.lagging import supervised_frame
 from hourloom.operators.lookup import lookup
 from hourloom.operators.scaling import FEATURE, feature_arrays, fit_scaler, scale
@@ -19,7 +19,8 @@ from hourloom.session import materialise, scratch
 from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig
 from hourloom.sources.readers import read_inputs
-from hourloom.sources.writers import DATASET_KEY, replace_folder, write_dataset
+from hourloom.sources.published import Release, retire
+from hourloom.sources.writers import DATASET_KEY, dataset_log
 
 # The range every input is cut to.
 RANGE_START = "2018-12-31 12:00:00"
@@ -219,52 +220,45 @@ def prepare(
     occurs twice is refused unless ``tie_breaker`` orders its rows. With
     ``whole_hours`` times between two hours are refused as well, so no series can
     be longer than the range: each is windowed whole and the rows are not sorted
-    across the cluster. A dataset of the same key is replaced as a whole;
-    intermediate tables are deleted.
+    across the cluster. All tables are those of one new version, which counts
+    when its description is written behind them: until then, and if the job
+    fails, a dataset of the same key stays as it was. The version before it
+    stays for who reads it, older ones and intermediate tables are deleted.
     """
     if whole_hours and tie_breaker:
         raise ValueError("hours that repeat do not bound a series")
     bound = hours_between(start, end) if whole_hours else None
     key = (config.target_feature, config.future_hours, config.dataset_number)
-    folder = dict(zip(DATASET_KEY, key, strict=True))
+    release = Release(spark, out, dict(zip(DATASET_KEY, key, strict=True)))
     with scratch(spark):
         cleaned = clean_inputs(read_inputs(spark, paths, keyed_schemas(keys), formats), start, end)
         merged = merged_table(cleaned, config, keys, fit_scope, tie_breaker, bound, regular)
         frame = learning_table(merged, config, keys, bound, regular, tie_breaker)
         features = feature_order(frame, config, keys, tie_breaker)
         dataset = scaled_dataset(frame, features, config.target_column, keys, written=bound is None)
-        replace_folder(merged, f"{out}/merged", folder)
-        write_dataset(dataset.rows, f"{out}/datasets", key)
-        replace_folder(dataset.params, f"{out}/scalers", folder)
+        release.write(merged, "merged")
+        release.write(dataset.params, "scalers")
         # From here on the written rows are read: scaling runs once.
-        dataset = replace(dataset, rows=_of_dataset(spark.read.parquet(f"{out}/datasets"), key))
-        replace_folder(dataset.arrays(), f"{out}/tensors", folder, ("split",))
-        record_dataset(describe(dataset, config, paths), f"{out}/dataset_info")
+        dataset = replace(dataset, rows=release.write(dataset.rows, "datasets", ("split",)))
+        release.write(dataset.arrays(), "tensors", ("split",))
+        release.commit(dataset_log(out), describe(dataset, config, paths))
+    retire(spark, out, dataset_log(out), release.key)
     return load_dataset(spark, out, key, keys)
 
 
-def _of_dataset(df: DataFrame, key: tuple[str, int, str]) -> DataFrame:
-    for column, wanted in zip(DATASET_KEY, key, strict=True):
-        df = df.where(F.col(column) == wanted)
-    return df.drop(*DATASET_KEY)
-
-
-def read_scalers(
-    spark: SparkSession, out: str, key: tuple[str, int, str], keys: Sequence[str] = ()
-) -> DataFrame:
-    """The parameters written for one dataset."""
-    stored = _of_dataset(spark.read.parquet(f"{out}/scalers"), key)
-    return stored.select(*keys, *[f.name for f in N.SCALER_PARAMS.fields])
+def published_dataset(spark: SparkSession, out: str, key: tuple[str, int, str]) -> tuple[Release, Row]:
+    """The tables of the dataset's last published version, and its description."""
+    info = dataset_info(spark, out, *key)
+    return Release(spark, out, dict(zip(DATASET_KEY, key, strict=True)), info["version"], list(info["tables"])), info
 
 
 def load_dataset(
     spark: SparkSession, out: str, key: tuple[str, int, str], keys: Sequence[str] = ()
 ) -> Dataset:
     """A dataset written earlier; reading one split of it opens only that split's folders."""
-    info = dataset_info(spark, f"{out}/dataset_info", *key)
-    rows = _of_dataset(spark.read.parquet(f"{out}/datasets"), key)
-    params = read_scalers(spark, out, key, keys)
-    return Dataset(rows, params, list(info["feature_order"]), info["target_column"], tuple(keys))
+    release, info = published_dataset(spark, out, key)
+    params = release.read("scalers").select(*keys, *[f.name for f in N.SCALER_PARAMS.fields])
+    return Dataset(release.read("datasets"), params, list(info["feature_order"]), info["target_column"], tuple(keys))
 
 
 def describe(dataset: Dataset, config: JobConfig, sources: Mapping[str, str]) -> DataFrame:

@@ -22,13 +22,16 @@ from hourloom.plans.prepare import (
     merge_inputs,
     merged_table,
     prepare,
+    published_dataset,
     scaled_dataset,
 )
-from hourloom.plans.search import evaluate_run, search, trial_metrics, validate_model
+from hourloom.plans.search import evaluate_run, score_table, search, trial_metrics, validate_model
 from hourloom.session import materialise, scratch_root
 from hourloom.sources import schemas as N
 from hourloom.sources.readers import nulls_for_nans, read_inputs, train_and_validation
-from hourloom.sources.writers import write_dataset
+from hourloom.sources.config import read_config
+from hourloom.sources.published import Release, published_rows, retire
+from hourloom.sources.writers import DATASET_KEY, dataset_log, evaluation_log, read_predictions, trial_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,33 +78,159 @@ def csv_inputs(spark, sf_dir):
     return rounded(merged, ["average_waiting_times_treatment_minute"])
 
 
+JOB_KEY = (V.CONFIG.target_feature, V.CONFIG.future_hours, V.CONFIG.dataset_number)
+
+
+def _prepared(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
+    """The folder of the whole preparation from delivered files, by the configuration in a file of its own."""
+    out = job_folder(spark)
+    paths = _delivered(spark, sf_dir)
+    document = spark.createDataFrame([(V.CONFIG.as_json(),)], "value string")
+    document.coalesce(1).write.text(f"{out}/config")
+    config = read_config(spark, f"{out}/config")
+    for _ in range(times):
+        prepare(spark, config, paths, out, *V.RANGE)
+    return out
+
+
 @query
 def prepared_dataset(spark, sf_dir):
     """The whole preparation from delivered files, run twice; sizes as described and as read back."""
-    out = job_folder(spark)
-    paths = _delivered(spark, sf_dir)
-    for _ in range(2):
-        dataset = prepare(spark, V.CONFIG, paths, out, *V.RANGE)
-    key = (V.CONFIG.target_feature, V.CONFIG.future_hours, V.CONFIG.dataset_number)
-    info = catalog.dataset_info(spark, f"{out}/dataset_info", *key)
+    out = _prepared(spark, sf_dir, 2)
+    release, info = published_dataset(spark, out, JOB_KEY)
     names = ["train_rows", "val_rows", "test_rows", "original_features", "lag_features"]
-    read_back = dataset.rows.agg(F.count(F.lit(1)).alias("read_rows"), F.sum("idx").alias("read_positions"))
-    listed = catalog.list_datasets(spark, f"{out}/dataset_info")
+    rows = release.read("datasets")
+    read_back = rows.agg(F.count(F.lit(1)).alias("read_rows"), F.sum("idx").alias("read_positions"))
+    listed = catalog.list_datasets(spark, out)
     described = listed.withColumns({c: F.lit(info[c]).cast("long") for c in names})
     return described.withColumns({c: read_back.select(c).scalar() for c in read_back.columns})
 
 
 @query
-def dataset_rewrite(spark, sf_dir):
-    """A dataset written with three splits, then with two: nothing of the first stays."""
-    frame = _event_split(spark, sf_dir).select("idx", "split", "value")
-    path, key = job_folder(spark), ("value", V.EVENT_HORIZON, "dataset1")
-    write_dataset(frame, path, key)
-    two = F.when(F.col("split") == "val", "test").otherwise(F.col("split"))
-    write_dataset(frame.withColumn("split", two), path, key)
-    return spark.read.parquet(path).groupBy("target", "horizon", "dataset", "split").agg(
+def written_merged(spark, sf_dir):
+    """The merged table as the preparation wrote it."""
+    release, _ = published_dataset(spark, _prepared(spark, sf_dir), JOB_KEY)
+    weather = [f"weather_{w}" for w in S.WEATHER_TYPES]
+    return release.read("merged").select(N.HOUR, "day_of_week", "extreme_indicator", N.HOLIDAY_FLAG, *weather)
+
+
+@query
+def written_scalers(spark, sf_dir):
+    """The scaling parameters as the preparation wrote them."""
+    release, _ = published_dataset(spark, _prepared(spark, sf_dir), JOB_KEY)
+    # Means of values in cents can lie exactly between two roundings: all of those go up.
+    params = release.read("scalers").withColumns({c: F.col(c) + 1e-7 for c in ("mean", "std")})
+    return rounded(params.select("role", "column", "mean", "std"), ["mean", "std"], 4)
+
+
+@query
+def written_tensors(spark, sf_dir):
+    """The float arrays as the preparation wrote them: the label, and one scaled feature by its place."""
+    release, info = published_dataset(spark, _prepared(spark, sf_dir), JOB_KEY)
+    place = list(info["feature_order"]).index("total_patient_count") + 1
+    arrays = release.read("tensors").select(
+        "idx", "split", F.size("x").alias("n_features"),
+        F.element_at("x", place).cast("double").alias("x"), F.element_at("y", 1).cast("double").alias("y"),
+    )
+    return rounded(arrays, ["x", "y"], 3)
+
+
+def _event_release(spark: SparkSession, root: str, frame: DataFrame, fail_between: bool = False) -> None:
+    """Publish the split table and its sums; ``fail_between`` makes the second table's write fail."""
+    log = dataset_log(root)
+    release = Release(spark, root, dict(zip(DATASET_KEY, ("value", V.EVENT_HORIZON, "dataset1"), strict=True)))
+    rows = release.write(frame, "datasets", ("split",))
+    sums = rows.groupBy("split").agg(F.sum("idx").alias("positions"))
+    if fail_between:
+        sums = sums.withColumn("positions", F.when(F.col("split") != "", F.raise_error(F.lit("lost"))).cast("long"))
+    release.write(sums, "sums")
+    release.commit(log)
+    retire(spark, root, log, release.key)
+
+
+def _rewritten(spark: SparkSession, sf_dir: str, fail: bool) -> DataFrame:
+    """A dataset with three splits, then one with two, whose job may fail between two tables; what is published then."""
+    frame, root = _event_split(spark, sf_dir).select("idx", "split", "value"), job_folder(spark)
+    _event_release(spark, root, frame)
+    two = frame.withColumn("split", F.when(F.col("split") == "val", "test").otherwise(F.col("split")))
+    try:
+        _event_release(spark, root, two, fail)
+    except Exception as lost:
+        if not fail or "lost" not in str(lost):
+            raise
+    log = dataset_log(root)
+    rows = published_rows(spark, root, log, "datasets").groupBy(*DATASET_KEY, "split").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("idx").alias("positions")
     )
+    sums = published_rows(spark, root, log, "sums").withColumnRenamed("positions", "written_positions")
+    return rows.join(sums, [*DATASET_KEY, "split"], "full")
+
+
+@query
+def dataset_rewrite(spark, sf_dir):
+    """A dataset published with three splits, then with two: nothing of the first stays."""
+    return _rewritten(spark, sf_dir, False)
+
+
+@query
+def dataset_kept_when_a_rewrite_fails(spark, sf_dir):
+    """The job of the second version dies between its two tables: both tables are those of the first."""
+    return _rewritten(spark, sf_dir, True)
+
+
+def _order_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trial for every order."""
+    orders = V.table(spark, sf_dir, "orders")
+    return orders.select(
+        F.col("o_orderpriority").alias("search_id"),
+        F.col("o_orderkey").alias("trial_num"),
+        F.lit(catalog.COMPLETED).alias("status"),
+        (F.col("o_totalprice") / 1000).alias("mae"),
+        (F.col("o_custkey") / 60).alias("runtime_minutes"),
+    )
+
+
+@query
+def logged_trials(spark, sf_dir):
+    """Trials logged twice in batches and folded in between, the second time with other run times for some."""
+    log = trial_log(job_folder(spark))
+    trials = _order_trials(spark, sf_dir)
+    batch = F.col("trial_num") % 3
+    log.append(trials.where(batch == 0))
+    log.append(trials.where(batch == 1))
+    log.compact(spark)
+    log.append(trials.where(batch == 2))
+    log.append(trials.where(batch < 2).withColumn("runtime_minutes", F.col("runtime_minutes") + F.when(batch == 1, 1).otherwise(0)))
+    log.compact(spark)
+    log.append(trials.where(batch == 2))
+    found = log.read(spark).groupBy("search_id").agg(
+        F.count(F.lit(1)).alias("trials"), F.sum("runtime_minutes").alias("minutes"), F.min("mae").alias("mae")
+    )
+    return rounded(found, ["minutes"], 2)
+
+
+@query
+def logged_evaluations(spark, sf_dir):
+    """A model evaluated twice on one split and once on another: one row for each in the evaluations, with a run time logged."""
+    dataset, out, run, model = _searched(spark, sf_dir, "RF")
+    for split in ("test", "test", "val"):
+        evaluate_run(dataset, model, run, out, split)
+    timed = trial_log(out).read(spark).where("runtime_minutes > 0").select("run_id")
+    rows = evaluation_log(out).read(spark).join(timed, "run_id")
+    return rounded(rows.select("split", "predictions_count", "test_set_size", "mae", "rmse"), ["mae", "rmse"], 2)
+
+
+@query
+def scored_table(spark, sf_dir):
+    """Raw rows scored by a searched model with the published description and parameters."""
+    dataset, out, _, model = _searched(spark, sf_dir, "RF")
+    release = Release(spark, out, dict(zip(DATASET_KEY, STUMP_KEY, strict=True)))
+    release.write(dataset.params, "scalers")
+    info = spark.createDataFrame([(dataset.features, dataset.label)], "feature_order array<string>, target_column string")
+    release.commit(dataset_log(out), info)
+    raw = V.table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_quantity").alias("quantity"))
+    scored = score_table(raw, out, STUMP_KEY, model, ["l_returnflag"])
+    return scored.groupBy("l_returnflag", F.round("y_pred", 2).alias("y_pred")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---- filters and rounding
@@ -693,7 +822,7 @@ def _stump_forecast(spark: SparkSession, sf_dir: str, family: str) -> DataFrame:
     dataset, out, run, model = _searched(spark, sf_dir, family)
     for split in ("test", "test", "val"):
         evaluate_run(dataset, model, run, out, split)
-    saved = spark.read.parquet(f"{out}/predictions").where(F.col("run_id") == run)
+    saved = read_predictions(spark, out).where(F.col("run_id") == run)
     return saved.groupBy("split", F.round("y_pred", 2).alias("y_pred")).agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("y_true"), 1).alias("total")
     )
@@ -713,7 +842,7 @@ def gbt_stump_forecast(spark, sf_dir):
 def registered_model_verdict(spark, sf_dir):
     """From a searched id to its dataset, its target scaler and a verdict that knows the claimed error."""
     dataset, out, run, model = _searched(spark, sf_dir, "RF")
-    known = catalog.registered(spark, f"{out}/models_table")
+    known = catalog.registered(spark, out)
     target = dataset.params.where(F.col("role") == scaling.TARGET)
     place = target.select(
         *[F.lit(v).alias(k) for k, v in zip(("target", "horizon", "dataset"), STUMP_KEY, strict=True)],

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hourloom.functions.scalar import grid_run_id
 from hourloom.operators import evaluate
-from hourloom.operators.catalog import ERROR, dataset_info, log_trials, register_model, registered, trial_status
+from hourloom.operators.catalog import ERROR, registered, trial_status
 from hourloom.operators.clean import guard_finite
 from hourloom.operators.forecast import model_pipeline, predict, score
 from hourloom.operators.validate import validation_gate
-from hourloom.plans.prepare import Dataset, read_scalers
+from hourloom.plans.prepare import Dataset, published_dataset
 from hourloom.session import materialise, scratch
-from hourloom.sources.schemas import EVALUATIONS, MODELS, TRIALS
-from hourloom.sources.writers import DATASET_KEY, append_rows, write_predictions
+from hourloom.sources import schemas as N
+from hourloom.sources.schemas import MODELS, TRIALS
+from hourloom.sources.writers import BATCHES, DATASET_KEY, evaluation_log, model_log, publish_predictions, trial_log
 
 
 VALIDATION = "validation"
@@ -46,37 +51,66 @@ def search(
     out: str,
     select_on: str = "test",
     max_mse: float | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Fit every parameter map on train and validation rows; write predictions, model and trial row.
 
-    The loop runs on the driver over a short grid; each fit and each scoring is
-    a distributed job, and only one row of metrics comes back. ``select_on="val"``
-    fits on the train rows alone and scores the validation rows; otherwise the
-    validation rows end boosting early. A failing fit, or a model that cannot be
-    saved, is logged with status ``error`` and the whole reason, and the search
-    goes on; no rows, predictions that are not finite, or an error above
-    ``max_mse``, make a trial ``pruned``. Every saved model is registered with
-    its dataset, so that its id can be resolved.
+    The grid is short; each fit and each scoring is a distributed job, and only
+    one row of metrics comes back. ``at_once`` trials run side by side, each in
+    a scheduler pool of its own, over the same two written tables: the small
+    jobs of one fill the cluster while another waits for its last task. The
+    number of a trial is its place in the grid, whatever ends first.
+
+    ``select_on="val"`` fits on the train rows alone and scores the validation
+    rows; otherwise the validation rows end boosting early. A failing fit, or a
+    model that cannot be saved, is logged with status ``error`` and the whole
+    reason, and the others go on; no rows, predictions that are not finite, or
+    an error above ``max_mse``, make a trial ``pruned``. Every saved model is
+    registered with its dataset, so that its id can be resolved.
+
+    The same search made again writes the same entries of the log again, not more.
     """
     spark = dataset.rows.sparkSession
+    if at_once < 1:
+        raise ValueError("at least one trial at a time")
     fitted_on = ("train",) if select_on == "val" else ("train", "val")
     held = (F.col("split") == "val").alias(VALIDATION)
+    search_id = _search_id(key, family, grid, select_on, max_mse)
     with scratch(spark):
         # Both are read by every trial: written once.
-        train = dataset.split(*fitted_on)
+        # Dealt by position and sorted, so that the draws of a fit do not depend on how the dataset's files lie.
+        place, tasks = [*dataset.keys, "idx"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+        train = dataset.split(*fitted_on).repartition(tasks, *place).sortWithinPartitions(*place)
         train = materialise(train.select(held, *[c for c in train.columns if c.endswith("_scaled")]))
         judged = materialise(dataset.split(select_on))
         watch = VALIDATION if select_on != "val" and not train.where(VALIDATION).isEmpty() else None
-        for number, params in enumerate(grid):
-            _run_trial(spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse)
-    return spark.read.schema(TRIALS).parquet(f"{out}/trials")
+
+        def trial(number: int, params: Mapping) -> None:
+            # A property of the thread's own jobs; with the fair scheduler pools share the cluster evenly.
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{number % at_once}")
+            _run_trial(spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse, search_id)
+
+        with ThreadPoolExecutor(at_once) as threads:
+            # Each thread carries the session's properties; an error that is not a trial's own ends the search.
+            for done in [threads.submit(inheritable_thread_target(spark)(trial), n, p) for n, p in enumerate(grid)]:
+                done.result()
+    trial_log(out).compact(spark, BATCHES)
+    model_log(out).compact(spark, BATCHES)
+    return trial_log(out).read(spark)
+
+
+def _search_id(key: tuple[str, int, str], family: str, grid: Sequence[Mapping], select_on: str, max_mse: float | None) -> str:
+    """A search is what it is asked for: dataset, family, grid and the way it selects."""
+    told = [list(key), family, [{k: str(v) for k, v in p.items()} for p in grid], select_on, max_mse]
+    return hashlib.sha256(json.dumps(told, sort_keys=True).encode()).hexdigest()[:16]
 
 
 def _run_trial(
-    spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse
+    spark, dataset, key, family, number, params, train, judged, watch, out, select_on, max_mse, search_id
 ) -> None:
     started = time.time()
     row = dict(zip(DATASET_KEY, key, strict=True)) | {
+        "search_id": search_id,
         "model": family,
         "trial_num": number,
         "params": {k: str(v) for k, v in params.items()},
@@ -89,15 +123,15 @@ def _run_trial(
         # The model comes first: a run whose model cannot be saved leaves nothing under its id.
         path = f"{out}/models/{run_id}"
         model.write().overwrite().save(path)
-        write_predictions(predictions, f"{out}/predictions", run_id, select_on, [*dataset.keys, "row_id"])
+        publish_predictions(predictions, out, run_id, select_on, [*dataset.keys, "row_id"])
         row |= {m: metrics[m] for m in ("mae", "mse", "rmse", "r2", "status", "reason")}
         row["run_id"] = run_id
         known = row | {"created_at": datetime.now(timezone.utc), "feature_order": dataset.features, "path": path}
-        register_model(_one_row(spark, known, MODELS), f"{out}/models_table")
+        model_log(out).append(_one_row(spark, known, MODELS))
     except Exception as failure:
         row |= {"status": ERROR, "reason": str(failure)}
     row["runtime_minutes"] = (time.time() - started) / 60
-    log_trials(_one_row(spark, row, TRIALS), f"{out}/trials")
+    trial_log(out).append(_one_row(spark, row, TRIALS))
 
 
 def trial_metrics(predictions: DataFrame, max_mse: float | None = None) -> dict:
@@ -124,18 +158,18 @@ def _one_row(spark: SparkSession, row: Mapping, schema: T.StructType) -> DataFra
 
 
 def evaluation_report(
-    predictions: DataFrame, test_rows: int, labels: Mapping[str, str], path: str | None = None
+    predictions: DataFrame, test_rows: int, labels: Mapping[str, str], out: str | None = None
 ) -> DataFrame:
     """One row of metrics with the names of model and dataset and the sizes of both sides.
 
-    There are no metrics unless all values are finite. ``path`` appends the row to the evaluations.
+    There are no metrics unless all values are finite. ``out`` logs the row with the evaluations.
     """
     report = evaluate.usable_metrics(predictions).withColumnRenamed("rows", "predictions_count")
     report = report.withColumns(
         {**{k: F.lit(v) for k, v in labels.items()}, "test_set_size": F.lit(test_rows).cast("long")}
     )
-    if path:
-        append_rows(report, path, EVALUATIONS)
+    if out:
+        evaluation_log(out).append(report)
     return report
 
 
@@ -162,7 +196,7 @@ def validate_model(
     by = dataset.keys if by_series else ()
     claimed = spark.range(1).select(F.lit(model_id).alias("model_id"))
     if out:
-        known = registered(spark, f"{out}/models_table").where(F.col("run_id") == model_id)
+        known = registered(spark, out).where(F.col("run_id") == model_id)
         claimed = claimed.withColumn("expected_mae", known.agg(F.max("mae")).scalar())
     if by:
         claimed = runs.select(*by).distinct().withColumns({c: claimed.select(c).scalar() for c in claimed.columns})
@@ -170,15 +204,16 @@ def validate_model(
 
 
 def evaluate_run(dataset: Dataset, model, run_id: str, out: str, split: str = "test") -> DataFrame:
-    """Score a split, put its predictions in the run's folder and append one row to the evaluations."""
+    """Score a split, publish its predictions and log one row with the evaluations; made again, it replaces both."""
     spark = dataset.rows.sparkSession
     labels = {"run_id": run_id, "split": split}
     with scratch(spark):
         predictions = materialise(split_predictions(dataset, model, split))
-        write_predictions(predictions, f"{out}/predictions", run_id, split, [*dataset.keys, "row_id"])
+        publish_predictions(predictions, out, run_id, split, [*dataset.keys, "row_id"])
         rows = dataset.split(split).count()
-        report = evaluation_report(predictions, rows, labels, f"{out}/evaluations")
+        report = evaluation_report(predictions, rows, labels, out)
         row = tuple(report.first())
+    evaluation_log(out).compact(spark, BATCHES)
     return spark.createDataFrame([row], report.schema)
 
 
@@ -194,7 +229,7 @@ def score_table(
 
     A prediction that is not finite is an error.
     """
-    info = dataset_info(df.sparkSession, f"{out}/dataset_info", *key)
-    params = read_scalers(df.sparkSession, out, key, keys)
+    release, info = published_dataset(df.sparkSession, out, key)
+    params = release.read("scalers").select(*keys, *[f.name for f in N.SCALER_PARAMS.fields])
     scored = score(df, model, info["feature_order"], info["target_column"], params, carry, keys)
     return guard_finite(scored, ["y_pred"])

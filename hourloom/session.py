@@ -67,10 +67,27 @@ def owned() -> Iterator[list[str]]:
         _OWNERS.pop()
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete_tables(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names of what a folder holds; none if there is no such folder."""
+    folder, files = _folder(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table's write has ended: its marker comes last."""
+    folder, files = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(folder)
 
 
 @contextmanager

@@ -98,6 +98,7 @@ SCALER_PARAMS = T.StructType(
 
 TRIALS = T.StructType(
     [
+        T.StructField("search_id", T.StringType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("model", T.StringType()),
         T.StructField("target", T.StringType()),

@@ -1,56 +1,56 @@
-"""Sinks. Every table is Parquet; folders follow ``target=/horizon=/dataset=``."""
+"""Sinks. Every table is Parquet; datasets and predictions are published in versions, logs grow by batches."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from hourloom.sources.logs import Log
+from hourloom.sources.published import Release, manifest, published_rows, retire
+from hourloom.sources.schemas import DATASET_INFO, EVALUATIONS, MODELS, TRIALS
 
 DATASET_KEY = ("target", "horizon", "dataset")
+DATASET_FIELDS = [T.StructField("target", T.StringType()), T.StructField("horizon", T.IntegerType()), T.StructField("dataset", T.StringType())]
+PREDICTION_FIELDS = [T.StructField("run_id", T.StringType()), T.StructField("split", T.StringType())]
 
+#: Batches of a log beyond which a job folds it.
+BATCHES = 64
 
-def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).parquet(path)
 
+def dataset_log(out: str) -> Log:
+    """The published datasets with their descriptions."""
+    return manifest(f"{out}/dataset_info", DATASET_FIELDS, DATASET_INFO)
 
-def replace_folder(
-    df: DataFrame, path: str, fixed: Mapping[str, object], partition_by: Sequence[str] = ()
-) -> None:
-    """Make ``df`` the whole content of the partition folder that ``fixed`` names.
 
-    Whatever an earlier write left there goes, also partitions that ``df`` has no rows for.
-    """
-    escape = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    folder = "/".join(f"{escape(name)}={escape(str(value))}" for name, value in fixed.items())
-    writer = df.drop(*fixed).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(f"{path}/{folder}")
+def prediction_log(out: str) -> Log:
+    return manifest(f"{out}/prediction_info", PREDICTION_FIELDS)
+
 
+def trial_log(out: str) -> Log:
+    """Trials by search and number: a search that is repeated writes the same trials again."""
+    return Log(f"{out}/trials", TRIALS, ("search_id", "trial_num"))
 
-def write_dataset(df: DataFrame, path: str, key: tuple[str, int, str]) -> None:
-    """A split table of one dataset; a reader of one split of it opens only its folder.
 
-    Writing a dataset again replaces it whole, with all of its splits.
-    """
-    replace_folder(df, path, dict(zip(DATASET_KEY, key, strict=True)), ("split",))
+def model_log(out: str) -> Log:
+    return Log(f"{out}/models_table", MODELS, ("run_id",))
 
 
-def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Append to a log table; columns that a row does not carry are NULL."""
-    present = set(df.columns)
-    write_table(
-        df.select(
-            *[
-                (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in schema.fields
-            ]
-        ),
-        path,
-        mode="append",
-    )
+def evaluation_log(out: str) -> Log:
+    return Log(f"{out}/evaluations", EVALUATIONS, ("run_id", "split"))
 
 
-def write_predictions(
-    df: DataFrame, path: str, run_id: str, split: str, keys: Sequence[str] = ("row_id",)
+def publish_predictions(
+    df: DataFrame, out: str, run_id: str, split: str, keys: Sequence[str] = ("row_id",)
 ) -> None:
-    """``<keys>, y_true, y_pred`` in one folder per run and split; writing them again replaces them."""
-    replace_folder(df.select(*keys, "y_true", "y_pred"), path, {"run_id": run_id, "split": split})
+    """``<keys>, y_true, y_pred`` of one run and split; publishing them again replaces them."""
+    spark, key, log = df.sparkSession, {"run_id": run_id, "split": split}, prediction_log(out)
+    release = Release(spark, out, key)
+    release.write(df.select(*keys, "y_true", "y_pred"), "predictions")
+    release.commit(log)
+    retire(spark, out, log, key)
+
+
+def read_predictions(spark: SparkSession, out: str) -> DataFrame:
+    """The published predictions of all runs and splits."""
+    return published_rows(spark, out, prediction_log(out), "predictions")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from hourloom.operators import catalog, evaluate, forecast, scaling
 from hourloom.plans.prepare import scaled_dataset
 from hourloom.plans.search import evaluation_report, search, split_predictions, validate_model
+from hourloom.sources.published import Release
+from hourloom.sources.writers import dataset_log, read_predictions
 from tests.helpers import rows
 
 
@@ -47,8 +49,8 @@ def test_locating_is_exact(spark):
 
 def test_listing_datasets(spark, tmp_path):
     for number in ("dataset1", "dataset15", "dataset1"):
-        row = spark.createDataFrame([("a", 6, number)], "target string, horizon int, dataset string")
-        catalog.record_dataset(row, str(tmp_path / "d"))
+        release = Release(spark, str(tmp_path / "d"), {"target": "a", "horizon": 6, "dataset": number})
+        release.commit(dataset_log(str(tmp_path / "d")))
     got = catalog.list_datasets(spark, str(tmp_path / "d"))
     assert rows(got.select("dataset_key"), "dataset_key") == [("6hours_a_dataset1",), ("6hours_a_dataset15",)]
 
@@ -142,7 +144,7 @@ def test_search_logs_every_trial(spark, dataset, tmp_path):
     best = catalog.best_trial(trials).first()
     assert (best.trial_num, best.completed_trials) == (0, 2)
     assert "RF_n_estimators_8_max_depth_5_dataset1" in best.run_id
-    saved = spark.read.parquet(f"{out}/predictions").where(F.col("run_id") == best.run_id)
+    saved = read_predictions(spark, out).where(F.col("run_id") == best.run_id)
     assert evaluate.regression_metrics(saved).first().mae == pytest.approx(best.mae)
 
     model = forecast.load_model(f"{out}/models/{best.run_id}")
@@ -151,13 +153,32 @@ def test_search_logs_every_trial(spark, dataset, tmp_path):
     # A grid id names no metric; the search registered it.
     assert not validate_model(dataset, model, best.run_id).first().mae_matches
     assert validate_model(dataset, model, best.run_id, out=out).first().mae_matches
-    known = catalog.registered(spark, f"{out}/models_table").where(F.col("run_id") == best.run_id)
+    known = catalog.registered(spark, out).where(F.col("run_id") == best.run_id)
     assert tuple(known.select("target", "horizon", "dataset", "feature_order").first()) == (*key, dataset.features)
     assert len(trials.where("trial_num = 1").first().reason) > 0
-    report = evaluation_report(saved, 60, {"model": "RF"}, f"{out}/evaluations").first()
+    report = evaluation_report(saved, 60, {"model": "RF"}, out).first()
     assert (report.predictions_count, report.test_set_size, report.model) == (60, 60, "RF")
 
 
+def test_trials_side_by_side_log_what_they_log_one_by_one(spark, dataset, tmp_path):
+    grid = [{"n_estimators": n, "max_depth": 99 if n == 3 else 2} for n in range(1, 9)]
+    key = ("label", 6, "dataset1")
+    told = ["trial_num", "status", "params", "mae", "mse", "rmse", "r2", "search_id"]
+    logs = [
+        [r.asDict() for r in search(dataset, key, "RF", grid, str(tmp_path / str(n)), at_once=n).orderBy("trial_num").collect()]
+        for n in (1, 4)
+    ]
+    one, four = [[{c: r[c] for c in told} for r in rows] for rows in logs]
+    assert one == four and [r["trial_num"] for r in four] == list(range(8))
+    assert [r["status"] for r in four] == ["completed"] * 2 + ["error"] + ["completed"] * 5
+    # The same search again writes the same entries; another grid adds its own.
+    again = search(dataset, key, "RF", grid, str(tmp_path / "4"), at_once=4)
+    assert again.count() == 8 and again.select("run_id").where("run_id IS NOT NULL").distinct().count() == 7
+    assert search(dataset, key, "RF", grid[:1], str(tmp_path / "4")).count() == 9
+    with pytest.raises(ValueError, match="at least one"):
+        search(dataset, key, "RF", grid, str(tmp_path / "4"), at_once=0)
+
+
 def test_search_prunes_large_errors(dataset, tmp_path):
     trials = search(dataset, ("label", 6, "d"), "RF", [SMALL], str(tmp_path), max_mse=1e-9)
     row = trials.first()

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from hourloom.sources import readers, schemas, writers
+from hourloom.sources import logs, published, readers, schemas, writers
 from hourloom.sources.config import read_config
 
 BASE = {
@@ -103,44 +103,107 @@ def test_parquet_scan_turns_nan_into_null(spark, tmp_path):
     assert readers.read_columnar(spark, path, schema).first().b is None
 
 
-def test_split_scan_opens_only_its_folders(spark, tmp_path):
-    path = str(tmp_path / "datasets")
-    df = spark.range(20).select(
-        F.col("id").alias("idx"),
-        F.when(F.col("id") < 14, "train").when(F.col("id") < 17, "val").otherwise("test").alias("split"),
-    )
-    key = ("a b/c", 6, "dataset1")
-    writers.write_dataset(df, path, key)
-    writers.write_dataset(df, path, ("a", 6, "dataset1"))
-    whole = spark.read.parquet(path).where("target = 'a b/c'")
-    assert whole.where("split = 'val'").count() == 3 and whole.count() == 20
-    plan = whole.where("split = 'val'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "split" in plan.split("PartitionFilters")[1]
-    both = readers.train_and_validation(whole)
-    assert [r.idx for r in both.orderBy("idx").collect()] == list(range(17))
-    # A dataset is replaced whole: a split that is no longer made goes, other datasets stay.
-    two = df.withColumn("split", F.when(F.col("split") == "val", "test").otherwise(F.col("split")))
-    writers.write_dataset(two, path, key)
-    counts = spark.read.parquet(path).groupBy("target", "split").count().collect()
-    assert {(r.target, r.split): r["count"] for r in counts} == {
-        ("a b/c", "train"): 14, ("a b/c", "test"): 6, ("a", "train"): 14, ("a", "val"): 3, ("a", "test"): 3
-    }
+def published_counts(spark, root, log):
+    rows = published.published_rows(spark, root, log, "datasets").groupBy("target", "split").count().collect()
+    return {(r.target, r.split): r["count"] for r in rows}
+
 
+def test_published_datasets_change_whole_and_splits_are_pruned(spark, tmp_path):
+    root, log = str(tmp_path), writers.dataset_log(str(tmp_path))
+    split = F.when(F.col("id") < 14, "train").when(F.col("id") < 17, "val").otherwise("test")
+    df = spark.range(20).select(F.col("id").alias("idx"), split.alias("split"))
+    keys = [dict(zip(writers.DATASET_KEY, k)) for k in (("a b/c", 6, "dataset1"), ("a", 6, "dataset1"))]
 
-def test_appended_log_rows_fill_absent_columns(spark, tmp_path):
-    path = str(tmp_path / "log")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
-    writers.append_rows(spark.range(1).select(F.col("id").alias("a")), path, schema)
-    writers.append_rows(spark.range(1).select(F.lit("x").alias("b")), path, schema)
-    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == [(0, None), (None, "x")]
+    def publish(key, rows, second=None):
+        release = published.Release(spark, root, key)
+        release.write(rows, "datasets", ("split",))
+        release.write(second if second is not None else rows.groupBy("split").count(), "counts")
+        release.commit(log)
+        return release
+
+    assert published.published(spark, root, log, keys[0]) is None
+    first = publish(keys[0], df)
+    publish(keys[1], df)
+    val = first.read("datasets").where("split = 'val'")
+    plan = val._jdf.queryExecution().executedPlan().toString()
+    assert val.count() == 3 and "split" in plan.split("PartitionFilters")[1]
+    both = readers.train_and_validation(first.read("datasets"))
+    assert [r.idx for r in both.orderBy("idx").collect()] == list(range(17))
+
+    # A job that fails between two tables leaves the version before it, whole.
+    two = df.withColumn("split", F.when(F.col("split") == "val", "test").otherwise(F.col("split")))
+    with pytest.raises(Exception, match="lost"):
+        publish(keys[0], two, two.select(F.raise_error(F.lit("lost")).cast("int").alias("x")))
+    before = {(t, s): n for t in ("a b/c", "a") for s, n in (("train", 14), ("val", 3), ("test", 3))}
+    assert published_counts(spark, root, log) == before
+    # The next one that ends replaces it whole, and other datasets stay.
+    publish(keys[0], two)
+    after = {k: n for k, n in before.items() if k != ("a b/c", "val")} | {("a b/c", "test"): 6}
+    assert published_counts(spark, root, log) == after
+    found, row = published.published(spark, root, log, keys[0])
+    assert found.version == row.version != first.version and row.tables == ["datasets", "counts"]
+    assert first.read("datasets").count() == 20  # who reads the old one still can
+
+    third = publish(keys[0], two)
+    gone = published.retire(spark, root, log, keys[0], keep=2)
+    assert first.version in gone and len(gone) == 2  # the first and the one that failed
+    assert published_counts(spark, root, log) == after and found.read("datasets").count() == 20
+    assert published.retire(spark, root, log, keys[1]) == [] and third.read("counts").count() == 2
+    with pytest.raises(ValueError, match="at least one"):
+        published.retire(spark, root, log, keys[0], keep=0)
+
+
+LOGGED = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType()), T.StructField("c", T.LongType())])
+
+
+def test_log_entries_are_their_latest_attempts(spark, tmp_path):
+    log = logs.Log(str(tmp_path / "log"), LOGGED, ("a", "b"))
+    assert log.read(spark).count() == 0
+    log.compact(spark)
+    log.append(spark.createDataFrame([(1, "x", 1), (1, None, 2), (2, "x", 3)], "a long, b string, c long"))
+    log.append(spark.range(1).select(F.lit(1).alias("a"), F.lit(9).alias("c")))  # b is null
+    expected = [(1, None, 9), (1, "x", 1), (2, "x", 3)]
+    for _ in range(3):
+        assert sorted(map(tuple, log.read(spark).collect()), key=repr) == sorted(expected, key=repr)
+        log.compact(spark)
+
+
+def test_a_thousand_trials_logged_twice_are_a_thousand_rows_in_few_files(spark, tmp_path):
+    log = logs.Log(str(tmp_path / "log"), LOGGED, ("a",))
+    trials = spark.range(1_000).select(F.col("id").alias("a"), F.lit("t").alias("b"), F.col("id").alias("c"))
+    for attempt in range(2):
+        for part in range(4):
+            log.append(trials.where(F.col("a") % 4 == part).withColumn("c", F.col("c") + attempt).repartition(5))
+        log.compact(spark, beyond=2)
+    log.compact(spark)
+    assert log.read(spark).agg(F.count("a"), F.sum("c")).first() == (1_000, 499_500 + 1_000)
+    log.append(trials.limit(1).withColumn("c", F.lit(0)))
+    log.compact(spark)
+    log.append(trials.limit(1).withColumn("c", F.lit(0)))
+    log.compact(spark)  # by now the batches of the earlier tables are gone
+    assert len(list((tmp_path / "log").rglob("part-*.parquet"))) < 20
+    assert log.read(spark).count() == 1_000
+
+
+def test_an_interrupted_compaction_loses_and_doubles_nothing(spark, tmp_path):
+    log = logs.Log(str(tmp_path / "log"), LOGGED, ("a",))
+    log.append(spark.createDataFrame([(1, "x", 1)], LOGGED))
+    log.append(spark.createDataFrame([(2, "x", 2)], LOGGED))
+    # One that died behind its list of names, and one that died before it deleted anything.
+    spark.createDataFrame([("lost",)], "name string").write.parquet(f"{log.path}/folded/20200101T000000000000-x/names")
+    log.compact(spark)
+    assert sorted(r.a for r in log.read(spark).collect()) == [1, 2]
+    log.append(spark.createDataFrame([(2, "y", 5), (3, "x", 3)], LOGGED))
+    log.compact(spark)
+    assert sorted(map(tuple, log.read(spark).collect())) == [(1, "x", 1), (2, "y", 5), (3, "x", 3)]
 
 
 def test_predictions_of_a_run_and_split_are_replaced(spark, tmp_path):
-    path = str(tmp_path / "p")
+    out = str(tmp_path)
     for run, split, y_pred in (("r1", "test", 2.0), ("r2", "test", 3.0), ("r2", "val", 4.0), ("r2", "test", 5.0)):
         df = spark.createDataFrame([(0, 1.0, y_pred)], "row_id long, y_true double, y_pred double")
-        writers.write_predictions(df, path, run, split)
-    got = sorted((r.run_id, r.split, r.y_pred) for r in spark.read.parquet(path).collect())
+        writers.publish_predictions(df, out, run, split)
+    got = sorted((r.run_id, r.split, r.y_pred) for r in writers.read_predictions(spark, out).collect())
     assert got == [("r1", "test", 2.0), ("r2", "test", 5.0), ("r2", "val", 4.0)]
 
 

@@ -18,7 +18,9 @@ from hourloom.plans.search import evaluate_run, score_table, search, validate_mo
 from hourloom.session import scratch_root
 from hourloom.sources import schemas as N
 from hourloom.sources.config import JobConfig, config_from_row
+from hourloom.sources.published import published_rows
 from hourloom.sources.readers import read_inputs
+from hourloom.sources.writers import dataset_log, read_predictions
 
 CONFIG = JobConfig(
     dataset_number="dataset2",
@@ -121,14 +123,14 @@ def test_prepared_dataset_equals_pandas(spark, written, tmp_path):
             x = (x - train[c].mean()) / train[c].std(ddof=0)
         assert np.allclose(got[c + "_scaled"], x), c
 
-    info = dataset_info(spark, f"{out}/dataset_info", "total_patient_count", 3, "dataset2")
+    info = dataset_info(spark, out, "total_patient_count", 3, "dataset2")
     assert list(info.feature_order) == names and list(info.scaled_features) == scaled
     assert (info.total_samples, info.train_rows, info.val_rows, info.test_rows) == (n, a, b, n - a - b)
     assert (info.original_features, info.lag_features, info.excluded_from) == (29, 6, "2019-01-05")
     assert config_from_row(info.config) == CONFIG
     assert list(info.tensor_shape) == [len(names), 1] and info.lag_features_config == CONFIG.lag_features
-    assert list_datasets(spark, f"{out}/dataset_info").first().dataset_key == "3hours_total_patient_count_dataset2"
-    tensors = spark.read.parquet(f"{out}/tensors").where("split = 'test'").orderBy("idx").toPandas()
+    assert list_datasets(spark, out).first().dataset_key == "3hours_total_patient_count_dataset2"
+    tensors = published_rows(spark, out, dataset_log(out), "tensors").where("split = 'test'").orderBy("idx").toPandas()
     assert np.allclose(np.stack(tensors["x"]), got[got["split"] == "test"][[c + "_scaled" for c in names]], atol=1e-5)
     key = ("total_patient_count", 3, "dataset2")
     loaded = load_dataset(spark, out, key)
@@ -138,17 +140,17 @@ def test_prepared_dataset_equals_pandas(spark, written, tmp_path):
     model = load_model(f"{out}/models/{run}")
     report = evaluate_run(loaded, model, "again", out).first()
     assert (report.test_set_size, report.predictions_count) == (n - a - b, n - a - b)
-    saved = spark.read.parquet(f"{out}/predictions")
+    saved = read_predictions(spark, out)
     assert saved.where("run_id = 'again'").count() == n - a - b
     scored = score_table(loaded.split("test").select("idx", *names), out, key, model, ["idx"])
     both = scored.join(saved.where("run_id = 'again'"), scored.idx == saved.row_id)
     assert both.where(F.abs(scored.y_pred - saved.y_pred) > 1e-9).count() == 0
     assert both.count() == n - a - b
 
-    merged = spark.read.parquet(f"{out}/merged")
+    merged = published_rows(spark, out, dataset_log(out), "merged")
     assert N.HOUR in merged.columns and "weather_type" not in merged.columns
     with pytest.raises(ValueError, match="no dataset"):
-        dataset_info(spark, f"{out}/dataset_info", "total_patient_count", 3, "dataset1")
+        dataset_info(spark, out, "total_patient_count", 3, "dataset1")
 
 
 def test_threshold_and_grid_options(spark, written):
@@ -206,7 +208,7 @@ def test_two_sites_in_one_job_equal_two_jobs(spark, written, tmp_path):
     right = bucketed.rows.select(names).orderBy(*order).toPandas()
     pd.testing.assert_frame_equal(left, right)
     # the second run replaced the first
-    assert spark.read.parquet(f"{out}/datasets").count() == len(left)
+    assert published_rows(spark, out, dataset_log(out), "datasets").count() == len(left)
 
 
 def test_repeated_hours_are_refused_unless_their_rows_are_ordered(spark, written):
@@ -246,14 +248,14 @@ def test_jobs_leave_no_intermediate_tables(spark, written, tmp_path):
     for split in ("test", "test", "val"):
         evaluate_run(dataset, model, run, out, split)
     assert set(tables.iterdir()) == before
-    saved = spark.read.parquet(f"{out}/predictions").where(F.col("run_id") == run)
-    info = dataset_info(spark, f"{out}/dataset_info", *key)
+    saved = read_predictions(spark, out).where(F.col("run_id") == run)
+    info = dataset_info(spark, out, *key)
     assert {r.split: r["count"] for r in saved.groupBy("split").count().collect()} == {
         "test": info.test_rows, "val": info.val_rows
     }
     # Prepared again without validation rows, none of them is left.
     prepare(spark, dataclasses.replace(CONFIG, validation_fraction=0.0), paths, out)
-    again = spark.read.parquet(f"{out}/datasets")
+    again = published_rows(spark, out, dataset_log(out), "datasets")
     assert again.count() == info.total_samples and again.where("split = 'val'").count() == 0
 
 
