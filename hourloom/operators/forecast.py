@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from itertools import product
+from collections.abc import Callable, Mapping, Sequence
+from itertools import combinations, product
+from math import prod
 from random import Random
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -71,20 +72,108 @@ def expand_grid(axes: Mapping[str, Sequence]) -> list[dict]:
     return list(filter(is_valid, maps))
 
 
+def _at(axes: Mapping[str, Sequence], number: int) -> dict:
+    """The map of a number in the mixed radix of the axes: the product is never listed."""
+    out = {}
+    for name in reversed(axes):
+        number, place = divmod(number, len(axes[name]))
+        out[name] = axes[name][place]
+    return {name: out[name] for name in axes}
+
+
+def _completed(axes: Mapping[str, Sequence], fixed: Mapping, wanted: Callable[[dict, str], list], draw: Random) -> dict | None:
+    """A valid map that holds ``fixed``, each other axis by the values that ``wanted`` puts first; none if there is none."""
+    open_axes = [name for name in axes if name not in fixed]
+    draw.shuffle(open_axes)
+
+    def fill(params: dict, rest: list[str]) -> dict | None:
+        if not is_valid(params):  # settings that contradict each other stay so, whatever the others are
+            return None
+        if not rest:
+            return {name: params[name] for name in axes}
+        for value in wanted(params, rest[0]):
+            found = fill({**params, rest[0]: value}, rest[1:])
+            if found is not None:
+                return found
+        return None
+
+    return fill(dict(fixed), open_axes)
+
+
 def sample_grid(axes: Mapping[str, Sequence], count: int, seed: int = SEED) -> list[dict]:
     """``count`` different valid maps, drawn with a seed, in which every value of every axis occurs.
 
-    More maps are taken if ``count`` is too few to hold all values.
+    More maps are taken if ``count`` is too few to hold all values, fewer if
+    there are no more. Maps are drawn by their number in the product.
+    """
+    draw = Random(seed)
+    out: list[dict] = []
+
+    def shuffled(params: dict, name: str) -> list:
+        unused = [v for v in axes[name] if not any(m[name] == v for m in out)]
+        draw.shuffle(unused)
+        used = [v for v in axes[name] if v not in unused]
+        return unused + draw.sample(used, len(used))
+
+    for name, values in axes.items():
+        for value in values:
+            if not any(m[name] == value for m in out) and (found := _completed(axes, {name: value}, shuffled, draw)):
+                out.append(found)
+    size, seen = prod(map(len, axes.values())), set()
+    while len(out) < count and len(seen) < size:
+        # While few numbers have been seen, most draws are new; near the end, the rest is drawn from a list of what is left.
+        left = None if len(seen) < size // 2 else [n for n in range(size) if n not in seen]
+        for number in [draw.randrange(size)] if left is None else draw.sample(left, len(left)):
+            if number not in seen and len(out) < count:
+                seen.add(number)
+                params = _at(axes, number)
+                if is_valid(params) and params not in out:
+                    out.append(params)
+    return out
+
+
+def covering_grid(axes: Mapping[str, Sequence], seed: int = SEED) -> list[dict]:
+    """Few valid maps in which every pair of values of any two axes occurs that can occur in a valid map.
+
+    Each map starts from a pair that is still open and takes, axis by axis, the
+    value that closes most open pairs with those already in it. Only pairs are
+    listed, never the product of the axes.
     """
-    drawn = expand_grid(axes)
-    Random(seed).shuffle(drawn)
-    missing = {(name, value) for name, values in axes.items() for value in values}
-    first, rest = [], []
-    for params in drawn:
-        new = missing & set(params.items())
-        (first if new else rest).append(params)
-        missing -= new
-    return first + rest[: max(0, count - len(first))]
+    draw = Random(seed)
+    places = {name: range(len(values)) for name, values in axes.items()}
+    open_pairs = {
+        ((a, i), (b, j)) for a, b in combinations(axes, 2) for i in places[a] for j in places[b]
+    }
+    order = {name: n for n, name in enumerate(axes)}
+
+    def pair(a: tuple[str, int], b: tuple[str, int]) -> tuple:
+        return (a, b) if order[a[0]] < order[b[0]] else (b, a)
+
+    def place(name: str, value) -> int:
+        return next(i for i in places[name] if axes[name][i] is value or axes[name][i] == value)
+
+    def best_first(params: dict, name: str) -> list:
+        chosen = [(n, place(n, v)) for n, v in params.items()]
+        gains = [(sum(pair((name, i), c) in open_pairs for c in chosen), draw.random(), i) for i in places[name]]
+        return [axes[name][i] for _, _, i in sorted(gains, reverse=True)]
+
+    out = []
+    while open_pairs:
+        candidates = []
+        for first, second in draw.sample(sorted(open_pairs), min(len(open_pairs), 8)):
+            fixed = {n: axes[n][i] for n, i in (first, second)}
+            found = _completed(axes, fixed, best_first, draw)
+            if found is None:
+                open_pairs.discard((first, second))  # no valid map holds both
+                continue
+            held = [(n, place(n, v)) for n, v in found.items()]
+            closed = {pair(a, b) for a, b in combinations(held, 2)} & open_pairs
+            candidates.append((len(closed), found, closed))
+        if candidates:
+            _, found, closed = max(candidates, key=lambda c: c[0])
+            out.append(found)
+            open_pairs -= closed
+    return out
 
 
 def is_valid(params: Mapping) -> bool:

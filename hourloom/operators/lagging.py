@@ -15,7 +15,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
 from hourloom.operators.clean import known_features, select_ordered
-from hourloom.operators.timeindex import BUCKET, ORDINAL, TOTAL, bucket_of, with_keys, with_ordinal, with_position
+from hourloom.operators.lookup import join_same
+from hourloom.operators.timeindex import (
+    BUCKET,
+    ORDINAL,
+    TOTAL,
+    bucket_of,
+    row_index,
+    running_offsets,
+    with_keys,
+    with_ordinal,
+    with_position,
+)
+from hourloom.session import materialise
 from hourloom.sources.readers import nulls_for_nans
 
 OWN = "_own"
@@ -25,6 +37,10 @@ COMPLETE = "_complete"
 WHOLE_SERIES_ROWS = 100_000
 
 
+# Wider windows are summed by position: a bucket would hold 32 times their rows.
+WIDE_WINDOW = 2_048
+
+
 @dataclass(frozen=True)
 class Layout:
     """Rows arranged for windows: run them over ``window``, then keep the ``own`` rows."""
@@ -105,6 +121,55 @@ def rolling_mean(window: WindowSpec, column: str, size: int) -> dict[str, Column
     return {f"rolling_mean_{column}_window_size_{size}": mean}
 
 
+# Sums are kept as decimals of so many places: differences of sums are then exact.
+SUM_SCALE = 9
+# Rows of a bucket in which sums run, whatever the width of the window.
+SUM_ROWS = 8_192
+
+
+def wide_rolling_mean(
+    df: DataFrame,
+    column: str,
+    order_by: Sequence[str],
+    size: int,
+    keys: Sequence[str] = (),
+    bucket_rows: int = SUM_ROWS,
+    scale: int = SUM_SCALE,
+) -> DataFrame:
+    """Mean of the last ``size`` values of any width; null unless all of them are present.
+
+    Rows are numbered in each series; sums and counts of present values run
+    inside buckets of ``bucket_rows`` positions, and the sums of whole buckets are
+    added up in two levels. The mean at a position is then the difference of two
+    sums, ``size`` rows apart: each row is sent to its own position and to the one
+    that it leaves the window of, so a window of a million rows costs as much as
+    one of ten. Values are taken to ``scale`` decimal places, sums of them are exact.
+    """
+    if size < 1:
+        raise ValueError("a window holds at least one row")
+    name = f"rolling_mean_{column}_window_size_{size}"
+    x = F.col(f"`{column}`")
+    x = F.when(~F.isnan(x.cast("double")), x).cast(f"decimal(38,{scale})")
+    placed = row_index(df, order_by, keys).withColumn(BUCKET, F.floor(F.col("idx") / bucket_rows))
+    group = [*keys, BUCKET]
+    inside = Window.partitionBy(*group).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    running = placed.withColumns({"_sum": F.coalesce(F.sum(x).over(inside), F.lit(0)), "_n": F.count(x).over(inside)})
+    running = materialise(running)
+    totals = running.groupBy(*group).agg(F.max_by("_sum", "idx").alias("_sum"), F.max("_n").alias("_n"))
+    offsets = running_offsets(totals, keys, {"_sum": "_sums", "_n": "_ns"})
+    summed = join_same(running, offsets, group, "left").withColumns(
+        {"_sum": (F.col("_sum") + F.col("_sums")).cast(f"decimal(38,{scale})"), "_n": F.col("_n") + F.col("_ns")}
+    )
+    summed = summed.drop("_sums", "_ns", BUCKET)
+    # The sums up to a position, sent to the position whose window they have left.
+    left = summed.select(*keys, (F.col("idx") + size).alias("idx"), F.col("_sum").alias("_gone"), F.col("_n").alias("_gone_n"))
+    both = join_same(summed, left, [*keys, "idx"], "left")
+    total = F.col("_sum") - F.coalesce("_gone", F.lit(0))
+    present = F.col("_n") - F.coalesce("_gone_n", F.lit(0))
+    mean = F.when(present == size, total.cast("double") / size)
+    return both.withColumn(name, mean).drop("idx", "_sum", "_n", "_gone", "_gone_n")
+
+
 def shifted_frame(
     df: DataFrame,
     column: str,
@@ -116,7 +181,15 @@ def shifted_frame(
     series_bound: int | None = None,
     bucket_rows: int | None = None,
 ) -> DataFrame:
-    """Lags, all leads and an optional rolling mean of one column; incomplete rows stay, with nulls."""
+    """Lags, all leads and an optional rolling mean of one column; incomplete rows stay, with nulls.
+
+    A window beyond ``WIDE_WINDOW`` rows is summed by position instead of in buckets that reach over it.
+    """
+    if window_size > WIDE_WINDOW:
+        df = wide_rolling_mean(df, column, order_by, window_size, keys)
+        mean = df.columns[-1]
+        shifted = shifted_frame(df, column, order_by, lags, leads, 0, keys, series_bound, bucket_rows)
+        return shifted.select(*[c for c in shifted.columns if c != mean], mean)
     layout = lay_out(
         df, order_by, keys, max(lags, window_size - 1, 0), leads, series_bound, bucket_rows
     )

@@ -12,10 +12,11 @@ series by counting fixed-width buckets of it; a task sees one bucket at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from hourloom.operators.lookup import join_same
 from hourloom.session import materialise
 
 ORDINAL = "_ordinal"
@@ -114,6 +115,22 @@ def bucket_offsets(counts: DataFrame, keys: Sequence[str], bucket: str = BUCKET)
     )
 
 
+def running_offsets(
+    totals: DataFrame, keys: Sequence[str], sums: Mapping[str, str], bucket: str = BUCKET
+) -> DataFrame:
+    """The sums over all earlier buckets of a series, under the names given, in two levels as ``bucket_offsets``."""
+    block = F.floor(F.col(bucket) / BUCKETS_PER_BLOCK)
+    within, blocks = totals.withColumn("_block", block), totals.groupBy(*keys, block.alias("_block")).agg(
+        *[F.sum(c).alias(c) for c in sums]
+    )
+    for c, name in sums.items():
+        within = _running(within, [*keys, "_block"], bucket, c, f"{name}_inside")
+        blocks = _running(blocks, keys, "_block", c, f"{name}_before")
+    joined = join_same(within, blocks.drop(*sums), [*keys, "_block"], "inner")
+    added = [(F.col(f"{name}_inside") + F.col(f"{name}_before")).alias(name) for name in sums.values()]
+    return joined.select(*keys, bucket, *added)
+
+
 def with_position(
     df: DataFrame, keys: Sequence[str], order: str, bucket: str = BUCKET
 ) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from hourloom.plans import standins as V
 
 HOUR = "hourly_range"
@@ -379,6 +381,38 @@ ORACLES = {
         FROM events WINDOW w AS (ORDER BY ts, event_id)""",
     "lead_features": f"""SELECT ts, event_id, value, {', '.join(_leads('value', 4))}
         FROM events WINDOW w AS (ORDER BY ts, event_id)""",
+    "merge_bucketed_hourly": f"""WITH {MERGED_HOURS.replace(IN_RANGE, "true")} SELECT * REPLACE (
+        round(average_waiting_times_treatment_minute, 6) AS average_waiting_times_treatment_minute) FROM merged""",
+    "rolling_mean_wide": """WITH holed AS (SELECT ts, event_id, CASE WHEN event_id % 1009 <> 7 THEN value END AS value FROM events)
+        SELECT ts, event_id, value, round(CASE WHEN count(value) OVER f = 700
+          THEN CAST(sum(CAST(value AS DECIMAL(18,6))) OVER f AS DOUBLE) / 700 END, 6) + 0.0 AS rolling_mean_value_window_size_700
+        FROM holed WINDOW f AS (ORDER BY ts, event_id ROWS 699 PRECEDING)""",
+    "rolling_mean_wide_by_series": """SELECT user_id, ts, event_id, value, round(CASE WHEN count(value) OVER f = 3
+          THEN CAST(sum(CAST(value AS DECIMAL(18,6))) OVER f AS DOUBLE) / 3 END, 6) + 0.0 AS rolling_mean_value_window_size_3
+        FROM events WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 2 PRECEDING)""",
+    "scaler_params_by_month": f"""WITH lines AS (
+          SELECT * REPLACE (CASE WHEN l_tax > 0.04 THEN l_tax END AS l_tax) FROM lineitem),
+        profile AS ({' UNION ALL '.join(
+          f"""SELECT l_linestatus, '{c}' AS "column", avg(CAST({c} AS DOUBLE)) AS mean,
+            stddev_pop(CAST({c} AS DOUBLE)) AS std,
+            count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) > 2 AS non_binary
+            FROM lines GROUP BY l_linestatus"""
+          for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"))})
+        SELECT l_linestatus, CASE WHEN "column" = 'l_extendedprice' THEN 'target' ELSE 'feature' END AS role, "column",
+          round(mean, 6) AS mean, round(std, 6) AS std FROM profile WHERE non_binary OR "column" = 'l_extendedprice'""",
+    "category_frequencies": f"""WITH counted AS ({' UNION ALL '.join(
+          f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS category, count(*) AS frequency
+            FROM lineitem WHERE {c} IS NOT NULL GROUP BY ALL"""
+          for c in ("l_returnflag", "l_linestatus", "l_linenumber"))})
+        SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS position FROM counted""",
+    "onehot_fitted": """SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS "status_F",
+          CAST(o_orderstatus = 'O' AS INTEGER) AS "status_O",
+          CAST(o_orderstatus NOT IN (SELECT l_linestatus FROM lineitem) AS INTEGER) AS status_unseen,
+          CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS position FROM orders""",
+    "covering_pairs": f"""{' UNION ALL '.join(
+          f"""SELECT '{a}' AS "first", '{b}' AS "second", count(DISTINCT {a}) * count(DISTINCT {b}) AS pairs,
+            true AS few_maps FROM lineitem"""
+          for a, b in combinations(("l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax"), 2))}""",
     "rolling_mean": f"""WITH {DAILY} SELECT day, total_value,
         round(CASE WHEN count(total_value) OVER f = 4 THEN avg(total_value) OVER f END, 4)
         AS rolling_mean_total_value_window_size_4

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hourloom.functions import scalar as S
-from hourloom.operators import catalog, clean, enrich, evaluate, forecast, lagging, scaling
+from hourloom.operators import catalog, categories, clean, enrich, evaluate, forecast, lagging, moments, scaling
 from hourloom.operators.lookup import lookup
 from hourloom.operators.split import chronological_split, split_counts
 from hourloom.operators.timeindex import row_index
@@ -28,6 +30,7 @@ from hourloom.plans.prepare import (
 from hourloom.plans.search import evaluate_run, score_table, search, trial_metrics, validate_model
 from hourloom.session import materialise, scratch_root
 from hourloom.sources import schemas as N
+from hourloom.sources.bucketed import bucket_tables, bucketed_tables
 from hourloom.sources.readers import nulls_for_nans, read_inputs, train_and_validation
 from hourloom.sources.config import read_config
 from hourloom.sources.published import Release, published_rows, retire
@@ -280,6 +283,16 @@ def merge_inner_hourly(spark, sf_dir):
     return rounded(enrich.merge_hourly(tables, [N.HOUR]), ["average_waiting_times_treatment_minute"])
 
 
+@query
+def merge_bucketed_hourly(spark, sf_dir):
+    """The same join of tables that were written by the hour: no row is exchanged."""
+    cleaned = clean_inputs(V.inputs(spark, sf_dir), "0001-01-01 00:00:00", "9999-12-31 23:00:00")
+    names, folder = ("census", "patients", "boarding", "treatment"), job_folder(spark)
+    bucket_tables({name: cleaned[name] for name in names}, folder, [N.HOUR], buckets=8)
+    tables = bucketed_tables(spark, folder, names).values()
+    return rounded(enrich.merge_hourly(list(tables), [N.HOUR]), ["average_waiting_times_treatment_minute"])
+
+
 @query
 def enrich_games(spark, sf_dir):
     hours = V.patients(spark, sf_dir).select(N.HOUR, "total_patient_count")
@@ -318,6 +331,22 @@ def weather_onehot(spark, sf_dir):
     return enrich.add_weather(V.patients(spark, sf_dir).select(N.HOUR, "weather_main"))
 
 
+@query
+def category_frequencies(spark, sf_dir):
+    lines = V.table(spark, sf_dir, "lineitem")
+    return categories.fit_categories(lines, ["l_returnflag", "l_linestatus", "l_linenumber"])
+
+
+@query
+def onehot_fitted(spark, sf_dir):
+    """Columns for the states of lines, found in the lines, applied to orders, which have a state that no line has."""
+    dictionary = materialise(categories.fit_categories(V.table(spark, sf_dir, "lineitem"), ["l_linestatus"]))
+    orders = V.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    flagged = categories.one_hot_fitted(orders, "o_orderstatus", dictionary, "status", fitted="l_linestatus")
+    placed = categories.with_position(flagged, "o_orderstatus", dictionary, fitted="l_linestatus")
+    return placed.drop("o_orderstatus").withColumnRenamed("o_orderstatus_position", "position").drop("o_orderstatus_unseen")
+
+
 @query
 def extreme_flag(spark, sf_dir):
     hours = V.patients(spark, sf_dir).select(N.HOUR, "total_patient_count")
@@ -377,6 +406,22 @@ def rolling_mean(spark, sf_dir):
     return rounded(frame, ["rolling_mean_total_value_window_size_4"], 4)
 
 
+@query
+def rolling_mean_wide(spark, sf_dir):
+    """A window of many buckets, over a long series with missing values."""
+    value = F.when(F.col("event_id") % 1009 != 7, F.col("value"))
+    events = V.event_rows(spark, sf_dir).select("ts", "event_id", value.alias("value"))
+    frame = lagging.wide_rolling_mean(events, "value", ["ts", "event_id"], 700, bucket_rows=64)
+    return rounded(frame, ["rolling_mean_value_window_size_700"], 6)
+
+
+@query
+def rolling_mean_wide_by_series(spark, sf_dir):
+    events = V.event_rows(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    frame = lagging.wide_rolling_mean(events, "value", ["ts", "event_id"], 3, ["user_id"], bucket_rows=2)
+    return rounded(frame, ["rolling_mean_value_window_size_3"], 6)
+
+
 @query
 def lagged_and_rolling(spark, sf_dir):
     events = V.event_rows(spark, sf_dir).select("user_id", "ts", "event_id", "value")
@@ -505,6 +550,21 @@ def scaler_params_by_series(spark, sf_dir):
     return rounded(params.withColumns({c: F.col(c) + 1e-7 for c in ("mean", "std")}), ["mean", "std"], 4)
 
 
+@query
+def scaler_params_by_month(spark, sf_dir):
+    """Parameters from moments of months, logged in two batches, one month a second time: as from all rows at once."""
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+    lines = V.table(spark, sf_dir, "lineitem").withColumn("l_tax", F.when(F.col("l_tax") > 0.04, F.col("l_tax")))
+    log = moments.moments_log(job_folder(spark), [T.StructField("l_linestatus", T.StringType())])
+    late = F.col("l_shipdate") >= F.lit("1996-06-01")
+    again = (F.col("l_shipdate") >= F.lit("1996-06-01")) & (F.col("l_shipdate") < F.lit("1996-07-01"))
+    for chosen in (~late, late, again):
+        log.append(moments.month_moments(lines.where(chosen), columns, "l_shipdate", ["l_linestatus"]))
+    log.compact(spark)
+    params = moments.fit_from_moments(log.read(spark), "l_extendedprice", ["l_linestatus"])
+    return rounded(params, ["mean", "std"], 6)
+
+
 @query
 def scaled_frame(spark, sf_dir):
     dataset = _event_dataset(spark, sf_dir)
@@ -710,6 +770,22 @@ def grid_run_ids(spark, sf_dir):
     )
 
 
+@query
+def covering_pairs(spark, sf_dir):
+    """A grid over the values that lines have: for every two columns, the pairs of values that its maps hold."""
+    lines = V.table(spark, sf_dir, "lineitem")
+    columns = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax"]
+    dictionary = materialise(categories.fit_categories(lines, columns))
+    axes = {c: categories.fitted_values(dictionary, c) for c in columns}
+    maps = spark.createDataFrame([tuple(m[c] for c in columns) for m in forecast.covering_grid(axes)], columns)
+    found = [
+        maps.select(F.lit(a).alias("first"), F.lit(b).alias("second"), F.struct(a, b).alias("pair")) for a, b in combinations(columns, 2)
+    ]
+    few = F.lit(maps.count() <= 2 * max(len(x) * len(y) for x, y in combinations(axes.values(), 2)))
+    pairs = reduce(DataFrame.unionAll, [f.withColumn("pair", F.to_json("pair")) for f in found])
+    return pairs.groupBy("first", "second").agg(F.count_distinct("pair").alias("pairs")).withColumn("few_maps", few)
+
+
 @query
 def trial_minutes(spark, sf_dir):
     ended = F.col("started") + F.make_dt_interval(
