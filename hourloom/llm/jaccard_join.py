@@ -17,9 +17,10 @@ What is left are lists of sets that look alike. They are not expanded into
 pairs: in a few turns, each list's members are compared with one leader and
 linked sets become one component. Sets of lists that still hold several
 components are allocated anew, now with the one-deletion neighbours of every
-segment, and only lists of other components cost anything: members of a family
-that lie just below the threshold differ in so many segments that hardly a pair
-of them remains. Every pair is verified on the whole sets.
+segment, and only lists of other components cost anything. Probes and index
+entries of the lists that it leaves are compared by bits of parity, which differ
+in at most as many places as the sets in elements; long lists are dealt over
+tasks. Every pair that remains is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ NEIGHBOURS = 8
 #: Subsets of one block of documents.
 BLOCK_KEYS = 2_000_000
 
+#: Probes, and index entries, of a list that one task compares.
+DEAL = 2_048
+
 #: Kinds of entries in a list.
 BOTH, PROBE, INDEX = 0, 1, 2
 
@@ -366,18 +370,107 @@ def _allocation(percent: int):
     return run
 
 
+def parity_bits(elements: np.ndarray) -> bytes:
+    """How often, modulo 2, elements fall on each of 2^k places, about two an element.
+
+    Two sets' bits differ in at most as many places as the sets in elements.
+    """
+    size = max(64, 1 << int(2 * len(elements) - 1).bit_length())
+    counts = np.bincount((mix(elements) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _with_bits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        found = [parity_bits(np.frombuffer(e, np.uint64)) for e in part.column("elements").to_pylist()]
+        yield pa.record_batch([part.column("doc"), pa.array(found, pa.binary())], names=["doc", "bits"])
+
+
+def folded(blobs: list[bytes]) -> np.ndarray:
+    """Bits of all sets over as many places as the smallest has: halves are added up modulo 2."""
+    least = min(map(len, blobs))
+    out = np.empty((len(blobs), least // 8), np.uint64)
+    for i, blob in enumerate(blobs):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(blob, np.uint64).reshape(-1, least // 8), axis=0)
+    return out
+
+
+def _unlike(group: list[tuple], percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of a probe and an index entry of other components whose sizes and bits allow a link."""
+    probes, index = [g for g in group if g[2]], [g for g in group if not g[2]]
+    if not probes or not index:
+        return [], []
+    bits = folded([g[5] for g in (*probes, *index)])
+    others = np.array([g[0] for g in index]), np.array([g[1] for g in index]), np.array([g[3] for g in index])
+    a, b = [], []
+    for i, (doc, component, _, n, *_) in enumerate(probes):
+        rest = np.flatnonzero((others[1] != component) & (others[2] <= n) & (100 * others[2] >= percent * n))
+        apart = np.bitwise_count(bits[len(probes) + rest] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        rest = rest[(100 + percent) * apart <= (100 - percent) * (others[2][rest] + n)]
+        a.extend([doc] * len(rest))
+        b.extend(others[0][rest].tolist())
+    return a, b
+
+
+def _listed_pairs(percent: int):
+    """Pairs of each list, whose rows follow one another."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, group = None, []
+
+        def pairs() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, pa.int64()) for c in _unlike(group, percent)], names=["a", "b"])
+
+        for part in parts:
+            columns = (part.column(c).to_pylist() for c in ("list", "of_probes", "of_index", "doc", "component", "probes", "n", "place", "bits"))
+            for *name, doc, component, probes, n, place, bits in zip(*columns):
+                if name != current:
+                    if group:
+                        yield pairs()
+                    current, group = name, []
+                group.append((doc, component, probes, n, place, bits))
+        if group:
+            yield pairs()
+
+    return run
+
+
+def list_pairs(rows: DataFrame, percent: int, deal: int = DEAL) -> DataFrame:
+    """Pairs (a, b) of (list, doc, component, n, probes, bits): each probe with the index entries of its list.
+
+    A long list is dealt by probes and by index entries, each part of one with
+    each part of the other, so that no task holds more than a few thousand of
+    them; sets are compared by their bits, and only pairs that may be linked
+    leave the task.
+    """
+    parts = lambda c: F.greatest(F.ceil(c / deal), F.lit(1)).cast("int")
+    lists = rows.groupBy("list").agg(F.count_if("probes").alias("p"), F.count_if(~F.col("probes")).alias("i"))
+    lists = lists.where("p > 0 AND i > 0").select("list", parts(F.col("p")).alias("p"), parts(F.col("i")).alias("i"))
+    placed = rows.join(lists, "list").withColumn("place", F.abs(F.xxhash64("doc") % 1_000_003))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    own = lambda c: F.array((F.col("place") % F.col(c)).cast("int"))
+    dealt = placed.withColumn("of_probes", F.explode(F.when(F.col("probes"), own("p")).otherwise(every("p"))))
+    dealt = dealt.withColumn("of_index", F.explode(F.when(F.col("probes"), every("i")).otherwise(own("i"))))
+    group = ["list", "of_probes", "of_index"]
+    return dealt.repartition(*group).sortWithinPartitions(*group).mapInArrow(_listed_pairs(percent), "a long, b long")
+
+
 def second_pairs(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that may be linked among the members of lists that still hold several components."""
     placed = members.join(labels, "doc")
     mixed = placed.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     left = placed.join(mixed.select("list"), "list").select("doc", "component").distinct()
-    slots = materialise(sets.join(left, "doc").mapInArrow(_slots(percent), SLOTS_DDL))
-    index = slots.where("kind < 2").select("list", F.col("node").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"))
-    lists = index.groupBy("list").agg(F.count(F.lit(1)).alias("cost"), F.min("of").alias("low"), F.max("of").alias("high"))
+    alike = materialise(sets.join(left, "doc"))
+    slots = materialise(alike.mapInArrow(_slots(percent), SLOTS_DDL))
+    index = slots.where("kind < 2").select("list", F.col("node").alias("doc"), "component", "n")
+    lists = index.groupBy("list").agg(F.count(F.lit(1)).alias("cost"), F.min("component").alias("low"), F.max("component").alias("high"))
     probes = slots.where("kind >= 2").join(lists, "list").where("low <> component OR high <> component")
     chosen = materialise(probes.drop("low", "high").groupBy("node").applyInArrow(_allocation(percent), CHOSEN_DDL))
-    fits = (F.col("size") <= F.col("n")) & (100 * F.col("size") >= percent * F.col("n")) & (F.col("of") != F.col("component"))
-    return chosen.join(index, "list").where(fits).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    probing = chosen.select("list", F.col("node").alias("doc"), "component", "n", F.lit(True).alias("probes"))
+    found = index.join(chosen.select("list").distinct(), "list", "left_semi").withColumn("probes", F.lit(False))
+    rows = materialise(probing.unionByName(found))
+    bits = alike.select("doc", "elements").mapInArrow(_with_bits, "doc long, bits binary")
+    return list_pairs(rows.join(bits, "doc"), percent)
 
 
 # The join

@@ -124,6 +124,28 @@ def test_allocations_reach_the_sum_at_the_lowest_cost():
         assert cost(got) <= best + max(near, default=0)
 
 
+def test_bits_differ_in_at_most_as_many_places_as_sets():
+    r = np.random.default_rng(8)
+    for n in (1, 2, 30, 400):
+        for _ in range(50):
+            x = np.unique(r.integers(0, 1 << 60, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[r.random(len(x)) < 0.7], r.integers(0, 1 << 60, n // 3 + 1).astype(np.uint64)]))
+            a, b = jj.folded([jj.parity_bits(x), jj.parity_bits(y)])
+            assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+            assert not (jj.folded([jj.parity_bits(x)] * 2)[0] ^ a[: len(a)]).any() or len(jj.parity_bits(x)) > len(jj.parity_bits(y))
+
+
+def test_long_lists_are_dealt_and_lose_no_pair(spark):
+    r = np.random.default_rng(9)
+    sets = {d: np.unique(r.integers(0, 1 << 60, 20).astype(np.uint64)) for d in range(60)}
+    sets |= {100 + d: np.append(s[1:], np.uint64(d)) for d, s in list(sets.items())[:20]}
+    rows = [(1, d, d, len(s), probes, jj.parity_bits(s)) for d, s in sets.items() for probes in (True, False)]
+    df = spark.createDataFrame(rows, "list long, doc long, component long, n long, probes boolean, bits binary").repartition(3)
+    for deal in (2_048, 7):
+        pairs = {(x.a, x.b) for x in jj.list_pairs(df, 80, deal).collect()}
+        assert {(d, 100 + d) for d in range(20)} <= pairs and all(a != b for a, b in pairs) and len(pairs) < 100
+
+
 def test_bands_hold_all_partners():
     for percent in (50, 60, 80, 95, 100):
         bands = jj.Bands(percent)
