@@ -6,6 +6,9 @@ partitions stay even when one series, or one moment, holds a third of all rows.
 The sorted rows are written before they are numbered: sampled borders could
 differ between two runs of the same plan, a written table cannot.
 
+``calendar_index`` numbers rows whose order begins with a time without that
+sort: it counts the rows of days, or of shorter stretches where a day is busy.
+
 ``with_position`` turns any ascending number into dense positions within each
 series by counting fixed-width buckets of it; a task sees one bucket at a time.
 """
@@ -13,10 +16,11 @@ series by counting fixed-width buckets of it; a task sees one bucket at a time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from hourloom.operators.lookup import join_same
+from hourloom.operators.lookup import join_same, lookup
 from hourloom.session import materialise
 
 ORDINAL = "_ordinal"
@@ -116,10 +120,14 @@ def bucket_offsets(counts: DataFrame, keys: Sequence[str], bucket: str = BUCKET)
 
 
 def running_offsets(
-    totals: DataFrame, keys: Sequence[str], sums: Mapping[str, str], bucket: str = BUCKET
+    totals: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, str],
+    bucket: str = BUCKET,
+    per_block: int = BUCKETS_PER_BLOCK,
 ) -> DataFrame:
     """The sums over all earlier buckets of a series, under the names given, in two levels as ``bucket_offsets``."""
-    block = F.floor(F.col(bucket) / BUCKETS_PER_BLOCK)
+    block = F.floor(F.col(bucket) / per_block)
     within, blocks = totals.withColumn("_block", block), totals.groupBy(*keys, block.alias("_block")).agg(
         *[F.sum(c).alias(c) for c in sums]
     )
@@ -151,13 +159,96 @@ def with_position(
     )
 
 
+# Rows of a stretch of time that are ranked in one place; busier stretches are cut into shorter ones.
+CELL_ROWS = 262_144
+# Days, hours, minutes and seconds.
+CELL_SECONDS = (86_400, 3_600, 60, 1)
+# Rows of one second of one series beyond which times alone do not cut the series.
+MOMENT_ROWS = 16_000_000
+# Cells are added up in blocks of a month or so.
+BLOCK_SECONDS = 32 * 86_400
+BEFORE_ALL = -(1 << 62)
+
+
+def seconds_of(df: DataFrame, time: str) -> Column | None:
+    """Whole seconds of a date or time on a line of its own; none for other types. Missing times come before all others."""
+    kind, t = df.schema[time].dataType, F.col(f"`{time}`")
+    if isinstance(kind, T.TimestampType):
+        seconds = F.unix_seconds(t)
+    elif isinstance(kind, (T.TimestampNTZType, T.DateType)):
+        days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 86_400
+        whole = isinstance(kind, T.DateType)
+        seconds = days if whole else days + F.hour(t) * 3_600 + F.minute(t) * 60 + F.floor(F.second(t))
+    else:
+        return None
+    return F.coalesce(seconds.cast("long"), F.lit(BEFORE_ALL))
+
+
+def calendar_cells(df: DataFrame, keys: Sequence[str], cell_rows: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Rows with ``_cell``, the first second of their stretch of time; the rows of every cell; whether one is too large.
+
+    Days first; of days with more than ``cell_rows`` rows the hours, of such
+    hours the minutes, and so on. Each step reads the keys and times alone, and
+    only those of the busy stretches.
+    """
+    placed = df.withColumn("_cell", F.col("_second") - F.pmod("_second", F.lit(CELL_SECONDS[0])))
+    quiet, rows = [], df.select(*keys, "_second")
+    for n, width in enumerate(CELL_SECONDS):
+        cells = rows.withColumn("_cell", F.col("_second") - F.pmod("_second", F.lit(width)))
+        counts = materialise(cells.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_rows")))
+        if n + 1 == len(CELL_SECONDS):
+            quiet.append(counts)
+            busy = counts.where(F.col("_rows") > max(cell_rows, MOMENT_ROWS))
+            break
+        busy = counts.where(F.col("_rows") > cell_rows).select(*keys, "_cell")
+        quiet.append(counts.where(F.col("_rows") <= cell_rows))
+        if busy.isEmpty():
+            break
+        shorter = CELL_SECONDS[n + 1]
+        found = lookup(placed, busy.withColumn("_busy", F.lit(True)), [*keys, "_cell"])
+        next_cell = F.col("_second") - F.pmod("_second", F.lit(shorter))
+        placed = found.withColumn("_cell", F.when(F.col("_busy"), next_cell).otherwise(F.col("_cell"))).drop("_busy")
+        rows = lookup(cells, busy, [*keys, "_cell"], how="inner").select(*keys, "_second")
+    return placed, reduce(DataFrame.unionByName, quiet), not busy.isEmpty()
+
+
+def calendar_index(
+    df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (), cell_rows: int = CELL_ROWS
+) -> DataFrame | None:
+    """Add ``idx`` by counting stretches of time, with one exchange of the rows and none of them written.
+
+    The rows of every stretch are counted from keys and times; prefix sums of the
+    counts say where a stretch begins, and rows are ranked inside theirs. None if
+    the first column of the order is no time, or one second of one series holds
+    more rows than a task should sort.
+    """
+    seconds = seconds_of(df, order_by[0])
+    if seconds is None:
+        return None
+    placed, cells, too_busy = calendar_cells(with_keys(df, keys).withColumn("_second", seconds), keys, cell_rows)
+    if too_busy:
+        return None
+    offsets = running_offsets(cells, keys, {"_rows": "_offset"}, "_cell", BLOCK_SECONDS)
+    # The rows lie by series and cell for the ranks, and stay there for the join.
+    group = [*keys, "_cell"]
+    ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order_by)))
+    found = ranked.join(offsets, group)
+    return found.select(*df.columns, (F.col("_offset") + F.col("_rank") - 1).cast("long").alias("idx"))
+
+
 def row_index(
     df: DataFrame,
     order_by: Sequence[str],
     keys: Sequence[str] = (),
     bucket_rows: int | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Add the 0-based position ``idx`` of every row in time order, per series if ``keys`` are given."""
+    """Add the 0-based position ``idx`` of every row in time order, per series if ``keys`` are given.
+
+    By the calendar where the order begins with a time, otherwise by a sort of all rows.
+    """
+    if bucket_rows is None and (indexed := calendar_index(df, order_by, keys, cell_rows)) is not None:
+        return indexed
     placed = with_ordinal(df, order_by, keys)
     if not keys:
         return placed.drop(TOTAL).withColumnRenamed(ORDINAL, "idx")
