@@ -17,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from hourloom.llm.common import fold
 from hourloom.session import materialise
@@ -30,8 +30,8 @@ CLASSES = 64
 SHARDS, ROUNDS = 8, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 CALIBRATION = 5  # every fifth sample row sets the temperature
-#: Numbers that the driver holds for the temperature; with more rows times languages a part of the rows sets it.
-LOGITS = 5_000_000
+#: Temperatures tried in one pass over the calibration rows, and passes, each between the neighbours of the best.
+TEMPERATURES, PASSES = 33, 4
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
 
@@ -188,34 +188,66 @@ def _logits(parts: Iterator[pa.RecordBatch], weights, blocks: int) -> Iterator[p
         yield pa.record_batch([part.column("key"), part.column("label"), pa.array(found, pa.binary())], names=["key", "label", "logits"])
 
 
-def _judged(calibration: DataFrame, weights, blocks: int) -> list:
-    found = calibration.select("key", "label", "at", "weights").mapInArrow(
-        lambda parts: _logits(parts, weights, blocks), "key long, label int, logits binary"
-    )
-    return sorted(found.collect())
+def _judged(calibration: DataFrame, weights: list, blocks: int) -> DataFrame:
+    """(label, logits) of every calibration row, the logits of all languages in the order of their labels."""
+    parts = [
+        calibration.select("key", "label", "at", "weights")
+        .mapInArrow(lambda rows, w=w: _logits(rows, w, blocks), "key long, label int, logits binary")
+        .withColumn("block", F.lit(b))
+        for b, w in enumerate(weights)
+    ]
+    if blocks == 1:
+        return parts[0].select("label", F.array("logits").alias("logits"))
+    found = F.sort_array(F.collect_list(F.struct("block", "logits"))).alias("found")
+    joined = reduce(DataFrame.unionAll, parts).groupBy("key", "label").agg(found)
+    return joined.select("label", F.transform("found", lambda f: f["logits"]).alias("logits"))
 
 
-def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature of least negative log-likelihood, by golden section over its logarithm."""
+def losses(logits: np.ndarray, label: int, temperatures: np.ndarray) -> np.ndarray:
+    """The negative log-likelihood of a row's label at each temperature."""
+    cooled = logits[None, :] / temperatures[:, None]
+    top = cooled.max(axis=1)
+    return np.log(np.exp(cooled - top[:, None]).sum(axis=1)) + top - cooled[:, label]
 
-    def loss(log_t: float) -> float:
-        p = softmax(logits / np.exp(log_t))[np.arange(len(labels)), labels]
-        return -np.log(np.maximum(p, 1e-300)).mean()
 
-    a, b, ratio = np.log(0.02), np.log(20.0), (np.sqrt(5) - 1) / 2
-    for _ in range(40):
-        c, d = b - ratio * (b - a), a + ratio * (b - a)
-        a, b = (a, d) if loss(c) < loss(d) else (c, b)
-    return float(np.exp((a + b) / 2))
+def _losses(temperatures: np.ndarray):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(temperatures))
+        for part in parts:
+            for label, blobs in zip(part.column("label").to_pylist(), part.column("logits").to_pylist()):
+                scores = np.zeros(sum(map(len, blobs)) // 8)
+                for block, blob in enumerate(blobs):
+                    scores[block :: len(blobs)] = np.frombuffer(blob, np.float64)
+                total += losses(scores, label, temperatures)
+        yield pa.record_batch([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["place", "loss"])
+
+    return run
+
+
+def temperature(judged: DataFrame) -> float:
+    """The temperature of least loss over all rows of (label, logits); as many sums come to the driver as are tried at once."""
+    low, high, best = np.log(0.02), np.log(20.0), 0.0
+    for _ in range(PASSES):
+        tried = np.linspace(low, high, TEMPERATURES)
+        sums = judged.mapInArrow(_losses(np.exp(tried)), "place int, loss double").groupBy("place").agg(F.sum("loss").alias("loss"))
+        found = {r["place"]: r["loss"] for r in sums.collect()}
+        if not any(found.values()):
+            return 1.0
+        place = min(found, key=lambda p: (round(found[p], 6), p))
+        best = tried[place]
+        low, high = tried[max(0, place - 1)], tried[min(TEMPERATURES - 1, place + 1)]
+    return float(f"{np.exp(best):.5g}")  # sums of losses depend on their order in the last places
 
 
 def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, classes: int = CLASSES):
     """(labels, idf, weights of each block as broadcasts, temperature) from rows (text, lang, key) with a language.
 
+    ``key`` is a hash of id and text.
+
     Frequencies cover all rows; the regression sees ``rows_per_language`` rows
-    of each language on average, picked by a hash of the row's place, so that
-    repeated ids cannot swell the sample. Label i is in block i modulo the
-    number of blocks.
+    of each language on average, picked by their keys: the same ones however
+    the rows lie, and a repeated row once. Label i is in block i modulo the number
+    of blocks. All sampled rows whose turn it is set the temperature.
     """
     spark = train.sparkSession
     counts = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
@@ -229,27 +261,20 @@ def fit(train: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, classes: i
     )
     pick = F.xxhash64("key").bitwiseAND(F.lit((1 << 40) - 1))
     picked = train.withColumn("pick", pick).join(F.broadcast(known), "lang").where(F.col("pick") < F.col("share") * (1 << 40))
-    vectors = picked.select("label", "pick", "key", "text").mapInArrow(
+    vectors = picked.select("label", "pick", "key", "text").dropDuplicates(["label", "key"]).mapInArrow(
         _vectors(shared_idf), "label int, pick long, key long, at binary, weights binary"
     )
-    vectors = materialise(vectors)
-    turn = F.pmod("pick", F.lit(CALIBRATION)) == 0
+    # The first row of every language teaches, so that none is left to the calibration alone.
+    first = F.min("key").over(Window.partitionBy("label"))
+    vectors = materialise(vectors.withColumn("first", F.col("key") == first))
+    turn = (F.pmod("pick", F.lit(CALIBRATION)) == 0) & ~F.col("first")
     blocks = -(-len(labels) // classes)
     expected = [min(r["count"], rows_per_language) for r in counts]
     weights = [
         spark.sparkContext.broadcast(trained(*block_rows(vectors.where(~turn), b, blocks, expected))) for b in range(blocks)
     ]
-    share = LOGITS / (sum(expected) / CALIBRATION * len(labels))
-    calibration = vectors.where(turn)
-    if share < 1:
-        calibration = calibration.where(F.pmod(F.xxhash64("pick", F.lit(-1)), F.lit(1 << 30)) < share * (1 << 30))
-    t = 1.0
-    judged = [_judged(calibration, w, blocks) for w in weights]
-    if judged[0]:
-        logits = np.zeros((len(judged[0]), len(labels)))
-        for b, rows in enumerate(judged):
-            logits[:, b::blocks] = [np.frombuffer(r["logits"], np.float64) for r in rows]
-        t = temperature(logits, np.array([r["label"] for r in judged[0]]))
+    judged = materialise(_judged(vectors.where(turn), weights, blocks))
+    t = temperature(judged)
     return labels, idf, weights, t
 
 
@@ -294,7 +319,9 @@ def identify_languages(
     language of the others is learned, in blocks of at most ``classes``. Missing
     texts and texts without a letter are ``und`` with score 0, and so is every
     text if no row teaches. A missing id is in the fold of the empty id. Ties
-    between languages go to the more frequent one.
+    between languages go to the more frequent one. Scores do not depend on how
+    the rows are partitioned but for the last digits of sums, and rows that repeat
+    teach once.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
@@ -303,7 +330,8 @@ def identify_languages(
         F.col(text).alias("text"),
         F.monotonically_increasing_id().alias("key"),
     )
-    train = rows.where("NOT held_out AND lang IS NOT NULL").select("text", "lang", "key")
+    known = rows.where("NOT held_out AND lang IS NOT NULL")
+    train = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("key"))
     labels, idf, weights, t = fit(train, rows_per_language, classes)
     model, blocks = docs.sparkSession.sparkContext.broadcast((labels, idf, t)), len(weights)
     rows = rows.select("key", "doc_id", "held_out", "text")

@@ -1,6 +1,6 @@
 """Log-probabilities of whole texts by a weighted backoff automaton.
 
-The texts are read in blocks of bounded size. Each block lists its distinct
+The texts are written in blocks of bounded size. Each block lists its distinct
 words and word pairs with their counts in training documents; the lists are cut
 by key range, added up over all blocks, and every block gets the sums of its
 own entries back. A block thus holds the part of the model that its texts can
@@ -39,7 +39,6 @@ FOLDS, HELD_OUT = 7, 2
 
 END = b""  # no word is empty
 START_HASH = np.uint64(0x5851F42D4C957F2D)
-PAIR_BITS = 48  # a pair is known by 48 bits of its hash, a word by 64
 
 LISTS_DDL = "block long, part int, pairs boolean, keys binary, counts binary, size long"
 LISTS = pa.schema(
@@ -128,26 +127,39 @@ def pair_keys(words: np.ndarray, lengths: np.ndarray, hashes: np.ndarray) -> np.
     before = np.empty_like(own)
     before[1:] = own[:-1]
     before[np.cumsum(lengths) - lengths] = START_HASH
-    return mix(before * np.uint64(0x9E3779B97F4A7C15) + own) >> np.uint64(64 - PAIR_BITS)
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + own)
 
 
-def _lister(parts_of: int, block_tokens: int):
+def open_block(row: dict) -> SimpleNamespace:
+    return SimpleNamespace(
+        number=row["block"],
+        words=unpack(row["words"], np.int32),
+        lengths=unpack(row["lengths"], np.int64),
+        hashes=unpack_sorted(row["hashes"]),
+        held=unpack(row["held"], bool),
+    )
+
+
+def _lister(parts_of: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(parts, block_tokens):
-            train = np.repeat(~block.held, block.lengths)
-            pairs, at = np.unique(pair_keys(block.words, block.lengths, block.hashes), return_inverse=True)
-            counted = (
-                (False, block.hashes, 64, np.bincount(block.words[train], minlength=len(block.hashes))),
-                (True, pairs, PAIR_BITS, np.bincount(at[train], minlength=len(pairs))),
-            )
-            out: list[tuple] = []
-            for is_pair, keys, bits, counts in counted:
-                place = ((keys >> np.uint64(bits - 32)) * np.uint64(parts_of)) >> np.uint64(32)
-                cuts = np.searchsorted(place, np.arange(parts_of + 1, dtype=np.uint64))
-                counts = counts.astype(np.uint64)
-                for part, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                    out.append((block.number, part, is_pair, pack_sorted(keys[a:b]), pack(counts[a:b]), b - a))
-            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), LISTS)], schema=LISTS)
+        for batch in parts:
+            for row in batch.to_pylist():
+                block = open_block(row)
+                train = np.repeat(~block.held, block.lengths)
+                pairs, at = np.unique(pair_keys(block.words, block.lengths, block.hashes), return_inverse=True)
+                counted = (
+                    (False, block.hashes, np.bincount(block.words[train], minlength=len(block.hashes))),
+                    (True, pairs, np.bincount(at[train], minlength=len(pairs))),
+                )
+                out: list[tuple] = []
+                for is_pair, keys, counts in counted:
+                    place = ((keys >> np.uint64(32)) * np.uint64(parts_of)) >> np.uint64(32)
+                    cuts = np.searchsorted(place, np.arange(parts_of + 1, dtype=np.uint64))
+                    counts = counts.astype(np.uint64)
+                    for part, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+                        if b > a:  # nothing is sent about ranges that a block has no key of
+                            out.append((block.number, part, is_pair, pack_sorted(keys[a:b]), pack(counts[a:b]), b - a))
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), LISTS)], schema=LISTS)
 
     return run
 
@@ -230,16 +242,14 @@ def _scorer(tokens: int, types: int, starts: int, m: float):
         if not texts.num_rows:
             return SCORES.empty_table()
         (row,) = texts.to_pylist()
-        words, lengths = unpack(row["words"], np.int32), unpack(row["lengths"], np.int64)
-        hashes, held = unpack_sorted(row["hashes"]), unpack(row["held"], bool)
+        block = open_block(row)
+        words, lengths, hashes, held = block.words, block.lengths, block.hashes, block.held
         answers = sorted(sums.to_pylist(), key=lambda r: r["part"])
         word_counts, pair_counts = (
             np.concatenate([unpack(r["counts"], np.uint64) for r in answers if r["pairs"] == p]).astype(np.int64)
             for p in (False, True)
         )
-        keys, at, inverse = np.unique(pair_keys(words, lengths, hashes), return_index=True, return_inverse=True)
-        if len(word_counts) != len(hashes) or len(pair_counts) != len(keys):
-            raise RuntimeError("the second reading of a block differs from the first; the input must be stable")
+        at = np.unique(pair_keys(words, lengths, hashes), return_index=True)[1]
         before = np.empty_like(words)
         before[1:] = words[:-1]
         stops = np.cumsum(lengths)
@@ -275,20 +285,20 @@ def score_texts(
     log10 p(w); ``score`` is the automaton's. Missing texts are empty, missing
     ids fall into the fold of the empty id; repeated rows count as often as they
     stand. An empty table gives an empty result; without a training document all
-    words are unknown and equally likely. The input is read twice and must give
-    equal rows in equal order, as tables do; a difference is an error.
+    words are unknown and equally likely. Texts are read once: blocks are written,
+    and lists and scores are made from them. Words and pairs are known by 64 bits.
     """
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(id_column).cast("long").alias("id"), (fold(id_column, folds) == held_fold).alias("held_out"), F.col(text).alias("text")
     )
-    lists = rows.mapInArrow(_lister(ranges, block_tokens), LISTS_DDL)
+    texts = materialise(rows.mapInArrow(_texts(block_tokens), TEXTS_DDL))
+    lists = texts.select("block", "held", "lengths", "words", "hashes").mapInArrow(_lister(ranges), LISTS_DDL)
     sums = materialise(lists.groupBy("part").applyInArrow(_add_up, SUMS_DDL))
     total = sums.where("block IS NULL").agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = total[0] or 0, total[1] or 0
     starts = rows.where("NOT held_out").count()
-    texts = rows.mapInArrow(_texts(block_tokens), TEXTS_DDL)
     answers = sums.where("block IS NOT NULL").select("block", "part", "pairs", "counts")
     scored = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scorer(tokens, types, starts, smoothing), SCORES_DDL)
     return scored.select(

@@ -169,16 +169,120 @@ def test_every_language_is_learned(spark, count, classes):
     assert {r.lang_pred for r in got} == {*alphabets, "und"}
 
 
+def test_languages_do_not_depend_on_the_layout(spark):
+    rows = tongues(300)
+    df = spark.createDataFrame([*rows, *rows[:5], *odd_languages()], "doc_id long, text string, lang string")
+    for classes in (64, 1):
+        found = [
+            sorted(((r.doc_id, r.lang_pred, round(r.score, 12)) for r in language_id.identify_languages(x, classes=classes, rows_per_language=40).collect()), key=repr)
+            for x in (df.repartition(2), df.repartition(5).sortWithinPartitions("text"))
+        ]
+        assert found[0] == found[1] and len({r[2] for r in found[0]}) > 20
+
+
+def odd_languages():
+    """The odd rows, learned as two languages, with missing ids and texts and a very long text."""
+    return [(None if d is None else d + 5_000, t, "en" if i % 2 else "fr") for i, (d, t) in enumerate(odd_rows())] + [(6_000, "word " * 60_000, "en")]
+
+
+def test_classifiers_take_odd_rows_and_clashing_names(spark, odd):
+    rows, df = odd
+    labels = spark.createDataFrame([(d, i % 3, 1, "x") for i, (d, _) in enumerate(rows)], "doc_id long, quality int, label int, text string")
+    for got in (language_id.identify_languages(df), quality_knn.score_quality(df, labels)):
+        got = got.collect()
+        assert sorted(map(repr, (r.doc_id for r in got))) == sorted(map(repr, (d for d, _ in rows)))
+        assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_features_equal_plain_counts():
+    text = "Ab abc. Ab"
+    at, counts = language_id.grams(text)
+    low = text.lower()
+    assert counts.sum() == sum(len(low) - n + 1 for n in (1, 2, 3)) and (np.diff(at) > 0).all()
+    idf = np.linspace(1, 2, language_id.DIMENSIONS)
+    _, x = language_id.weights_of(text, idf)
+    plain = [(1 + np.log(n)) * idf[i] for i, n in zip(at, counts)]
+    assert x == pytest.approx(np.array(plain) / np.linalg.norm(plain))
+
+
+def test_frequencies_are_of_all_rows(spark):
+    texts = [prose(5, i) for i in range(30)] + ["", "same", "same"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    held = np.zeros(language_id.DIMENSIONS)
+    for t in texts:
+        held[language_id.grams(t)[0]] += 1
+    assert language_id.inverse_frequencies(df) == pytest.approx(np.log((1 + len(texts)) / (1 + held)) + 1)
+
+
+def test_updates_follow_the_regularised_leader(spark):
+    """Two rounds of one shard against the recurrences written out for one weight at a time."""
+    r = np.random.default_rng(3)
+    data = [(int(r.integers(2)), i, np.sort(r.choice(6, 3, replace=False)).astype(np.int32), r.random(3)) for i in range(25)]
+    df = spark.createDataFrame([(l, i, a.tobytes(), x.tobytes()) for l, i, a, x in data], "label int, pick long, at binary, weights binary")
+    got = language_id.trained(df, 2)
+    z, n = np.zeros((2, 6)), np.zeros((2, 6))
+
+    def weight(k, j):
+        if abs(z[k, j]) <= language_id.L1:
+            return 0.0
+        rate = (language_id.BETA + np.sqrt(n[k, j])) / language_id.ALPHA + language_id.L2
+        return (np.sign(z[k, j]) * language_id.L1 - z[k, j]) / rate
+
+    for _ in range(language_id.ROUNDS):  # all of these rows are in shard 0: their picks are small
+        for label, _, at, x in data:
+            w = {(k, j): weight(k, j) for k in range(2) for j in at}
+            scores = [sum(w[k, j] * v for j, v in zip(at, x)) for k in range(2)]
+            p = np.exp(scores) / np.exp(scores).sum()
+            for k in range(2):
+                for j, v in zip(at, x):
+                    g = (p[k] - (k == label)) * v
+                    z[k, j] += g - (np.sqrt(n[k, j] + g * g) - np.sqrt(n[k, j])) / language_id.ALPHA * w[k, j]
+                    n[k, j] += g * g
+    assert got[:, :6] == pytest.approx(np.array([[weight(k, j) for j in range(6)] for k in range(2)]))
+
+
+def test_the_basis_spans_the_leading_directions(spark):
+    r = random.Random(6)
+    texts = [(i, " ".join(r.choice(VOCABULARY[: 30 + 20 * (i % 2)]) for _ in range(30))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    train = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, label int")
+    runs = [quality_knn.fit(docs.repartition(n), train, 2_000, 4) for n in (2, 5)]
+    for one, two in zip(*runs):
+        assert (one == two).all()
+    idf, basis, vectors, labels, votes = runs[0]
+    rows = np.zeros((len(texts), quality_knn.DIMENSIONS))
+    for i, t in texts:
+        at, x = quality_knn.weigh(t, idf)
+        rows[i, at] = x
+    exact = np.linalg.svd(rows, full_matrices=False)[2][0]
+    assert np.linalg.norm(basis.T @ exact) > 0.999  # the leading direction lies in the span
+    assert vectors.shape == (120, 4) and labels.sum() == 60 and (votes == 1).all()
+    assert np.linalg.norm(vectors, axis=1) == pytest.approx(np.ones(120))
+
+
+def test_of_several_texts_of_one_document_one_teaches(spark):
+    docs = [(i, prose(20, 8_000 + i)) for i in range(30)] + [(i, prose(20, 9_000 + i)) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(3, 7), (40, None)], "doc_id long, quality int")
+    found = [
+        sorted((r.doc_id, r.score) for r in quality_knn.score_quality(frame(spark, x, n), labels).collect())
+        for x, n in ((docs, 2), (docs[::-1], 4))
+    ]
+    assert found[0] == found[1] and len(found[0]) == 60
+
+
 def test_languages_without_a_teacher(spark):
     df = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in language_id.identify_languages(df).collect()} == {("und", 0.0)}
 
 
-def test_temperature_calibrates():
+def test_temperature_calibrates(spark):
     r = np.random.default_rng(0)
     logits = r.standard_normal((4000, 3)) * 2
     labels = np.array([r.choice(3, p=p) for p in language_id.softmax(logits)])
-    assert language_id.temperature(logits * 5, labels) == pytest.approx(5, rel=0.15)
+    judged = [(int(l), [(x * 5)[b::2].tobytes() for b in range(2)]) for x, l in zip(logits, labels)]
+    df = spark.createDataFrame(judged, "label int, logits array<binary>").repartition(3)
+    assert language_id.temperature(df) == pytest.approx(5, rel=0.15)
+    assert language_id.temperature(df.limit(0)) == 1.0
 
 
 def test_penalties_make_weights_sparse():
