@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hourloom.llm.common import mix, pack, pack_sorted, unpack, unpack_sorted
 from hourloom.llm.near_dups import compare, components, shingle_set
 from hourloom.operators.lookup import lookup
-from hourloom.session import materialise
+from hourloom.session import materialise, settled
 
 SIZE, PERCENT = 5, 80
 #: Turns of leaders before the second allocation.
@@ -511,11 +511,15 @@ def jaccard_join(
     texts = source.join(first.select("row").hint("shuffle_hash"), "row").dropDuplicates(["row"])
     sets = materialise(texts.select("text").mapInArrow(_sets(size), "doc long, elements binary"))
     similar = F.col("shared") * (100 + percent) >= F.col("sizes") * percent
-    for turn in range(leaders + 1):
+
+
+    def merged(turn: int) -> DataFrame:
         pairs = led_pairs(placed, labels, turn) if turn < leaders else second_pairs(placed, labels, sets, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = materialise(compare(pairs, sets).where(similar).select("a", "b"))
-        labels = materialise(components(links, labels))
+        return components(materialise(compare(pairs, sets).where(similar).select("a", "b")), labels)
+
+    for turn in range(leaders + 1):
+        labels = settled(lambda: merged(turn))  # noqa: B023 - called at once; what a turn writes goes with it
 
     nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("low"))
     nodes = nodes.join(labels.withColumnRenamed("doc", "node"), "node", "left")
