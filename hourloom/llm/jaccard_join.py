@@ -51,6 +51,9 @@ BLOCK_KEYS = 2_000_000
 #: Probes, and index entries, of a list that one task compares.
 DEAL = 2_048
 
+#: Places of parity an element, in sets of up to SMALL elements and in larger ones: fewer tell sets apart less sharply.
+SMALL, BITS_OF_SMALL, BITS_OF_LARGE = 256, 8, 2
+
 #: Kinds of entries in a list.
 BOTH, PROBE, INDEX = 0, 1, 2
 
@@ -371,11 +374,12 @@ def _allocation(percent: int):
 
 
 def parity_bits(elements: np.ndarray) -> bytes:
-    """How often, modulo 2, elements fall on each of 2^k places, about two an element.
+    """How often, modulo 2, elements fall on each of 2^k places, two or more an element, eight of a small set.
 
     Two sets' bits differ in at most as many places as the sets in elements.
     """
-    size = max(64, 1 << int(2 * len(elements) - 1).bit_length())
+    places = BITS_OF_SMALL if len(elements) <= SMALL else BITS_OF_LARGE
+    size = max(64, 1 << int(places * len(elements) - 1).bit_length())
     counts = np.bincount((mix(elements) & np.uint64(size - 1)).astype(np.int64), minlength=size)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
