@@ -516,7 +516,6 @@ def jaccard_join(
     sets = materialise(texts.select("text").mapInArrow(_sets(size), "doc long, elements binary"))
     similar = F.col("shared") * (100 + percent) >= F.col("sizes") * percent
 
-
     def merged(turn: int) -> DataFrame:
         pairs = led_pairs(placed, labels, turn) if turn < leaders else second_pairs(placed, labels, sets, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
