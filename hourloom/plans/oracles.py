@@ -345,6 +345,12 @@ ORACLES = {
     "scored_table": f"""WITH {_stump_fit('train', 'val')}
         SELECT l_returnflag, round(CASE WHEN l_quantity <= best.q THEN low ELSE high END, 2) AS y_pred, count(*) AS rows
         FROM lineitem, best GROUP BY ALL""",
+    "supervised_frame_known_lags": f"""WITH events_with AS (SELECT ts, event_id, value FROM events),
+        {supervised('events_with', ['ts', 'event_id'], ['ts', 'event_id'], ['value'], {'value': 1}, 'value', 1)}
+        SELECT * FROM frame""",
+    "scoring_inputs": """SELECT 'reordered' AS input, count(*) AS rows, sum(l_quantity) AS quantity,
+          'l_orderkey,l_quantity,l_tax' AS verdict FROM lineitem
+        UNION ALL SELECT 'too few', 0, NULL, 'refused' UNION ALL SELECT 'renamed', 0, NULL, 'refused'""",
     "supervised_frame_missing": f"""WITH events_with AS (
           SELECT ts, event_id, CASE WHEN event_id % 53 <> 7 THEN value END AS value FROM events),
         {supervised('events_with', ['ts', 'event_id'], ['ts', 'event_id'], ['value'], {'value': 1}, 'value', 1)}

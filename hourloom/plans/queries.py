@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 from itertools import combinations
@@ -479,6 +480,33 @@ def supervised_frame_missing(spark, sf_dir):
     return lagging.supervised_frame(events, ["ts", "event_id"], ["value"], {"value": 1}, 1, "value")
 
 
+@query
+def supervised_frame_known_lags(spark, sf_dir):
+    """Lags are asked of a column that is not there: they are left out, the others stay."""
+    events = V.event_rows(spark, sf_dir).select("ts", "event_id", "value")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return lagging.supervised_frame(events, ["ts", "event_id"], ["value"], {"value": 1, "absent": 2}, 1, "value")
+
+
+@query
+def scoring_inputs(spark, sf_dir):
+    """Feature columns in another order are put in theirs; one too few or of another name is refused."""
+    lines, order = V.table(spark, sf_dir, "lineitem").select("l_tax", "l_orderkey", "l_quantity"), ["l_quantity", "l_tax"]
+    tables = {"reordered": lines, "too few": lines.drop("l_tax"), "renamed": lines.withColumnRenamed("l_tax", "tax")}
+    told = []
+    for name, df in tables.items():
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                fits = clean.conform_features(df, order, ["l_orderkey"])
+            verdict = ",".join(fits.columns)
+        except ValueError:
+            fits, verdict = df.where("false"), "refused"
+        told.append(fits.agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").alias("quantity")).withColumns({"input": F.lit(name), "verdict": F.lit(verdict)}))
+    return reduce(DataFrame.unionByName, told)
+
+
 def _event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chronological_split(V.event_supervised(spark, sf_dir))
 
